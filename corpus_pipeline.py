@@ -1,15 +1,57 @@
-"""From raw documents to packed sequences, in stages that each keep the columns of `documents` (but the last)."""
+"""From raw documents to packed sequences: quality, lines, near duplicates, benchmarks, packing.
+
+Each stage works on all that the one before kept. All but the last return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyweb.llm.decontaminate import drop_contaminated
+from tallyweb.llm.line_dedup import drop_repeated_lines
+from tallyweb.llm.ngram_join import keep_one_of_each
+from tallyweb.llm.packing import pack_digest
+from tallyweb.llm.quality_rules import keep_good, train_quality
+from tallyweb.llm.queries import table, tokenizer_path
+from tallyweb.llm.staging import staged
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_good(docs, train_quality(docs, table(spark, sf_dir, "labels")))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = drop_repeated_lines(docs).select(*docs.columns)
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_one_of_each(docs)
+
+
+def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_digest(docs, tokenizer_path())
+
+
+STAGES = [
+    ("quality", quality),
+    ("lines", lines),
+    ("near_duplicates", near_duplicates),
+    ("benchmarks", benchmarks),
+    ("packing", packing),
+]
 
-STAGES: list = []
+#: SQL knows neither the fitted rules nor the tokenizer; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline_{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

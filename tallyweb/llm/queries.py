@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import chat_digest
+from .decontaminate import contamination_digest
 from .line_dedup import drop_repeated_lines
+from .ngram_join import near_duplicates
 from .packing import pack_digest
+from .pii_surrogates import pii_digest
+from .quality_rules import quality_digest, train_quality
+from .secret_scan import identifier_samples, random_samples, secrets_digest, train
 from .topk_search import top_k
 from .url_filter import judge_urls
 
@@ -22,6 +27,9 @@ URL_RULES = [
 ]
 
 
+PII_KEY = "an example; a real one comes from a secret store"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -32,10 +40,48 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP3_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), i AS (
+  SELECT item_id::VARCHAR AS item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+), item_windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[p : p + least(10, len(w)) - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM i WHERE len(w) > 0)
+), lengths AS (SELECT DISTINCT n FROM item_windows
+), doc_windows AS (
+  SELECT rid, n, p, array_to_string(w[p : p + n - 1], ' ') AS g
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, lengths)
+), hits AS (SELECT rid, p, h.n, item_id FROM doc_windows h JOIN item_windows USING (n, g)
+), words_hit AS (SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT rid, unnest(range(p, p + n)) AS q FROM hits) GROUP BY rid
+), items_hit AS (SELECT rid, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS items FROM hits GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words_hit USING (rid) LEFT JOIN items_hit USING (rid)
+"""
+
+
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(table(spark, sf_dir, "documents"), PII_KEY)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -59,6 +105,12 @@ FROM marked GROUP BY row_id
 """
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(random_samples(spark).unionByName(identifier_samples(docs)))
+    return secrets_digest(docs, model)
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = F.lit("<|im_end|><|im_start|>assistant ok")
@@ -102,11 +154,26 @@ SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC,
 FROM scored QUALIFY rank <= 5
 """
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_digest(docs, train_quality(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_url_filters": op2_url_filters,
+    "op3_decontamination": op3_decontamination,
+    "op4_pii_surrogates": op4_pii_surrogates,
     "op5_line_dedup": op5_line_dedup,
+    "op6_secret_scan": op6_secret_scan,
     "op7_chat_format": op7_chat_format,
     "op8_packing": op8_packing,
     "op9_top_k_search": op9_top_k_search,
+    "op10_quality_rules": op10_quality_rules,
+}
+SQL = {
+    "op3_decontamination": OP3_SQL,
+    "op5_line_dedup": OP5_SQL,
+    "op7_chat_format": OP7_SQL,
+    "op9_top_k_search": OP9_SQL,
 }
-SQL = {"op5_line_dedup": OP5_SQL, "op7_chat_format": OP7_SQL, "op9_top_k_search": OP9_SQL}
