@@ -25,21 +25,32 @@ _LETTER[65:91] = _LETTER[97:123] = True
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[33:48] = _SYMBOL[58:65] = _SYMBOL[91:97] = _SYMBOL[123:127] = True
 _SYMBOL[39] = False  # an apostrophe may join what follows
-_SPACE = 32
-_BLANK = np.zeros(256, dtype=bool)
-_BLANK[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+_SPACE, _BREAK = 32, 10
+_FIRM = np.zeros(256, dtype=bool)  # ASCII that isn't blank
+_FIRM[33:127] = True
+_LATIN_LEAD = 0xC3  # first byte of U+00C0 to U+00FF, of which all but two are letters
+_LATIN_SIGNS = (0x97, 0xB7)
+_LEADS = np.zeros(256, dtype=bool)  # first bytes of two-byte characters beyond those blanks that have two bytes
+_LEADS[0xC3:0xE0] = True
 
 
 def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Starts of chunks. A byte-level BPE of this kind never joins a space to a character before it if one that isn't
-    blank stands on either side, nor an ASCII letter and an ASCII symbol. Non-ASCII neighbours of a space may be blanks,
-    so they don't count."""
+    """Starts of chunks. A byte-level BPE of this kind splits a text first, and always: before a space, and before and
+    after a line feed, with characters that aren't blank on either side; and between a letter and a symbol. A cut is made
+    where few bytes show such a place."""
     if not len(data):
         return np.zeros(0, dtype=np.int64)
-    firm = (data < 128) & ~_BLANK[data]
-    cut = np.zeros(len(data), dtype=bool)
-    cut[1:-1] = (data[1:-1] == _SPACE) & firm[:-2] & firm[2:]
-    cut[1:] |= (_LETTER[data[:-1]] & _SYMBOL[data[1:]]) | (_SYMBOL[data[:-1]] & _LETTER[data[1:]])
+    x = np.concatenate([np.zeros(2, dtype=np.uint8), data, np.zeros(2, dtype=np.uint8)])
+    here, before, before2, after = x[2:-2], x[1:-3], x[:-4], x[3:-1]
+    firm_after = _FIRM[after] | _LEADS[after]
+    firm_before = _FIRM[before] | ((before >= 128) & _LEADS[before2])
+    lone = ((here == _SPACE) | (here == _BREAK)) & firm_before & firm_after
+    latin = (here == _LATIN_LEAD) & (after != _LATIN_SIGNS[0]) & (after != _LATIN_SIGNS[1])
+    latin_before = (before2 == _LATIN_LEAD) & (before != _LATIN_SIGNS[0]) & (before != _LATIN_SIGNS[1])
+    cut = lone.copy()
+    cut[1:] |= (lone & (here == _BREAK))[:-1]
+    cut |= (_LETTER[before] | latin_before) & _SYMBOL[here]
+    cut |= _SYMBOL[before] & (_LETTER[here] | latin)
     cut[offsets[:-1][offsets[:-1] < len(data)]] = True
     return np.flatnonzero(cut)
 
@@ -51,21 +62,46 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        (self.feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._forget()
 
     def _forget(self) -> None:
-        self.index: dict[int, int] = {}
-        self.pool: list[np.ndarray] = [np.zeros(0, dtype=np.uint32)]
-        self.ids = self.pool[0]
-        self.at = np.zeros(1, dtype=np.int64)
+        self.keys = np.zeros(0, dtype=np.uint64)  # sorted hashes of known chunks
+        self.at = np.zeros(0, dtype=np.int64)  # where their tokens begin
+        self.sizes = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.uint32)
 
     def _learn(self, data: bytes, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Chunks without a blank but a space in front are encoded many together, a line feed, always a token of its own,
+        between them."""
         chunks = [data[s:e].decode() for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
-        new = [np.asarray(x.ids, dtype=np.uint32) for x in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        n = len(self.at) - 1
-        self.index.update(zip(hashes.tolist(), range(n, n + len(new)), strict=True))
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(x) for x in new], dtype=np.int64)])
-        self.ids = np.concatenate([self.ids, *new])
+        plain = [len(c) > 1 and len(c.split()) == 1 and not c[1].isspace() and not c[-1].isspace() and (c[0] == " " or not c[0].isspace()) for c in chunks]
+        together, alone = np.flatnonzero(plain), np.flatnonzero(~np.array(plain, dtype=bool))
+        ids, sizes = [], []
+        for lo in range(0, len(together), 1000):
+            some = together[lo : lo + 1000].tolist()
+            got = self.tokenizer.encode_batch_fast(["\n".join([chunks[i] for i in some])], add_special_tokens=False)[0].ids
+            got = np.asarray(got, dtype=np.uint32)
+            feeds = np.flatnonzero(got == self.feed)
+            if len(feeds) != len(some) - 1:
+                raise ValueError("a line feed isn't a token of its own")
+            ids.append(got[got != self.feed])
+            sizes.append(np.diff(np.concatenate([[-1], feeds, [len(got)]])) - 1)
+        for e in self.tokenizer.encode_batch_fast([chunks[i] for i in alone], add_special_tokens=False):
+            ids.append(np.asarray(e.ids, dtype=np.uint32))
+            sizes.append(np.array([len(e.ids)]))
+        order = np.concatenate([together, alone])
+        size = np.empty(len(chunks), dtype=np.int64)
+        at = np.empty(len(chunks), dtype=np.int64)
+        size[order] = np.concatenate(sizes)
+        at[order] = len(self.ids) + np.cumsum(size[order]) - size[order]
+        self.ids = np.concatenate([self.ids, *ids])
+        place = np.searchsorted(self.keys, hashes)
+        self.keys, self.at, self.sizes = (np.insert(old, place, values) for old, values in ((self.keys, hashes), (self.at, at), (self.sizes, size)))
+
+    def one(self, text: bytes) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, dtype=np.uint32)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(token ids of all texts, their bounds)"""
@@ -73,18 +109,19 @@ class ChunkTokenizer:
         ends = np.append(starts[1:], len(data))
         hashes = span_hashes(data, starts, ends)
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.index) + len(distinct) > CACHE_WORDS:
+        if len(self.keys) + len(distinct) > CACHE_WORDS:
             self._forget()
-        get = self.index.get
-        where = np.fromiter((get(h, -1) for h in distinct.tolist()), dtype=np.int64, count=len(distinct))
-        missing = np.flatnonzero(where < 0)
+        place = np.searchsorted(self.keys, distinct)
+        known = np.zeros(len(distinct), dtype=bool)
+        inside = place < len(self.keys)
+        known[inside] = self.keys[place[inside]] == distinct[inside]
+        missing = np.flatnonzero(~known)
         if len(missing):
-            where[missing] = np.arange(len(self.at) - 1, len(self.at) - 1 + len(missing))
             self._learn(data.tobytes(), distinct[missing], starts[first[missing]], ends[first[missing]])
-        which = where[inverse]
-        sizes = self.at[which + 1] - self.at[which]
+            place = np.searchsorted(self.keys, distinct)
+        sizes = self.sizes[place][inverse]
         bounds = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.ids[np.repeat(self.at[which] - bounds[:-1], sizes) + np.arange(bounds[-1])] if bounds[-1] else np.zeros(0, dtype=np.uint32)
+        ids = self.ids[np.repeat(self.at[place][inverse] - bounds[:-1], sizes) + np.arange(bounds[-1])]
         return ids, bounds[np.searchsorted(starts, offsets)]
 
 
@@ -127,9 +164,14 @@ def pack(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS, end
             doc_ids = batch.column(0)
             for first, data, offsets in slices(batch.column(1)):
                 ids, bounds = tokenizer.encode(data, offsets)
+                blob_of_all = data.tobytes()
+                held = any(t in blob_of_all for t in tokenizer.added)  # such strings are tokens across the chunks
                 row, start, length, blob, crc, total = [], [], [], [], [], []
                 for i in range(len(offsets) - 1):
-                    own = np.append(ids[bounds[i] : bounds[i + 1]], np.uint32(end_id)).astype("<u4").tobytes()
+                    own = ids[bounds[i] : bounds[i + 1]]
+                    if held and any(t in (text := blob_of_all[offsets[i] : offsets[i + 1]]) for t in tokenizer.added):
+                        own = tokenizer.one(text)
+                    own = np.append(own, np.uint32(end_id)).astype("<u4").tobytes()
                     n, at = len(own) // 4, 0
                     for size in piece_lengths(n, max_tokens).tolist():
                         piece = own[4 * at : 4 * (at + size)]
