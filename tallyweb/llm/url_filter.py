@@ -95,7 +95,7 @@ def judge_urls(
     tree = counts.select("*", *[F.col(c).alias(f"__t{c[3:]}") for c in at])
     named = [f"__t{i}" for i in range(depth)]
     for i in range(depth):
-        tree = _merge_branches(tree, ["host", *named[:i]], named[i], max_branches, merge_z)
+        tree = staged(_merge_branches(tree, ["host", *named[:i]], named[i], max_branches, merge_z), f"url_tree_{i}")
     total = tree.groupBy("host", *named).agg(F.sum("__n").alias("__n"), F.sum("__k").alias("__k"))
     share = (F.col("__k") + prior_weight * prior_block) / (F.col("__n") + prior_weight)
     judged = staged(
