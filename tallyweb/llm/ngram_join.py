@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,16 +108,24 @@ def _similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _next_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of sets in large buckets: either the set's pivot, or its paths further down (path null: u and v are an edge)."""
+    """Of sets in large buckets of one pivot: either the pivot, or the paths further down (path null: rid and pivot are an
+    edge)."""
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
             part = batch.slice(at, 1000)
-            path, ids, tokens = part.column(0).to_numpy(), part.column(1).to_numpy(), _matrix(part.column(2), np.uint32)
-            pivot_ids, pivots = part.column(3).to_numpy(), _matrix(part.column(4), np.uint32)
+            ids, tokens = part.column(0).to_numpy(), _matrix(part.column(1), np.uint32)
+            pivot_ids, pivots = part.column(2).to_numpy(), _matrix(part.column(3), np.uint32)
+            paths = part.column(4).flatten().to_numpy().view(np.uint64)
+            of = np.repeat(np.arange(len(ids)), pa.compute.list_value_length(part.column(4)).to_numpy())
             close = (_similar(tokens, pivots) >= CLOSE) & (ids != pivot_ids)
-            row, down = _chosen(tokens[~close], path[~close].view(np.uint64))
+            open_ = ~close[of]
+            row, down = _chosen(tokens[of[open_]], paths[open_])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([None] * int(close.sum()) + down.view(np.int64).tolist(), pa.int64()), pa.array(np.concatenate([ids[close], ids[~close][row]])), pa.array([*pivot_ids[close].tolist(), *[None] * len(row)], pa.int64())],
+                [
+                    pa.array([None] * int(close.sum()) + down.view(np.int64).tolist(), pa.int64()),
+                    pa.array(np.concatenate([ids[close], ids[of[open_]][row]])),
+                    pa.array([*pivot_ids[close].tolist(), *[None] * len(row)], pa.int64()),
+                ],
                 names=["path", "rid", "pivot"],
             )
 
@@ -167,10 +176,11 @@ def _candidates(nodes: DataFrame) -> DataFrame:
         edges.append(staged(_brute_force(shared.where(f"NOT ({large})").select("path", "rid"), nodes), f"edges_{depth}"))
         if depth == DEPTH or counts.where(large).isEmpty():
             break
-        rows = shared.where(large).select("path", "rid", "pivot").join(nodes.select("rid", "tokens"), "rid")
+        # one row for all paths of a set with one pivot: there are many paths, and in a group of like sets few pivots
+        rows = shared.where(large).groupBy("rid", "pivot").agg(F.collect_list("path").alias("paths")).join(nodes.select("rid", "tokens"), "rid")
         pivots = nodes.select(F.col("rid").alias("pivot"), F.col("tokens").alias("pivot_tokens"))
         pivots = counts.where(large).select("pivot").distinct().join(pivots, "pivot")
-        rows = rows.join(pivots, "pivot").select("path", "rid", "tokens", "pivot", "pivot_tokens")
+        rows = rows.join(pivots, "pivot").select("rid", "tokens", "pivot", "pivot_tokens", "paths")
         down = staged(rows.mapInArrow(_next_paths, "path long, rid long, pivot long"), f"paths_{depth + 1}")
         edges.append(down.where("path IS NULL").select(F.col("rid").alias("u"), F.col("pivot").alias("v")).distinct())
         paths = down.where("path IS NOT NULL").select("path", "rid").distinct()
