@@ -1,0 +1 @@
+"""Listing pages to product rows, as Spark jobs."""
