@@ -1,28 +1,5 @@
-"""Tables written once and read again, so that lost executors cost no recomputation of what came before."""
+"""Tables written once and read again."""
 
-from __future__ import annotations
+from ..sources.staged import shared_dir, staged
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-_local: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where that is unset (tests), a new local one, kept for the process."""
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    if given:
-        return given.rstrip("/")
-    if not _local:
-        _local.append("file://" + tempfile.mkdtemp(prefix="tallyweb-"))
-    return _local[0]
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """`df`, written as Parquet in the shared folder and read again."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["shared_dir", "staged"]
