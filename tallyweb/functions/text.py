@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,6 +22,11 @@ def _quoted(word: str) -> str:
     return re.sub(r"([^\w\s])", r"\\\1", word)
 
 
+def let(c: Column, of: Callable[[Column], Column]) -> Column:
+    """of(c), with c once in the plan: the optimiser copies what a column refers to, and such copies multiply."""
+    return F.get(F.transform(F.array(c), lambda x: of(x)), 0)
+
+
 def first_full(*values: Column) -> Column:
     """The first value that is neither null nor empty. Each value stands in the plan once, however deep these nest."""
     return F.get(F.filter(F.array(*values), lambda x: x != ""), 0)
@@ -37,8 +43,7 @@ def clean_text(c: Column) -> Column:
 
 
 def detect_currency(c: Column) -> Column:
-    low = F.lower(c)
-    return F.coalesce(*[F.when(contains_any(low, words), F.lit(code)) for code, words in fixed.CURRENCIES])
+    return let(F.lower(c), lambda low: F.coalesce(*[F.when(contains_any(low, words), F.lit(code)) for code, words in fixed.CURRENCIES]))
 
 
 def parse_number(c: Column) -> Column:
@@ -48,7 +53,7 @@ def parse_number(c: Column) -> Column:
 
 def parse_price(c: Column) -> Column:
     """struct(price, currency)"""
-    return F.struct(parse_number(c).alias("price"), detect_currency(c).alias("currency"))
+    return let(c, lambda x: F.struct(parse_number(x).alias("price"), detect_currency(x).alias("currency")))
 
 
 def parse_int(c: Column) -> Column:
@@ -61,8 +66,7 @@ def parse_float(c: Column) -> Column:
 
 def infer_in_stock(c: Column) -> Column:
     """What is in stock is tested first, so that "unavailable" counts as available."""
-    low = F.lower(c)
-    return F.when(contains_any(low, fixed.IN_STOCK), True).when(contains_any(low, fixed.OUT_OF_STOCK), False)
+    return let(F.lower(c), lambda low: F.when(contains_any(low, fixed.IN_STOCK), True).when(contains_any(low, fixed.OUT_OF_STOCK), False))
 
 
 def truncate(c: Column, n: int) -> Column:
@@ -78,8 +82,7 @@ def extract_price_text(c: Column) -> Column:
 
 
 def looks_like_phone_or_nav(c: Column) -> Column:
-    low = F.lower(c)
-    return F.coalesce(low.rlike(r"\b\d{8,}\b") | contains_any(low, fixed.NAV_WORDS), F.lit(False))
+    return let(F.lower(c), lambda low: F.coalesce(low.rlike(r"\b\d{8,}\b") | contains_any(low, fixed.NAV_WORDS), F.lit(False)))
 
 
 def page_says_no_results(text: Column) -> Column:
