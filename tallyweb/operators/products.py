@@ -84,7 +84,7 @@ def rounded(x: Column, digits: int = 2) -> Column:
     whole = F.floor(product).cast("double")
     part = product - whole
     up = (part > 0.5) | ((part == 0.5) & ((error > 0) | ((error == 0) & (whole % 2 != 0))))
-    return (whole + F.when(up, 1.0).otherwise(0.0)) / scale
+    return F.when(x == 0, x).otherwise((whole + F.when(up, 1.0).otherwise(0.0)) / scale)  # a zero keeps its sign
 
 
 def sanitized_price(c: Column) -> Column:

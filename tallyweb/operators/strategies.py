@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.text import clean_text, extract_price_text, first_full, infer_in_stock, or_null, parse_float, parse_int, parse_price, truncate
 from ..functions.urls import is_potential_product_href, to_absolute
-from ..schemas import PRODUCT_NAMES
+from ..schemas import CANDIDATES, PRODUCT_NAMES
 from .json_walk import walk_json
 from .products import first_per_page, valid_products
 from .selectors import attr, first_nonempty_selector, looks_like_card, matches, matching_ranks
@@ -160,7 +160,7 @@ def extract_linked_images(nodes: DataFrame, urls: DataFrame, max_items: int = fi
     beside = first.select("page_id", F.col("holder").alias("parent_id"), F.col("i").alias("near"))
     rows = anchors.join(inside, ["page_id", "node_id"], "left").join(beside, ["page_id", "parent_id"], "left")
     rows = rows.withColumn("img", F.coalesce("own", "near")).where("img IS NOT NULL")
-    blank = {f.name: f.dataType for f in _empty_fields()}
+    blank = {f.name: f.dataType for f in CANDIDATES.fields if f.name in PRODUCT_NAMES}
     return _candidates(
         rows.select(
             "page_id",
@@ -175,12 +175,6 @@ def extract_linked_images(nodes: DataFrame, urls: DataFrame, max_items: int = fi
     )
 
 
-def _empty_fields():
-    from ..schemas import PRODUCT_FIELDS, _ddl
-
-    return _ddl(PRODUCT_FIELDS).fields
-
-
 def _of_json(raw: DataFrame, urls: DataFrame, rung: int, max_items: int) -> DataFrame:
     rows = raw.withColumnRenamed("url", "found_url").join(urls, "page_id")
     parsed = parse_price(F.col("__price"))

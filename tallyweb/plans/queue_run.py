@@ -38,6 +38,11 @@ def run_jobs(jobs: DataFrame, pages: DataFrame, existing: DataFrame, max_items:
         F.min_by(F.struct("url", "html", "product_type_id", "searched_product_id"), F.coalesce("url_id", F.lit(0))).alias("p")
     )
     found = staged(found.select("page_id", "p.*"), "batch_pages")
+    if found.isEmpty():  # nothing to read: all of them fail
+        results = attached.select("url", "url_id", "retry_count", "max_retries", "page_id", "error").withColumns(
+            {"success": F.lit(False), "num_products": F.lit(None).cast("bigint"), "saved_to_db": F.lit(None).cast("bigint"), "kind": F.lit("result")}
+        )
+        return results, existing.limit(0)
     products = staged(listing_products(found, max_items), "batch_products")
     results = page_results(found, products).select("page_id", "success", "num_products", "saved_to_db")
     results = attached.select("url", "url_id", "retry_count", "max_retries", "page_id", "error").join(results, "page_id", "left")
