@@ -195,7 +195,7 @@ def _(spark, sf):
 # --- Candidates and products ---------------------------------------------------------------------------------------
 
 _CANDIDATE_SQL = """(
-  SELECT l_suppkey AS page_id, l_orderkey, l_linenumber,
+  SELECT l_suppkey AS page_id, l_orderkey, l_linenumber, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
     CASE l_partkey % 6 WHEN 0 THEN NULL ELSE 'https://shop.example.com/' || CASE l_partkey % 6 WHEN 1 THEN 'cart/' WHEN 2 THEN 'x' WHEN 3 THEN '' ELSE 'product/' END || (l_partkey % 100) END AS product_url,
     CASE l_linenumber % 4 WHEN 0 THEN NULL WHEN 1 THEN 'T' WHEN 2 THEN 'Home lamp ' || l_orderkey ELSE 'Lamp ' || l_orderkey END AS title,
     CASE WHEN l_quantity >= 25 THEN l_extendedprice WHEN l_quantity >= 10 THEN 0.0 END AS price,
@@ -230,12 +230,12 @@ def line_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     lines = table(spark, sf_dir, "lineitem")
     return lines.select(
-        F.col("l_suppkey").alias("page_id"), F.lit(1).alias("rung"), F.array(F.col("l_orderkey"), line.cast("bigint")).alias("pos"), *[values[n].alias(n) for n in PRODUCT_NAMES]
+        F.col("l_suppkey").alias("page_id"), F.lit(1).alias("rung"), F.array(F.col("l_orderkey"), line.cast("bigint"), F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("pos"), *[values[n].alias(n) for n in PRODUCT_NAMES]
     )
 
 
 _SHOWN = ["title", "price", "raw_price", "rating", "review_count", "in_stock", "brand"]
-_PLACE = [F.col("pos")[0].alias("l_orderkey"), F.col("pos")[1].alias("l_linenumber")]
+_PLACE = "pos[0] AS l_orderkey", "pos[1] AS l_linenumber"
 
 
 @query(
@@ -246,15 +246,15 @@ _PLACE = [F.col("pos")[0].alias("l_orderkey"), F.col("pos")[1].alias("l_linenumb
       AND (title IS NOT NULL OR coalesce(price, 0) <> 0 OR coalesce(raw_price, '') <> '')""",
 )
 def _(spark, sf):
-    return products.valid_products(line_candidates(spark, sf)).select("page_id", *_PLACE)
+    return products.valid_products(line_candidates(spark, sf)).selectExpr("page_id", *_PLACE)
 
 
 def _first_sql(c: str, truth: str) -> str:
-    of = lambda where: f"(list({c} ORDER BY l_orderkey, l_linenumber){where})[1]"
+    of = lambda where: f"(list({c} ORDER BY l_orderkey, l_linenumber, cents){where})[1]"
     return f"coalesce({of(f' FILTER ({truth})')}, {of('')}) AS {c}"
 
 
-_MERGED_SQL = f"""(SELECT page_id, product_url, min(l_orderkey * 10 + l_linenumber) AS place, {_first_sql('title', "title <> ''")}, {_first_sql('price', 'price <> 0')},
+_MERGED_SQL = f"""(SELECT page_id, product_url, min((l_orderkey * 10 + l_linenumber) * 100000000 + cents) AS place, {_first_sql('title', "title <> ''")}, {_first_sql('price', 'price <> 0')},
   {_first_sql('raw_price', "raw_price <> ''")}, {_first_sql('rating', 'rating <> 0')}, {_first_sql('review_count', 'review_count <> 0')},
   {_first_sql('in_stock', 'in_stock')}, {_first_sql('brand', "brand <> ''")}
   FROM {_CANDIDATE_SQL} WHERE product_url IS NOT NULL GROUP BY page_id, product_url)"""
@@ -282,7 +282,7 @@ def _(spark, sf):
     rows = line_candidates(spark, sf)
     line = F.col("pos")[1]
     rows = rows.withColumns({"price": F.col("price") * (line - 2) * 5000, "rating": F.col("rating") * 30 - 200, "review_count": F.col("review_count") - 1000})
-    return products.sanitize_products(rows).select("page_id", *_PLACE, "price", "rating", "review_count")
+    return products.sanitize_products(rows).selectExpr("page_id", *_PLACE, "price", "rating", "review_count")
 
 
 def _owned(rows: DataFrame) -> DataFrame:
@@ -312,9 +312,9 @@ def _(spark, sf):
 
 @query(
     "s5_insert_if_absent",
-    f"""SELECT platform_url, product_name, product_url FROM (SELECT {_ROW_SQL}, page_id, l_orderkey, l_linenumber FROM {_CANDIDATE_SQL} WHERE title <> '' AND product_url <> '')
+    f"""SELECT platform_url, product_name, product_url FROM (SELECT {_ROW_SQL}, page_id, l_orderkey, l_linenumber, cents FROM {_CANDIDATE_SQL} WHERE title <> '' AND product_url <> '')
     WHERE product_url NOT IN (SELECT 'https://shop.example.com/product/' || p_partkey FROM part WHERE p_partkey % 3 = 0)
-    QUALIFY row_number() OVER (PARTITION BY product_url ORDER BY page_id, l_orderkey, l_linenumber) = 1""",
+    QUALIFY row_number() OVER (PARTITION BY product_url ORDER BY page_id, l_orderkey, l_linenumber, cents) = 1""",
 )
 def _(spark, sf):
     new = products.to_product_rows(_owned(line_candidates(spark, sf)), "page_id", "pos")

@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_ddl = T.StructType.fromDDL
+_KINDS = {
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(),
+    "BOOLEAN": T.BooleanType(),
+    "TIMESTAMP": T.TimestampType(),
+    "ARRAY<BIGINT>": T.ArrayType(T.LongType()),
+}
+
+
+def _ddl(text: str) -> T.StructType:
+    """As StructType.fromDDL(), which needs a running session."""
+    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in (f.split(" ") for f in text.split(", "))])
+
 
 PAGES = _ddl("page_id BIGINT, url STRING, html STRING")
 
