@@ -59,9 +59,9 @@ def _search(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: n
 
 
 def _best(ids: np.ndarray, scores, own, k: int) -> tuple[np.ndarray, np.ndarray]:
-    scores = np.asarray(scores, dtype=object if isinstance(scores, list) else np.float64)
-    if own is not None:
-        ids, scores = ids[ids != own], scores[ids != own]
+    if own is not None:  # exact integers
+        best = sorted((i for i in range(len(ids)) if ids[i] != own), key=lambda i: (-scores[i], ids[i]))[:k]
+        return ids[best], np.array([scores[i] for i in best], dtype=object)
     best = np.lexsort((ids, -scores))[:k]
     return ids[best], scores[best]
 
