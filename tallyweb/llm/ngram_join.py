@@ -29,7 +29,7 @@ RUNS = 16
 SPLIT = 0.7  # a set of m tokens chooses each with probability 1 / (SPLIT * m); below the threshold by the embedding's error
 CANDIDATE = 0.6  # least estimated similarity of candidates: 4 standard errors or more below the threshold
 CLOSE = 0.9  # estimated similarity to a bucket's pivot from which on the pivot stands for a set
-BUCKET = 50  # sets that are compared by brute force
+BUCKET = 1024  # sets that are compared by brute force: some ten milliseconds, less than it costs to split them further
 DEPTH = 4  # splits at most; what is large then is compared in blocks
 BLOCK_SETS, BLOCK_GRAMS = 1024, 400_000  # of a block of exact comparison, about
 EXPECTED_RECALL = 0.9999
@@ -140,14 +140,22 @@ def _roots(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
         root = new
 
 
+def _alike(small: np.ndarray) -> np.ndarray:
+    """Which pairs of rows are candidates."""
+    full = (small != 0).astype(np.float32)
+    either = full.sum(axis=1)[:, None] + full.sum(axis=1)[None, :] - full @ full.T
+    # parts that are empty in both are equal, too
+    same = np.stack([np.count_nonzero(small == row, axis=1) for row in small]) - (BINS - either)
+    return same >= CANDIDATE * np.maximum(1, either)
+
+
 def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges that connect what is connected by candidate pairs of a bucket; not all those pairs."""
     for batch in batches:
         u, v = [], []
-        for ids, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            small, ids = np.frombuffer(b"".join(tokens), dtype=np.uint8).reshape(len(ids), BINS), np.array(ids, dtype=np.int64)
-            linked = np.stack([_similar(s, small) >= CANDIDATE for s in small])
-            root = _roots(linked, ids)
+        for ids, tokens in zip(batch.column(0), batch.column(1), strict=True):
+            ids = ids.values.to_numpy()
+            root = _roots(_alike(np.frombuffer(b"".join(tokens.as_py()), dtype=np.uint8).reshape(len(ids), BINS)), ids)
             u += ids[root != ids].tolist()
             v += root[root != ids].tolist()
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
