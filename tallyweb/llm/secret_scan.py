@@ -59,7 +59,9 @@ def identifier_samples(docs: DataFrame, n_docs: int = SAMPLE_DOCS, n_chars: int
     """Identifiers as people write them, of the words of at most `n_docs` texts (those of the least hashes): words joined
     by `_` or `-`, in camel case, with numbers at the end."""
     texts = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("h"), F.substring("text", 1, n_chars).alias("text"))
-    texts = texts.orderBy("h", "text").limit(n_docs)
+    # the bound is found among hashes, so that no task gathers texts that don't belong to the sample
+    bound = texts.select("h").distinct().orderBy("h").limit(n_docs).agg(F.max("h")).first()[0]
+    texts = texts.where(F.col("h") <= F.lit(bound).cast("long")).groupBy("h").agg(F.min("text").alias("text"))
     words = texts.select(F.transform(F.regexp_extract_all("text", F.lit(r"[A-Za-z]{3,}"), F.lit(0)), F.lower).alias("w")).where(F.size("w") > 3)
     word = lambda i, j: F.element_at("w", (i + j).cast("int"))
     at = F.explode(F.sequence(F.lit(1), F.size("w") - 3, F.lit(3))).alias("i")
