@@ -15,45 +15,48 @@ _TOKEN = re.compile(
 )
 
 
-def _tests(compound: str, tag: Column, attrs: Column) -> Column:
-    at, out = 0, F.lit(True)
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _tests(compound: str) -> str:
+    """SQL over `tag` and `attrs`: as text it is read once, where columns would take a call for each of many parts."""
+    at, out = 0, []
     while at < len(compound):
         m = _TOKEN.match(compound, at)
         if not m:
             raise ValueError(f"selector not understood: {compound!r}")
         at = m.end()
         if m["tag"]:
-            test = tag == m["tag"].lower()
+            out.append(f"tag = {_text(m['tag'].lower())}")
         elif m["cls"]:
-            test = F.array_contains(F.split(attrs["class"], r"\s+"), m["cls"])
+            out.append(f"array_contains(split(attrs['class'], '[ \\t-\\r]+'), {_text(m['cls'])})")
         else:
-            value = attrs[m["attr"].lower()]
-            wanted = m["value"]
+            value, wanted = f"attrs[{_text(m['attr'].lower())}]", m["value"]
             if m["fold"]:
-                value, wanted = F.lower(value), wanted.lower()
-            test = {
-                None: lambda: value.isNotNull(),
-                "=": lambda: value == wanted,
-                "*=": lambda: value.contains(wanted) & F.lit(bool(wanted)),
-                "^=": lambda: value.startswith(wanted) & F.lit(bool(wanted)),
-                "$=": lambda: value.endswith(wanted) & F.lit(bool(wanted)),
-            }[m["op"]]()
-        out = out & F.coalesce(test, F.lit(False))
-    return out
-
-
-def matches(selector: str, tag: Column | None = None, attrs: Column | None = None) -> Column:
+                value, wanted = f"lower({value})", wanted.lower()
+            if m["op"] is None:
+                out.append(f"{value} IS NOT NULL")
+            elif m["op"] == "=":
+                out.append(f"{value} = {_text(wanted)}")
+            else:
+                test = {"*=": "contains", "^=": "startswith", "$=": "endswith"}[m["op"]]
+                out.append(f"{test}({value}, {_text(wanted)})" if wanted else "false")
+    return f"coalesce({' AND '.join(out)}, false)"
+
+
+def _any_of(selector: str) -> str:
+    return "(" + " OR ".join(_tests(compound.strip()) for compound in selector.split(",")) + ")"
+
+
+def matches(selector: str) -> Column:
     """Whether an element matches a comma list of compounds (tag, .class, [attr], [attr="v"], [attr*="v" i])."""
-    tag, attrs = F.col("tag") if tag is None else tag, F.col("attrs") if attrs is None else attrs
-    out = F.lit(False)
-    for compound in selector.split(","):
-        out = out | _tests(compound.strip(), tag, attrs)
-    return out
+    return F.expr(_any_of(selector))
 
 
-def matching_ranks(group: list[str], tag: Column | None = None, attrs: Column | None = None) -> Column:
+def matching_ranks(group: list[str]) -> Column:
     """Places in `group` of the selectors that an element matches."""
-    return F.array_compact(F.array(*[F.when(matches(s, tag, attrs), F.lit(i)) for i, s in enumerate(group)]))
+    return F.expr(f"array_compact(array({', '.join(f'CASE WHEN {_any_of(s)} THEN {i} END' for i, s in enumerate(group))}))")
 
 
 def first_nonempty_selector(nodes: DataFrame, group: list[str]) -> DataFrame:
