@@ -29,7 +29,8 @@ RUNS = 16
 SPLIT = 0.7  # a set of m tokens chooses each with probability 1 / (SPLIT * m); below the threshold by the embedding's error
 CANDIDATE = 0.6  # least estimated similarity of candidates: 4 standard errors or more below the threshold
 CLOSE = 0.9  # estimated similarity to a bucket's pivot from which on the pivot stands for a set
-BUCKET = 1024  # sets that are compared by brute force: some ten milliseconds, less than it costs to split them further
+BUCKET = 2048  # sets that are compared by brute force: some tenths of a second, less than it costs to split them further
+ROWS = 256  # of a bucket's matrix at a time
 DEPTH = 4  # splits at most; what is large then is compared in blocks
 BLOCK_SETS, BLOCK_GRAMS = 1024, 400_000  # of a block of exact comparison, about
 EXPECTED_RECALL = 0.9999
@@ -132,9 +133,10 @@ def _next_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _roots(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """The least id that each row reaches over a symmetric boolean matrix."""
-    root = ids.copy()
+    root, most = ids.copy(), np.iinfo(np.int64).max
     while True:
-        new = np.minimum(root, np.where(linked, root[None, :], np.iinfo(np.int64).max).min(axis=1))
+        least = np.concatenate([np.where(linked[i : i + ROWS], root[None, :], most).min(axis=1) for i in range(0, len(ids), ROWS)])
+        new = np.minimum(root, least)
         if (new == root).all():
             return root
         root = new
@@ -143,10 +145,13 @@ def _roots(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
 def _alike(small: np.ndarray) -> np.ndarray:
     """Which pairs of rows are candidates."""
     full = (small != 0).astype(np.float32)
-    either = full.sum(axis=1)[:, None] + full.sum(axis=1)[None, :] - full @ full.T
-    # parts that are empty in both are equal, too
-    same = np.stack([np.count_nonzero(small == row, axis=1) for row in small]) - (BINS - either)
-    return same >= CANDIDATE * np.maximum(1, either)
+    size, out = full.sum(axis=1), np.zeros((len(small), len(small)), dtype=bool)
+    for i in range(0, len(small), ROWS):
+        either = size[i : i + ROWS, None] + size[None, :] - full[i : i + ROWS] @ full.T
+        # parts that are empty in both are equal, too
+        same = np.stack([np.count_nonzero(small == row, axis=1) for row in small[i : i + ROWS]]) - (BINS - either)
+        out[i : i + ROWS] = same >= CANDIDATE * np.maximum(1, either)
+    return out
 
 
 def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,8 +167,8 @@ def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _brute_force(buckets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges of buckets (path, rid). Those of more than BLOCK_SETS sets are dealt to pairs of blocks."""
-    sizes = buckets.groupBy("path").agg(F.count("*").alias("n")).select("path", F.ceil(F.col("n") / BLOCK_SETS).cast("int").alias("blocks"))
+    """Edges of buckets (path, rid). Those of more than BUCKET sets are dealt to pairs of blocks."""
+    sizes = buckets.groupBy("path").agg(F.count("*").alias("n")).select("path", F.ceil(F.col("n") / BUCKET).cast("int").alias("blocks"))
     rows = buckets.join(sizes, "path").withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
     rows = rows.select("path", "rid", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     groups = rows.groupBy("path", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).agg(F.array_sort(F.collect_set("rid")).alias("rids"))
