@@ -5,6 +5,7 @@ DataFrame functions only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -73,9 +74,12 @@ def judge_urls(
     Urls under a rule take its verdict, and are the labelled ones; `labels` (host, path, bad 0/1) adds others. The tree of
     a host is made of the first `depth` segments of its paths. Segments that vary by form become wildcards; a node with
     more than `max_branches` branches has them all replaced by `*`. Branches of one node whose shares of blocked urls lie
-    within `merge_z` standard errors of their siblings' are merged to `*`, those without labels to `?`; the others stay
-    apart. A template is rejected if
-    (blocked + prior_weight * prior_block) / (labelled + prior_weight) is at least `reject_share`.
+    within `merge_z` standard errors of their siblings' are merged to `*`, and so are those without labels; the others
+    stay apart. A template's share is smoothed towards that of the node above,
+    (blocked + prior_weight * share above) / (labelled + prior_weight), or is the share above where both have the same
+    labels. Above a host is the mean of all hosts' shares, smoothed towards `prior_block` for this; so each host weighs
+    the same there, and those without labels speak for the prior. Templates with a share of at least `reject_share` are
+    rejected.
 
     Null urls and those without `://` have an empty host and path, and are judged as such. Repeated page_ids and urls are
     judged row by row. Extra columns are left out. No rows give no rows.
@@ -83,56 +87,66 @@ def judge_urls(
     rows = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     rows = rows.withColumn("__rule", rule_for(F.col("host"), F.col("path"), rules))
     blocked = F.when(F.col("__rule.verdict") == "block", 1).when(F.col("__rule").isNotNull(), 0)
-    nodes = rows.select("*", blocked.alias("__bad"), *_segments(F.col("path"), depth))
-    at = [f"__s{i}" for i in range(depth)]
-    seen = nodes.select("host", *at, F.col("__bad"), F.lit(1).alias("__rows"))
+    nodes = rows.select("*", blocked.alias("__bad"), _general_path(F.col("path"), depth).alias("__path"))
+    seen = nodes.select("host", "__path", "__bad")
     if labels is not None:
-        seen = seen.unionByName(labels.select("host", *_segments(F.col("path"), depth), F.col("bad").alias("__bad"), F.lit(0).alias("__rows")))
-    counts = staged(
-        seen.groupBy("host", *at).agg(F.count("__bad").alias("__n"), F.coalesce(F.sum("__bad"), F.lit(0)).alias("__k"), F.sum("__rows").alias("__rows")),
-        "url_segments",
-    )
-    tree = counts.select("*", *[F.col(c).alias(f"__t{c[3:]}") for c in at])
-    named = [f"__t{i}" for i in range(depth)]
-    for i in range(depth):
-        tree = staged(_merge_branches(tree, ["host", *named[:i]], named[i], max_branches, merge_z), f"url_tree_{i}")
-    total = tree.groupBy("host", *named).agg(F.sum("__n").alias("__n"), F.sum("__k").alias("__k"))
-    share = (F.col("__k") + prior_weight * prior_block) / (F.col("__n") + prior_weight)
-    judged = staged(
-        tree.select("host", *at, *named)
-        .join(total.select("host", *named, share.alias("template_share")), ["host", *named])
-        .select("host", *at, F.concat_ws("/", *named).alias("template"), "template_share"),
-        "url_templates",
-    )
+        seen = seen.unionByName(labels.select("host", _general_path(F.col("path"), depth).alias("__path"), F.col("bad").alias("__bad")))
+    n, k = F.count("__bad"), F.coalesce(F.sum("__bad"), F.lit(0))
+    paths = staged(seen.groupBy("host", "__path").agg(n.alias("__n"), k.alias("__k")), "url_paths")
+    smoothed = lambda k, n, above: (k + prior_weight * above) / (n + prior_weight)
+    hosts = paths.groupBy("host").agg(F.sum("__n").alias("__hn"), F.sum("__k").alias("__hk"))
+    everywhere = hosts.agg(F.coalesce(F.avg(smoothed(F.col("__hk"), F.col("__hn"), F.lit(prior_block))), F.lit(prior_block))).first()[0]
+    hosts = hosts.select("host", smoothed(F.col("__hk"), F.col("__hn"), F.lit(everywhere)).alias("__share"))
+    segments = F.filter(F.split("__path", "/", -1), lambda x: x != "").alias("__segments")
+    tree = paths.join(hosts, "host").select("host", "__path", segments, "__n", "__k", F.lit("").alias("__node"), "__share")
+    level, done = 0, []
+    while True:
+        grown = staged(_grow(tree, level, max_branches, merge_z, smoothed), f"url_tree_{level}")
+        done.append(grown.where("__done").select("host", "__path", F.substring("__node", 2, 1 << 30).alias("template"), F.col("__share").alias("template_share")))
+        tree, level = grown.where("NOT __done").drop("__done"), level + 1
+        if tree.isEmpty():
+            break
+    judged = reduce(DataFrame.unionByName, done)
     salted = judged.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
     nodes = nodes.withColumn("__salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int"))
-    out = nodes.join(salted, ["host", *at, "__salt"], "left")
+    out = nodes.join(salted, ["host", "__path", "__salt"], "left")
     verdict = F.coalesce(F.col("__rule.verdict"), F.when(F.col("template_share") >= reject_share, "block"), F.lit("allow"))
     return out.select("page_id", "host", "path", F.col("__rule.rule").alias("rule"), verdict.alias("verdict"), "template", "template_share")
 
 
-def _segments(path: Column, depth: int) -> list[Column]:
+def _general_path(path: Column, depth: int) -> Column:
     parts = F.filter(F.split(path, "/", -1), lambda x: x != "")
-    parts = F.transform(F.slice(parts, 1, depth), _generalised)
-    return [F.coalesce(F.try_element_at(parts, F.lit(i + 1)), F.lit("")).alias(f"__s{i}") for i in range(depth)]
+    return F.coalesce(F.array_join(F.transform(F.slice(parts, 1, depth), _generalised), "/"), F.lit(""))
 
 
-def _merge_branches(tree: DataFrame, above: list[str], branch: str, most: int, z: float) -> DataFrame:
-    """`branch` becomes `*` where the branches of a node are too many, or are no different from their siblings together;
-    branches without labels tell nothing of the others, and become `?`."""
-    branches = tree.groupBy(*above, branch).agg(F.sum("__n").alias("__bn"), F.sum("__k").alias("__bk"))
+def _grow(tree: DataFrame, level: int, most: int, z: float, smoothed: Callable[[Column, Column, Column], Column]) -> DataFrame:
+    """Each path goes on to a branch of its node, or to `*` where the branches of the node are too many, or the branch is
+    no different from its siblings together or has no labels. `__done` are the paths that end there, that are alone, or
+    that stand where nothing is labelled: no further level changes their share."""
+    segment = F.coalesce(F.try_element_at("__segments", F.lit(level + 1)), F.lit(""))
+    tree = tree.withColumn("__branch", segment)
+    above = ["host", "__node"]
+    branches = tree.groupBy(*above, "__branch").agg(F.sum("__n").alias("__bn"), F.sum("__k").alias("__bk"), F.count("*").alias("__paths"), F.max("__share").alias("__above"))
     node = branches.groupBy(*above).agg(F.count("*").alias("__branches"), F.sum("__bn").alias("__nn"), F.sum("__bk").alias("__nk"))
     rest_n, rest_k = F.col("__nn") - F.col("__bn"), F.col("__nk") - F.col("__bk")
     p = (F.col("__nk") + 0.5) / (F.col("__nn") + 1)
     gap = F.abs(F.try_divide(F.col("__bk"), F.col("__bn")) - F.try_divide(rest_k, rest_n))
     apart = (rest_n == 0) | (gap > z * F.sqrt(p * (1 - p) * (F.try_divide(F.lit(1), F.col("__bn")) + F.try_divide(F.lit(1), rest_n))))
     name = (
-        F.when(F.col(branch) == "", "")
-        .when(F.col("__bn") == 0, "?")
-        .when((F.col("__branches") <= most) & apart, F.col(branch))
+        F.when(F.col("__branch") == "", "")
+        .when((F.col("__bn") > 0) & (F.col("__branches") <= most) & apart, F.col("__branch"))
         .otherwise("*")
     )
-    keys = [*above, branch]
-    merged = branches.join(node, above).select(*keys, name.alias("__merged"))
-    joined = tree.join(merged, keys)
-    return joined.select(*[F.col("__merged").alias(c) if c == branch else F.col(c) for c in tree.columns])
+    named = branches.join(node, above).select(*branches.columns, "__nn", name.alias("__name"))
+    kept = F.when(F.col("__cn") == F.col("__nn"), F.col("__above")).otherwise(smoothed(F.col("__ck"), F.col("__cn"), F.col("__above")))
+    pooled = named.groupBy(*above, "__name").agg(
+        F.sum("__bn").alias("__cn"), F.sum("__bk").alias("__ck"), F.sum("__paths").alias("__cp"), F.max("__above").alias("__above"), F.max("__nn").alias("__nn")
+    )
+    pooled = pooled.select(*above, "__name", "__cn", "__cp", kept.alias("__new"))
+    joined = tree.join(named.select(*above, "__branch", "__name").join(pooled, [*above, "__name"]), [*above, "__branch"])
+    done = (F.col("__branch") == "") | (F.col("__cp") == 1) | (F.col("__cn") == 0)
+    rest = F.slice("__segments", F.lit(level + 2), F.greatest(F.size("__segments") - (level + 1), F.lit(0)))
+    rest = F.when(F.col("__cn") > 0, rest).otherwise(F.transform(rest, lambda x: F.lit("*")))
+    names = F.when(F.col("__branch") == "", F.array().cast("array<string>")).otherwise(F.concat(F.array("__name"), F.when(done, rest).otherwise(F.array().cast("array<string>"))))
+    node_name = F.concat("__node", F.array_join(F.transform(names, lambda x: F.concat(F.lit("/"), x)), ""))
+    return joined.select("host", "__path", "__segments", "__n", "__k", node_name.alias("__node"), F.col("__new").alias("__share"), done.alias("__done"))

@@ -173,6 +173,19 @@ def test_templates_that_are_mostly_bad_are_rejected(spark):
     assert {r["page_id"]: r["verdict"] for r in got.collect()} == {0: "block", 1: "allow", 2: "allow", 3: "allow"}
 
 
+def test_labelled_purity_reaches_urls_without_labels(spark):
+    """Unlabelled sections take the share of their siblings together, unlabelled hosts that of all hosts."""
+    urls = [f"http://bad.net/{s}/{i}" for s in ("es", "fr") for i in range(20)] + ["http://bad.net/en/1", "http://bad.net/en/1/2/3", "http://other.org/en/1"]
+    good = [f"http://good.com/{s}/{i}" for s in ("es", "fr") for i in range(40)] + ["http://good.com/en/1"]
+    pages = spark.createDataFrame(list(enumerate(urls + good)), "page_id long, url string")
+    rules = [("good.com/es/", "allow"), ("good.com/fr/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
+    got = {(r["host"], r["path"]): r for r in judge_urls(pages, rules).collect() if r["rule"] is None}
+    assert {k: r["verdict"] for k, r in got.items()} == {("bad.net", "/en/1"): "block", ("bad.net", "/en/1/2/3"): "block", ("other.org", "/en/1"): "allow", ("good.com", "/en/1"): "allow"}
+    everywhere = ((40 + 0.4) / 44 + 0.4 / 84 + 0.1) / 3
+    assert got["other.org", "/en/1"]["template_share"] == pytest.approx(everywhere)
+    assert got["bad.net", "/en/1"]["template_share"] == pytest.approx((40 + 4 * everywhere) / 44)
+
+
 # --- Top-k search
 
 def test_top_k_by_brute_force(spark):
