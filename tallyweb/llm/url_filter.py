@@ -62,8 +62,6 @@ def judge_urls(
     pages: DataFrame,
     rules: list[tuple[str, str]],
     labels: DataFrame | None = None,
-    depth: int = 4,
-    max_branches: int = 64,
     merge_z: float = 2.0,
     prior_block: float = 0.1,
     prior_weight: float = 4.0,
@@ -72,10 +70,10 @@ def judge_urls(
     """`page_id, host, path, rule, verdict, template, template_share` for each row of `pages` (page_id, url).
 
     Urls under a rule take its verdict, and are the labelled ones; `labels` (host, path, bad 0/1) adds others. The tree of
-    a host is made of the first `depth` segments of its paths. Segments that vary by form become wildcards; a node with
-    more than `max_branches` branches has them all replaced by `*`. Branches of one node whose shares of blocked urls lie
-    within `merge_z` standard errors of their siblings' are merged to `*`, and so are those without labels; the others
-    stay apart. A template's share is smoothed towards that of the node above,
+    a host is made of all segments of its paths, and of as many branches as there are. Segments that vary by form become
+    wildcards. Branches of one node whose shares of blocked urls lie within `merge_z` standard errors of their siblings'
+    are merged to `*`, and so are those without labels; the others stay apart. The tree grows level by level, as long as
+    labelled paths part. A template's share is smoothed towards that of the node above,
     (blocked + prior_weight * share above) / (labelled + prior_weight), or is the share above where both have the same
     labels. Above a host is the mean of all hosts' shares, smoothed towards `prior_block` for this; so each host weighs
     the same there, and those without labels speak for the prior. Templates with a share of at least `reject_share` are
@@ -87,10 +85,10 @@ def judge_urls(
     rows = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     rows = rows.withColumn("__rule", rule_for(F.col("host"), F.col("path"), rules))
     blocked = F.when(F.col("__rule.verdict") == "block", 1).when(F.col("__rule").isNotNull(), 0)
-    nodes = rows.select("*", blocked.alias("__bad"), _general_path(F.col("path"), depth).alias("__path"))
+    nodes = rows.select("*", blocked.alias("__bad"), _general_path(F.col("path")).alias("__path"))
     seen = nodes.select("host", "__path", "__bad")
     if labels is not None:
-        seen = seen.unionByName(labels.select("host", _general_path(F.col("path"), depth).alias("__path"), F.col("bad").alias("__bad")))
+        seen = seen.unionByName(labels.select("host", _general_path(F.col("path")).alias("__path"), F.col("bad").alias("__bad")))
     n, k = F.count("__bad"), F.coalesce(F.sum("__bad"), F.lit(0))
     paths = staged(seen.groupBy("host", "__path").agg(n.alias("__n"), k.alias("__k")), "url_paths")
     smoothed = lambda k, n, above: (k + prior_weight * above) / (n + prior_weight)
@@ -101,7 +99,7 @@ def judge_urls(
     tree = paths.join(hosts, "host").select("host", "__path", segments, "__n", "__k", F.lit("").alias("__node"), "__share")
     level, done = 0, []
     while True:
-        grown = staged(_grow(tree, level, max_branches, merge_z, smoothed), f"url_tree_{level}")
+        grown = staged(_grow(tree, level, merge_z, smoothed), f"url_tree_{level}")
         done.append(grown.where("__done").select("host", "__path", F.substring("__node", 2, 1 << 30).alias("template"), F.col("__share").alias("template_share")))
         tree, level = grown.where("NOT __done").drop("__done"), level + 1
         if tree.isEmpty():
@@ -114,27 +112,27 @@ def judge_urls(
     return out.select("page_id", "host", "path", F.col("__rule.rule").alias("rule"), verdict.alias("verdict"), "template", "template_share")
 
 
-def _general_path(path: Column, depth: int) -> Column:
+def _general_path(path: Column) -> Column:
     parts = F.filter(F.split(path, "/", -1), lambda x: x != "")
-    return F.coalesce(F.array_join(F.transform(F.slice(parts, 1, depth), _generalised), "/"), F.lit(""))
+    return F.coalesce(F.array_join(F.transform(parts, _generalised), "/"), F.lit(""))
 
 
-def _grow(tree: DataFrame, level: int, most: int, z: float, smoothed: Callable[[Column, Column, Column], Column]) -> DataFrame:
-    """Each path goes on to a branch of its node, or to `*` where the branches of the node are too many, or the branch is
-    no different from its siblings together or has no labels. `__done` are the paths that end there, that are alone, or
+def _grow(tree: DataFrame, level: int, z: float, smoothed: Callable[[Column, Column, Column], Column]) -> DataFrame:
+    """Each path goes on to a branch of its node, or to `*` where the branch is no different from its siblings together
+    or has no labels. `__done` are the paths that end there, that are alone, or
     that stand where nothing is labelled: no further level changes their share."""
     segment = F.coalesce(F.try_element_at("__segments", F.lit(level + 1)), F.lit(""))
     tree = tree.withColumn("__branch", segment)
     above = ["host", "__node"]
     branches = tree.groupBy(*above, "__branch").agg(F.sum("__n").alias("__bn"), F.sum("__k").alias("__bk"), F.count("*").alias("__paths"), F.max("__share").alias("__above"))
-    node = branches.groupBy(*above).agg(F.count("*").alias("__branches"), F.sum("__bn").alias("__nn"), F.sum("__bk").alias("__nk"))
+    node = branches.groupBy(*above).agg(F.sum("__bn").alias("__nn"), F.sum("__bk").alias("__nk"))
     rest_n, rest_k = F.col("__nn") - F.col("__bn"), F.col("__nk") - F.col("__bk")
     p = (F.col("__nk") + 0.5) / (F.col("__nn") + 1)
     gap = F.abs(F.try_divide(F.col("__bk"), F.col("__bn")) - F.try_divide(rest_k, rest_n))
     apart = (rest_n == 0) | (gap > z * F.sqrt(p * (1 - p) * (F.try_divide(F.lit(1), F.col("__bn")) + F.try_divide(F.lit(1), rest_n))))
     name = (
         F.when(F.col("__branch") == "", "")
-        .when((F.col("__bn") > 0) & (F.col("__branches") <= most) & apart, F.col("__branch"))
+        .when((F.col("__bn") > 0) & apart, F.col("__branch"))
         .otherwise("*")
     )
     named = branches.join(node, above).select(*branches.columns, "__nn", name.alias("__name"))

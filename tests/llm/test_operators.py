@@ -3,6 +3,7 @@ columns with clashing names."""
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -186,6 +187,17 @@ def test_labelled_purity_reaches_urls_without_labels(spark):
     assert got["bad.net", "/en/1"]["template_share"] == pytest.approx((40 + 4 * everywhere) / 44)
 
 
+def test_templates_on_wide_and_deep_hosts(spark):
+    """A bad section among a hundred is told apart, and so are paths that differ in their sixth segment only."""
+    words = ["".join(p) for p in itertools.product("abcde", repeat=3)][:100]
+    labels = [("wide.org", f"/{w}/{i}", int(w == "abc")) for w in words for i in range(20)]
+    labels += [("deep.org", f"/a/b/c/d/e/{s}/{i}", int(s == "ads")) for s in ("ads", "news") for i in range(20)]
+    urls = ["http://wide.org/abc/77", "http://wide.org/abd/77", "http://deep.org/a/b/c/d/e/ads/77", "http://deep.org/a/b/c/d/e/news/77"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = judge_urls(pages, [], spark.createDataFrame(labels, "host string, path string, bad int"))
+    assert {r["page_id"]: r["verdict"] for r in got.collect()} == {0: "block", 1: "allow", 2: "block", 3: "allow"}
+
+
 # --- Top-k search
 
 def test_top_k_by_brute_force(spark):
