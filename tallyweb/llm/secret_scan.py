@@ -10,14 +10,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 # Fixed patterns of the base kinds, in their order
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # at least 20 characters; a shorter run holds no longer one
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "random")
 
-#: Strings judged by the models: long runs that hold a letter and a digit.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
+#: Strings judged by the models, whole and by their pieces between `/`: runs so long that their sum can reach the least.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+"
+SPANS = "array<struct<k:int,start:int,end:int>>"
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 FIRST = 35  # code of the first class character; classes: a to z, upper case, digits, joints, other
 CLASSES = 30
@@ -94,29 +97,54 @@ def train(samples: DataFrame, smoothing: float = 0.5) -> Model:
     return Model(tuple(round(r - o, 4) for r, o in zip(logs(1), logs(0), strict=True)))
 
 
-def _spans(kind: str, text: Column, pattern: str, passes, cheap: Column) -> Column:
-    """Spans of the leftmost non-overlapping matches that pass, or none if the cheap test fails. A match starts after the
-    texts between matches, and the matches, before it."""
+def _none() -> Column:
+    return F.expr(f"cast(array() as {SPANS})")
+
+
+def _span(kind: str, start: Column, end: Column) -> Column:
+    return F.array(F.struct(F.lit(KINDS.index(kind)).alias("k"), start.alias("start"), end.alias("end")))
+
+
+def _spans(text: Column, pattern: str, spans_of, cheap: Column) -> Column:
+    """What `spans_of(match, start, spans so far)` makes of the leftmost non-overlapping matches, or none if the cheap test
+    fails. A match starts after the texts between matches, and the matches, before it."""
     n_between = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
-        end = start + F.length(x["match"])
-        span = F.struct(F.lit(KINDS.index(kind)).alias("k"), start.alias("start"), end.alias("end"), x["match"].alias("match"))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+        return F.struct((start + F.length(x["match"])).alias("at"), spans_of(x["match"], start, acc["spans"]).alias("spans"))
 
-    none = F.expr("cast(array() as array<struct<k:int,start:int,end:int,match:string>>)")
     paired = F.zip_with(F.slice(n_between, F.lit(1), F.size(matches)), matches, lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
-    found = F.aggregate(paired, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
-    return F.when(cheap & text.rlike(pattern), F.filter(found, lambda s: passes(s["match"]))).otherwise(none)
+    found = F.aggregate(paired, F.struct(F.lit(0).alias("at"), _none().alias("spans")), step, lambda acc: acc["spans"])
+    return F.when(cheap & text.rlike(pattern), found).otherwise(_none())
+
+
+def _passing(kind: str, passes):
+    """For `_spans`: the whole match, added to the spans so far if it passes."""
+    return lambda m, start, so_far: F.when(passes(m), F.concat(so_far, _span(kind, start, start + F.length(m)))).otherwise(so_far)
+
+
+def _outside(span: Column, base: Column) -> Column:
+    """The parts of `span` that no span of `base`, which is sorted by start, covers."""
+    meets = F.filter(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+
+    def step(acc: Column, b: Column) -> Column:
+        parts = F.when(b["start"] > acc["at"], F.concat(acc["parts"], _span("random", acc["at"], b["start"]))).otherwise(acc["parts"])
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), parts.alias("parts"))
+
+    def last(acc: Column) -> Column:
+        return F.when(acc["at"] < span["end"], F.concat(acc["parts"], _span("random", acc["at"], span["end"]))).otherwise(acc["parts"])
+
+    return F.aggregate(meets, F.struct(span["start"].alias("at"), _none().alias("parts")), step, last)
 
 
 def find_secrets(docs: DataFrame, model: Model) -> DataFrame:
     """`docs` with `spans` added: (kind, start, end) in code points, the end exclusive, by start, then kind.
 
     Kinds assign, access and hex are those of the fixed patterns; `random` are further strings that the model takes for
-    random, and which overlap none of the others. Null texts are empty; rows that repeat are scanned each by itself. A
+    random, of any length: runs of letters, digits and `+/_-`, or else their pieces between `/`, without the parts that
+    the others cover. Null texts are empty; rows that repeat are scanned each by itself. A
     column `spans` of the input is replaced; others pass through.
     """
     docs = docs.drop("spans")
@@ -124,21 +152,30 @@ def find_secrets(docs: DataFrame, model: Model) -> DataFrame:
     anything = F.lit(True)
     # the pattern's own greedy match decides what it consumes, so a value too short is dropped only afterwards
     long_value = lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 6
-    assign = _spans("assign", text, ASSIGN, long_value, text.contains("=") | text.contains(":"))
-    access = _spans("access", text, ACCESS, lambda m: anything, text.contains("AKIA"))
-    hexes = _spans("hex", text, HEX, lambda m: anything, anything)
+    assign = _spans(text, ASSIGN, _passing("assign", long_value), text.contains("=") | text.contains(":"))
+    access = _spans(text, ACCESS, _passing("access", lambda m: anything), text.contains("AKIA"))
+    hexes = _spans(text, HEX, _passing("hex", lambda m: anything), anything)
     table = F.array(*[F.lit(x) for x in model.ratios])
 
     def is_random(m: Column) -> Column:
         total = F.aggregate(_pairs(m), F.lit(0.0), lambda acc, p: acc + F.get(table, p))
-        return m.rlike("[0-9]") & m.rlike("[A-Za-z]") & (total >= model.least) & (total >= model.mean * F.length(m))
-
-    guesses = _spans("random", text, CANDIDATE, is_random, anything)
-    out = docs.select("*", F.concat(assign, access, hexes).alias("__base"), guesses.alias("__more"))
-    apart = lambda s: ~F.exists("__base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    ordered = F.sort_array(
-        F.transform(F.concat("__base", F.filter("__more", apart)), lambda s: F.struct(s["start"].alias("start"), s["k"].alias("k"), s["end"].alias("end")))
-    )
+        return let(total, lambda t: (t >= model.least) & (t >= model.mean * F.length(m)))
+
+    one = _passing("random", is_random)
+
+    def run_or_pieces(m: Column, start: Column, so_far: Column) -> Column:
+        def step(acc: Column, piece: Column) -> Column:
+            return F.struct((acc["at"] + F.length(piece) + 1).alias("at"), one(piece, acc["at"], acc["spans"]).alias("spans"))
+
+        pieces = F.aggregate(F.split(m, "/", -1), F.struct(start.alias("at"), so_far.alias("spans")), step, lambda acc: acc["spans"])
+        return F.when(is_random(m), F.concat(so_far, _span("random", start, start + F.length(m)))).when(m.contains("/"), pieces).otherwise(so_far)
+
+    most = max(model.ratios)
+    guesses = _spans(text, CANDIDATE % (1 + math.ceil(model.least / most)), run_or_pieces, anything) if most > 0 else _none()
+    by_start = lambda spans: F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["k"].alias("k"), s["end"].alias("end"))))
+    out = docs.select("*", by_start(F.concat(assign, access, hexes)).alias("__base"), guesses.alias("__more"))
+    more = F.flatten(F.transform("__more", lambda s: _outside(s, F.col("__base"))))
+    ordered = F.sort_array(F.concat("__base", F.transform(more, lambda s: F.struct(s["start"].alias("start"), s["k"].alias("k"), s["end"].alias("end")))))
     kinds = F.array(*[F.lit(k) for k in KINDS])
     spans = F.transform(ordered, lambda s: F.struct(F.get(kinds, s["k"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return out.select(*docs.columns, spans.alias("spans"))

@@ -362,6 +362,23 @@ def test_random_strings_are_told_from_identifiers(spark, model):
     assert len([i for i in found if i < 200]) >= 190 and len([i for i in found if i >= 200]) <= 4
 
 
+def test_random_strings_without_gates(spark, model):
+    """Short keys, keys without a digit, keys in a path, and what stands beside a fixed pattern in a run."""
+    rnd = random.Random(6)
+    key = lambda letters, n: "".join(rnd.choice(letters) for _ in range(n))
+    upper_lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    short, plain = [key(upper_lower + "0123456789", 18) for _ in range(50)], [key(upper_lower, 24) for _ in range(50)]
+    path = "the/thing/that/was/returned/from/the/other/station/of/the/thing/that/was/returned/from/there"
+    deep = [f"{path}/{k}/{path}" for k in plain]
+    hexes = "deadbeefdeadbeefdeadbeef01"
+    docs = docs_of(spark, *enumerate(f"so {x} it is" for x in [*short, *plain, *deep, plain[0] + "_" + hexes + "Z" + plain[1]]))
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in find_secrets(docs, model).collect()}
+    assert sum(("random", 3, 21) in found[i] for i in range(50)) >= 45 and sum(("random", 3, 27) in found[i] for i in range(50, 100)) >= 45
+    at = 3 + len(path) + 1
+    assert sum(("random", at, at + 24) in found[i] for i in range(100, 150)) >= 45
+    assert found[150] == [("random", 3, 28), ("hex", 28, 54), ("random", 54, 79)]
+
+
 # --- Quality
 
 def test_quality_held_out(spark):
