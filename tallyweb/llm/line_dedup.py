@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+from .columns import free_prefix
 from .staging import staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -23,10 +25,22 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _key_hash(line: Column, min_chars: int) -> Column:
-    """96 bits of the line's key, or null for a short one."""
-    key = lower_ascii(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")))
-    return F.when(F.length(key) >= min_chars, F.struct(F.xxhash64(key).alias("a"), F.hash(key).alias("b")))
+def _line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
+    """(doc_id, text_hash, pos, a, b): the 96-bit hash of the key of each line that is long enough, and where it stands."""
+    lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
+    lines = lines.where(F.length("line") >= min_chars).select("doc_id", "text_hash", "pos", F.btrim("line", F.lit(" \t\n\x0b\x0c\r")).alias("line"))
+    lines = lines.where(F.length("line") >= min_chars).select("doc_id", "text_hash", "pos", lower_ascii(F.col("line")).alias("key"))
+    return lines.select("doc_id", "text_hash", "pos", F.xxhash64("key").alias("a"), F.hash("key").alias("b"))
+
+
+def _between(lines: Column, drops: Column) -> Column:
+    """The lines at positions other than `drops`, which are sorted: the slices between them."""
+
+    def slices(lines: Column, edges: Column) -> Column:
+        each = F.sequence(F.lit(0), F.size(edges) - 2)
+        return F.flatten(F.transform(each, lambda i: F.slice(lines, F.get(edges, i) + 2, F.get(edges, i + 1) - F.get(edges, i) - 1)))
+
+    return let(lines, lambda x: let(F.concat(F.array(F.lit(-1)), drops, F.array(F.size(x))), lambda edges: slices(x, edges)))
 
 
 def drop_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
@@ -37,37 +51,24 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5)
 
     Null and empty texts are one empty line, and come back empty. Rows with a null doc_id count towards no key, and lose
     all lines of keys that are dropped. Rows that share a doc_id count as one document. Columns n_lines and n_dropped of
-    the input are replaced; other columns pass through.
+    the input are replaced; other columns pass through, whatever their names. No rows give no rows.
     """
-    hashes = F.transform(_lines(F.col("text")), lambda x: _key_hash(x, min_chars))
-    keys = docs.select("doc_id", F.explode(F.array_distinct(F.filter(hashes, lambda h: h.isNotNull()))).alias("__key"))
-    keys = keys.select("doc_id", F.col("__key.a").alias("__a"), F.col("__key.b").alias("__b"))
-    frequent = staged(
-        keys.groupBy("__a", "__b")
-        .agg(F.count_distinct("doc_id").alias("__n"), F.max("doc_id").alias("__keeper"))
-        .where(F.col("__n") >= min_docs)
-        .select("__a", "__b", "__keeper"),
-        "frequent_lines",
-    )
+    p = free_prefix(docs)
+    keys = staged(_line_keys(docs, min_chars), "line_keys")
+    frequent = keys.groupBy("a", "b").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs)
     drops = (
-        keys.join(frequent, ["__a", "__b"])
-        .where(~F.col("doc_id").eqNullSafe(F.col("__keeper")))
-        .groupBy(F.col("doc_id").alias("__doc_id"))
-        .agg(F.collect_set(F.struct(F.col("__a").alias("a"), F.col("__b").alias("b"))).alias("__drop"))
-    )
-    passing = [c for c in docs.columns if c.lower() not in ("text", "n_lines", "n_dropped")]
-    lines = docs.join(drops, docs["doc_id"].eqNullSafe(drops["__doc_id"]), "left").select(
-        *[docs[c] for c in passing], _lines(docs["text"]).alias("__lines"), "__drop"
-    )
-    stay = F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(
-        F.filter("__lines", lambda x: ~F.coalesce(F.array_contains("__drop", _key_hash(x, min_chars)), F.lit(False)))
-    )
-    lines = lines.withColumn("__stay", stay)
-    out = lines.select(
-        *passing,
-        F.array_join("__stay", "\n").alias("text"),
-        F.size("__lines").cast("long").alias("n_lines"),
-        (F.size("__lines") - F.size("__stay")).cast("long").alias("n_dropped"),
+        keys.join(frequent.select("a", "b", "keeper"), ["a", "b"])
+        .where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+        .groupBy(F.col("doc_id").alias(p + "doc_id"), F.col("text_hash").alias(p + "of"))
+        .agg(F.sort_array(F.collect_set("pos")).alias(p + "drops"))
     )
     order = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
-    return out.select(*order, "n_lines", "n_dropped")
+    mine = docs.select(*order, F.xxhash64("text").alias(p + "hash"))
+    joined = mine.join(drops, mine["doc_id"].eqNullSafe(drops[p + "doc_id"]) & (mine[p + "hash"] == drops[p + "of"]), "left")
+    dropped, text = F.col(p + "drops"), F.coalesce("text", F.lit(""))
+    stay = F.when(dropped.isNull(), text).otherwise(F.array_join(_between(_lines(text), dropped), "\n"))
+    return joined.select(
+        *[stay.alias(c) if c.lower() == "text" else F.col(c) for c in order],
+        (F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1).cast("long").alias("n_lines"),
+        F.coalesce(F.size(dropped), F.lit(0)).cast("long").alias("n_dropped"),
+    )
