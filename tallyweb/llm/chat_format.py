@@ -1,5 +1,5 @@
-"""Chat formatting: a finite-state machine over roles checks the order of turns, and a declarative template turns each
-turn into text segments with loss flags. DataFrame functions only.
+"""Chat formatting: a finite-state machine over roles goes through the turns; its states check their order and emit each
+turn's text segments with loss flags, as a declarative template says. DataFrame functions only.
 
 Control strings within texts are escaped, so that the formatted text can be read back: `parse_formatted` does that.
 """
@@ -11,6 +11,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+from .columns import scan
+
 ESCAPE = "\\"
 
 
@@ -20,6 +23,8 @@ class Template:
 
     A turn is `open` role `sep` text `close`. Every control string begins with `mark`, which texts never hold once they
     are escaped. `moves` maps (state, role) to the next state; `start` is the first and `ends` are the last ones allowed.
+    A role that has no move from a state is out of order; the machine goes on from the state that `resume` has for the role,
+    or `other`. The text of a turn is learned if the machine is in one of the states `learned` then.
     """
 
     mark: str = "<|"
@@ -28,6 +33,7 @@ class Template:
     close: str = "<|im_end|>\n"
     learned: tuple[str, ...] = ("assistant",)
     start: str = "start"
+    other: str = "other"
     ends: tuple[str, ...] = ("assistant",)
     moves: dict[tuple[str, str], str] = field(
         default_factory=lambda: {
@@ -38,6 +44,7 @@ class Template:
             ("assistant", "user"): "user",
         }
     )
+    resume: dict[str, str] = field(default_factory=lambda: {role: role for role in ("system", "user", "assistant")})
 
 
 CHATML = Template()
@@ -73,41 +80,57 @@ def unescape_role(role: Column, template: Template = CHATML) -> Column:
     )
 
 
-def _last_state(roles: Column, template: Template) -> Column:
-    moves = F.create_map(*[F.lit(x) for (state, role), to in template.moves.items() for x in (f"{state}\n{role}", to)])
-    step = lambda state, role: F.coalesce(F.try_element_at(moves, F.concat(state, F.lit("\n"), role)), F.lit("invalid"))
-    return F.aggregate(roles, F.lit(template.start), step)
+def _map(pairs: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+
+
+def _states(roles: Column, template: Template) -> Column:
+    """For each turn (state, in_order): the machine's state after its role, and whether there was a move to it."""
+    moves, resume = _map({f"{state}\n{role}": to for (state, role), to in template.moves.items()}), _map(template.resume)
+
+    def step(state: Column, role: Column) -> tuple[Column, Column]:
+        to = F.try_element_at(moves, F.concat(state, F.lit("\n"), role))
+        after = F.coalesce(to, F.try_element_at(resume, role), F.lit(template.other))
+        return after, F.struct(after.alias("state"), to.isNotNull().alias("in_order"))
+
+    return scan(roles, F.lit(template.start), step, "struct<state:string,in_order:boolean>")
 
 
 def format_chats(turns: DataFrame, template: Template = CHATML) -> DataFrame:
-    """(conv_id, formatted, segments, valid): one row for each conversation, of turns (conv_id, turn, role, text).
+    """(conv_id, formatted, segments, valid, bad_turn): one row for each conversation, of turns (conv_id, turn, role, text).
 
     Turns go by `turn`, then role and text, nulls first; rows that repeat a turn are turns of their own. Null roles and
     texts are empty. A null conv_id is a conversation as any other. Extra columns are left out. `segments` are the pieces
-    of `formatted` in order, as (text, loss); `valid` tells whether the roles' order is one that the template allows;
-    conversations of another order are formatted all the same. No rows give no rows.
+    of `formatted` in order, as (text, loss), as the machine's states emit them. `bad_turn` is the place, from 0, of the
+    first turn that is out of order, if any; `valid` tells whether there is none and the last state may be a last one.
+    Conversations of another order are formatted all the same. No rows give no rows.
 
     A conversation is one row of the output, and so must fit a task; nothing else is gathered.
     """
     row = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    chats = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(row)).alias("__turns"))
+    chats = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(row)).alias("turns"))
+    chats = chats.select("conv_id", "turns", _states(F.transform("turns", lambda t: t["role"]), template).alias("states"))
 
     def segment(text: Column, loss: Column) -> Column:
         return F.struct(text.alias("text"), loss.alias("loss"))
 
-    def written(t: Column) -> Column:
+    def emitted(t: Column, s: Column) -> Column:
         return F.array(
             segment(F.concat(F.lit(template.open), escape_role(t["role"], template), F.lit(template.sep)), F.lit(False)),
-            segment(escape(t["text"], template), t["role"].isin(*template.learned)),
+            segment(escape(t["text"], template), s["state"].isin(*template.learned)),
             segment(F.lit(template.close), F.lit(False)),
         )
 
+    bad = F.nullif(F.array_position(F.transform("states", lambda s: s["in_order"]), F.lit(False)), F.lit(0)) - 1
     chats = chats.select(
         "conv_id",
-        F.flatten(F.transform("__turns", written)).alias("segments"),
-        _last_state(F.transform("__turns", lambda t: t["role"]), template).isin(*template.ends).alias("valid"),
+        F.flatten(F.zip_with("turns", "states", emitted)).alias("segments"),
+        bad.cast("long").alias("bad_turn"),
+        F.element_at("states", -1)["state"].isin(*template.ends).alias("ends"),
+    )
+    return chats.select(
+        "conv_id", F.array_join(F.col("segments.text"), "").alias("formatted"), "segments", (F.col("bad_turn").isNull() & F.col("ends")).alias("valid"), "bad_turn"
     )
-    return chats.select("conv_id", F.array_join(F.col("segments.text"), "").alias("formatted"), "segments", "valid")
 
 
 def parse_formatted(formatted: Column, template: Template = CHATML) -> Column:
@@ -130,17 +153,17 @@ def _quoted(text: str) -> str:
 
 
 def chat_digest(turns: DataFrame, template: Template = CHATML) -> DataFrame:
-    """Digests of what is read back from the output of format_chats()."""
-    chats = format_chats(turns, template).withColumn("__turns", parse_formatted(F.col("formatted"), template))
+    """Digests of what is read back from the output of format_chats(), whose docstring says how odd rows are taken, and the
+    machine's verdict."""
+    chats = format_chats(turns, template).withColumn("turns", parse_formatted(F.col("formatted"), template))
     learned = F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["text"], template))
-    chats = chats.withColumn("__learned", F.array_join(learned, ""))
-    lines = F.transform("__turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return chats.select(
         "conv_id",
-        F.size("__turns").cast("long").alias("n_turns"),
+        F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
-        F.length("__learned").cast("long").alias("loss_chars"),
-        F.sha2("__learned", 256).alias("loss_sha256"),
+        let(F.array_join(learned, ""), lambda x: F.struct(F.length(x).cast("long").alias("chars"), F.sha2(x, 256).alias("sha256"))).alias("learned"),
         F.length("formatted").cast("long").alias("formatted_chars"),
         "valid",
-    )
+        "bad_turn",
+    ).select("conv_id", "n_turns", "turns_sha256", F.col("learned.chars").alias("loss_chars"), F.col("learned.sha256").alias("loss_sha256"), "formatted_chars", "valid", "bad_turn")

@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyweb.llm import queries
-from tallyweb.llm.chat_format import chat_digest, format_chats
+from tallyweb.llm.chat_format import Template, chat_digest, format_chats
 from tallyweb.llm.components import components
 from tallyweb.llm.decontaminate import drop_contaminated, find_contamination
 from tallyweb.llm.line_dedup import drop_repeated_lines
@@ -109,7 +109,27 @@ def test_order_of_roles(spark):
     role = {"u": "user", "a": "assistant", "s": "system"}
     rows = [(i, t, role[x], "t") for i, chat in enumerate(ok) for t, x in enumerate(chat)]
     got = format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
-    assert {r["conv_id"]: r["valid"] for r in got.collect()} == {i: v for i, v in enumerate(ok.values()) if v is not None}
+    got = {r["conv_id"]: r for r in got.collect()}
+    assert {i: r["valid"] for i, r in got.items()} == {i: v for i, v in enumerate(ok.values()) if v is not None}
+    assert [got[i]["bad_turn"] for i in range(7)] == [None, None, None, None, 0, 1, 1]
+
+
+def test_states_emit_segments(spark):
+    """What is learned is what the template's states say, also after a turn out of order, and in a long conversation."""
+    roles = ["user", "assistant"] * 700 + ["assistant", "odd", "assistant", "user"]
+    rows = [(1, t, role, f"{role}{t}") for t, role in enumerate(roles)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    (got,) = format_chats(turns).collect()
+    assert (got["valid"], got["bad_turn"]) == (False, 1400)
+    assert [s["text"] for s in got["segments"] if s["loss"]] == [x for _, _, role, x in rows if role == "assistant"]
+    asked = Template(learned=("asked",), moves={("start", "user"): "asked", ("asked", "assistant"): "told", ("told", "user"): "again", ("again", "assistant"): "told"}, ends=("told",))
+    (got,) = format_chats(turns.where("turn < 6"), asked).collect()
+    assert got["valid"] and [s["text"] for s in got["segments"] if s["loss"]] == ["user0"]
+
+
+def test_the_machine_is_in_the_query(spark):
+    plan = queries.QUERIES["op7_chat_format"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "in_order" in plan
 
 
 # --- Packing
@@ -200,7 +220,7 @@ def test_templates_on_wide_and_deep_hosts(spark):
 
 # --- Top-k search
 
-def test_top_k_by_brute_force(spark):
+def test_top_k_by_brute_force(spark, monkeypatch):
     rnd = np.random.default_rng(1)
     vectors = {i: [float(x) for x in rnd.normal(size=40)] for i in range(300)}
     vectors |= {i: vectors[i - 300] for i in range(300, 310)}  # ties
@@ -213,13 +233,27 @@ def test_top_k_by_brute_force(spark):
         best = sorted(((-sum(map(lambda a, b: a * b, v[q], v[c])), c) for c in v if c != q))[:5]
         want |= {(q, k + 1, c, -s) for k, (s, c) in enumerate(best)}
     assert {tuple(r) for r in top_k(df, F.col("vec_id") % 50 == 0).collect()} == want
+    monkeypatch.setattr("tallyweb.llm.topk_search.BLOCK_ROWS", 60)
+    monkeypatch.setattr("tallyweb.llm.topk_search.BLOCK_QUERIES", 3)
+    assert {tuple(r) for r in top_k(df, F.col("vec_id") % 50 == 0).collect()} == want
     assert top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
 def test_top_k_of_large_integers(spark):
-    df = spark.createDataFrame([(0, [1e6, 1.0]), (1, [1e6, 1.0]), (2, [1e6, 2.0])], "vec_id long, embedding array<double>")
-    got = [tuple(r) for r in top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()]
-    assert got == [(0, 1, 2, (256 * 10**6) ** 2 + 2 * 256**2), (0, 2, 1, (256 * 10**6) ** 2 + 256**2)]
+    """All finite vectors take part: sums beyond what floats add exactly, and components beyond 2^53 and 2^200."""
+    rnd = random.Random(3)
+    vectors = {i: [rnd.choice((-1, 1)) * rnd.random() * 10.0 ** rnd.randrange(5) for _ in range(8)] for i in range(40)}
+    vectors |= {40: [1e6, 1.0] + [0.0] * 6, 41: [1e6, 2.0] + [0.0] * 6, 42: [2.0**54] + [0.0] * 7, 43: [0.0, 1e300] + [0.0] * 6}
+    vectors[0][:2] = [0.005, 0.0]
+    for queries_, of in (([40], 42), ([0, 40], 42), ([0], 44)):
+        mine = {i: v for i, v in vectors.items() if i < of}
+        whole = {i: [math.floor(256 * x) if abs(x) < 2**53 else int(x) * 256 for x in v] for i, v in mine.items()}
+        want = set()
+        for q in queries_:
+            best = sorted((-sum(a * b for a, b in zip(whole[q], w, strict=True)), i) for i, w in whole.items() if i != q)[:5]
+            want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(best)}
+        df = spark.createDataFrame(list(mine.items()), "vec_id long, embedding array<double>")
+        assert {tuple(r) for r in top_k(df, F.col("vec_id").isin(queries_)).collect()} == want
 
 
 # --- Decontamination
