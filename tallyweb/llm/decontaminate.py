@@ -1,12 +1,12 @@
 """Benchmark decontamination by winnowing.
 
-Of each window of consecutive k-gram hashes the smallest is kept as a fingerprint. Two texts that share a run of `span`
-words share a window, and so a fingerprint: joining fingerprints misses no such run. Hits are extended word by word.
+Of each window of consecutive k-gram hashes the smallest (the last of several) is kept as a fingerprint. Two texts that
+share a run of `span` words share a window, and so a fingerprint: joining fingerprints misses no such run. Hits are
+extended window by window: those that hold the fingerprint are compared whole, and those that agree make up the runs.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,192 +15,203 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .columns import free_prefix
+from .staging import staged
 from .words import Words, gram_hashes, hashed_words
 
 SPAN = 10  # words of a window
 GRAM = 5  # words of a k-gram; SPAN - GRAM + 1 of them are in a window
-BROADCAST_CHARS = 32 << 20  # texts of items up to this many characters are sent to the tasks; more are joined by shuffles
+BROADCAST_BYTES = 32 << 20  # an index of items up to this size is sent to the tasks; larger ones are joined by shuffles
+WORD_BYTES = 32  # of the index, for each word of an item, at most: a window, a fingerprint, and who has the window
+SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+RESULT = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", SPANS)]
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
-RESULT = [
-    T.StructField("n_words", T.LongType()),
-    T.StructField("n_hit", T.LongType()),
-    T.StructField("items", T.ArrayType(T.StringType())),
-    T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
-]
-_ARROW = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
 
-
-def fingerprints(words: np.ndarray, ends: np.ndarray, span: int = SPAN, k: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hashes) of the k-grams that are smallest in a window of `span` words. ends: for each word, where its
-    text ends; windows don't run on from one text into the next."""
+def windows(words: np.ndarray, bounds: np.ndarray, span: int = SPAN, k: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, fingerprints, hashes) of all windows of `span` words. bounds: where texts begin, and the last one ends."""
     grams = gram_hashes(words, k)
-    w = span - k + 1
-    n = len(grams) - w + 1
+    n = len(words) - span + 1
     if n <= 0:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
     least = grams[:n].copy()
-    for j in range(1, w):
+    for j in range(1, span - k + 1):
         np.minimum(least, grams[j : j + n], out=least)
-    whole = np.arange(n) + span <= ends[:n]
-    chosen = np.zeros(len(grams), dtype=bool)
-    for j in range(w):
-        chosen[j : j + n] |= whole & (least == grams[j : j + n])
-    at = np.flatnonzero(chosen)
-    return at, grams[at]
+    starts = np.flatnonzero(_whole(n, span, bounds))
+    return starts, least[starts], gram_hashes(words, span)[starts]
+
+
+def _whole(n: int, size: int, bounds: np.ndarray) -> np.ndarray:
+    """Which of the first n runs of `size` words lie within one text."""
+    ends = np.repeat(bounds[1:], np.diff(bounds))[:n]
+    return np.arange(n) + size <= ends
+
+
+def _short(words: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, hashes) of all runs of n words, to be told from those of other lengths."""
+    grams = gram_hashes(words, n)
+    starts = np.flatnonzero(_whole(len(grams), n, bounds))
+    return starts, grams[starts] ^ np.uint64(n)
+
+
+def _found(values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which of the values are among the sorted keys, and at what place these are)"""
+    if not len(keys):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    place = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
+    at = np.flatnonzero(keys[place] == values)
+    return at, place[at]
 
 
 class Items:
-    """Items by their fingerprints; those of fewer than `span` words by their only window."""
-
-    def __init__(self, ids: list[str], words: list[np.ndarray], span: int = SPAN, k: int = GRAM):
-        self.ids, self.words, self.span, self.k = ids, words, span, k
-        found: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
-        for i, w in enumerate(words):
-            if len(w) >= span:
-                for at, h in zip(*fingerprints(w, np.full(len(w), len(w)), span, k), strict=True):
-                    found[int(h)].append((i, int(at)))
-            elif len(w):
-                short[len(w)][int(gram_hashes(w, len(w))[0])].append(i)
-        self.found = dict(found)
-        self.keys = np.array(sorted(found), dtype=np.uint64)
-        self.short = {n: (np.array(sorted(d), dtype=np.uint64), dict(d)) for n, d in short.items()}
-
-    def hits(self, words: Words) -> Iterator[tuple[int, int, int, int]]:
-        """(text, item, start, end) of all maximal shared runs that hold a window; places are words of the slice."""
-        w, bounds = words.hashes, words.bounds
-        text_of = np.repeat(np.arange(len(words)), np.diff(bounds))
-        ends = bounds[1:][text_of]
-        at, hashes = fingerprints(w, ends, self.span, self.k)
-        for p, h in _known(at, hashes, self.keys):
-            text = int(text_of[p])
-            lo, hi = int(bounds[text]), int(bounds[text + 1])
-            for item, q in self.found[h]:
-                start, end = _extended(w, p, lo, hi, self.words[item], q)
-                if end - start >= self.span:
-                    yield text, item, start, end
-        for n, (keys, items) in self.short.items():
-            grams = gram_hashes(w, n)
-            at = np.flatnonzero(np.arange(len(grams)) + n <= ends[: len(grams)])
-            for p, h in _known(at, grams[at], keys):
-                for item in items[h]:
-                    yield int(text_of[p]), item, p, p + n
-
-
-def _known(at: np.ndarray, hashes: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, int]]:
-    if len(keys) and len(at):
-        place = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-        for i in np.flatnonzero(keys[place] == hashes).tolist():
-            yield int(at[i]), int(hashes[i])
-
-
-def _extended(text: np.ndarray, p: int, lo: int, hi: int, item: np.ndarray, q: int) -> tuple[int, int]:
-    ahead = min(hi - p, len(item) - q)
-    same = text[p : p + ahead] == item[q : q + ahead]
-    end = p + (ahead if same.all() else int(same.argmin()))
-    behind = min(p - lo, q)
-    same = text[p - behind : p][::-1] == item[q - behind : q][::-1]
-    return p - (behind if same.all() else int(same.argmin())), end
-
-
-def _results(words: Words, hits: Iterator[tuple[int, int, int, int]], ids: list[str]) -> list[tuple]:
-    marks: dict[int, set[tuple[int, int]]] = defaultdict(set)
-    items: dict[int, set[str]] = defaultdict(set)
-    for text, item, start, end in hits:
-        marks[text].add((start, end))
-        items[text].add(ids[item])
-    out = []
-    for i, n in enumerate(np.diff(words.bounds).tolist()):
-        spans: list[list[int]] = []
-        for start, end in sorted(marks.get(i, ())):
-            start, end = start - int(words.bounds[i]), end - int(words.bounds[i])
-            if spans and start <= spans[-1][1]:
-                spans[-1][1] = max(spans[-1][1], end)
-            else:
-                spans.append([start, end])
-        out.append((n, sum(e - s for s, e in spans), sorted(items.get(i, ())), [{"start": s, "end": e} for s, e in spans]))
-    return out
-
-
-def _items(ids: list, texts: list, span: int, k: int) -> Items:
-    words = [w.of(i) for w in hashed_words(pa.array(texts, pa.string())) for i in range(len(w))]
-    return Items([str(i) for i in ids], words, span, k)
-
-
-def find_contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, k: int = GRAM, broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
+    """Fingerprints and windows of items, as sorted arrays; items of fewer than `span` words are their only window."""
+
+    def __init__(self, ids: list[str], texts: list[str], span: int = SPAN, k: int = GRAM):
+        self.ids, self.span, self.k = ids, span, k
+        prints, keys, owners, self.lengths = [], [], [], set()
+        for w in hashed_words(pa.array(texts, pa.string())):
+            item_of = np.repeat(np.arange(len(w)), np.diff(w.bounds)) + w.first
+            starts, least, hashes = windows(w.hashes, w.bounds, span, k)
+            prints.append(np.unique(least)), keys.append(hashes), owners.append(item_of[starts])
+            sizes = np.diff(w.bounds)
+            for n in set(sizes[(sizes > 0) & (sizes < span)].tolist()):
+                self.lengths.add(n)
+                starts, hashes = _short(w.hashes, w.bounds, n)
+                own = sizes[item_of[starts] - w.first] == n
+                keys.append(hashes[own]), owners.append(item_of[starts][own])
+        empty = np.zeros(0, dtype=np.uint64)
+        self.prints = np.unique(np.concatenate([empty, *prints]))
+        pairs = np.unique(np.stack([np.concatenate([empty, *keys]), np.concatenate([empty, *owners]).astype(np.uint64)], axis=1), axis=0)
+        self.keys, first = np.unique(pairs[:, 0], return_index=True)
+        self.offsets, self.owners = np.append(first, len(pairs)), pairs[:, 1].astype(np.int64)
+
+    def hits(self, w: Words) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """(starts, places in keys, words) of all windows of the slice that are an item's."""
+        starts, least, hashes = windows(w.hashes, w.bounds, self.span, self.k)
+        near, _ = _found(least, self.prints)  # only hits of fingerprints are extended
+        at, place = _found(hashes[near], self.keys)
+        yield starts[near[at]], place, self.span
+        for n in sorted(self.lengths):
+            starts, hashes = _short(w.hashes, w.bounds, n)
+            at, place = _found(hashes, self.keys)
+            yield starts[at], place, n
+
+    def results(self, w: Words) -> list[tuple]:
+        """For each text of the slice what RESULT says."""
+        delta = np.zeros(len(w.hashes) + 1, dtype=np.int64)
+        text_of = np.repeat(np.arange(len(w)), np.diff(w.bounds))
+        texts, places = [], []
+        for starts, place, n in self.hits(w):
+            np.add.at(delta, starts, 1)
+            np.add.at(delta, starts + n, -1)
+            texts.append(text_of[starts]), places.append(place)
+        pairs = np.unique(np.stack([np.concatenate(texts), np.concatenate(places)], axis=1), axis=0)
+        n_owners = self.offsets[pairs[:, 1] + 1] - self.offsets[pairs[:, 1]]
+        owner = self.owners[np.repeat(self.offsets[pairs[:, 1]], n_owners) + np.arange(n_owners.sum()) - np.repeat(np.cumsum(n_owners) - n_owners, n_owners)]
+        items: dict[int, set[str]] = {}
+        for text, item in np.unique(np.stack([np.repeat(pairs[:, 0], n_owners), owner], axis=1), axis=0).tolist():
+            items.setdefault(text, set()).add(self.ids[item])
+        hit = np.cumsum(delta[:-1]) > 0
+        out = []
+        for i in range(len(w)):
+            mine = hit[w.bounds[i] : w.bounds[i + 1]]
+            out.append((len(mine), int(mine.sum()), sorted(items.get(i, ())), _runs(mine)))
+        return out
+
+
+def _runs(hit: np.ndarray) -> list[dict[str, int]]:
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8))).tolist()
+    return [{"start": s, "end": e} for s, e in zip(edges[::2], edges[1::2], strict=True)]
+
+
+def find_contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, k: int = GRAM, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """`docs` with n_words, n_hit, items and spans added: the words hit by items, the items, and the hit runs of words.
 
     A word is hit if it lies in an occurrence of a window: `span` consecutive words of an item, or all words of an item of
-    fewer. Words are those of words.py. `items` are distinct item_ids as sorted strings, `spans` are merged (start, end).
+    fewer. Words are those of words.py, known by 64-bit hashes. `items` are distinct item_ids as sorted strings, `spans`
+    are merged (start, end). The work for a text is linear in its words, however often they repeat.
 
     Null and empty texts have no words. Items without words or with a null item_id are left out; repeated item_ids count
-    once. Rows that repeat a doc_id are judged each by itself. Columns of `docs` named as results are replaced; no items
-    leave all documents clean.
+    once. Rows that repeat a doc_id are judged each by itself. Columns of `docs` named as results are replaced, others pass
+    through, whatever their names; no items leave all documents clean, no documents give no rows.
     """
-    spark = docs.sparkSession
     docs = docs.drop(*[f.name for f in RESULT])
     items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
-    chars = items.agg(F.sum(F.length("text") + 20)).first()[0] or 0
-    schema = T.StructType([*docs.schema.fields, *RESULT])
-    at = docs.columns.index("text")
-
-    if chars <= broadcast_chars:
-        rows = items.collect()
-        sent = spark.sparkContext.broadcast(_items([r["item_id"] for r in rows], [r["text"] for r in rows], span, k))
-
-        def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                found = [r for w in hashed_words(batch.column(at)) for r in _results(w, sent.value.hits(w), sent.value.ids)]
-                yield _added(batch, found, schema)
-
-        return docs.mapInArrow(judge, schema)
-
-    # Candidates by a join of fingerprints; texts are known by a hash, as more candidates than needed do no harm
-    def prints(own_lengths: bool, lengths: frozenset[int]):
-        def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for w in hashed_words(batch.column(1)):
-                    keys, got = [], []
-                    for i in range(len(w)):
-                        x = w.of(i)
-                        short = {len(x)} & set(range(1, span)) if own_lengths else {n for n in lengths if n <= len(x)}
-                        h = np.unique(np.concatenate([fingerprints(x, np.full(len(x), len(x)), span, k)[1], *[gram_hashes(x, n) ^ np.uint64(n) for n in short]]))
-                        keys.append(np.full(len(h), w.first + i)), got.append(h.view(np.int64))
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(keys))), pa.array(np.concatenate(got))], names=["key", "print"])
-
-        return of
-
-    def n_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    size = items.agg(F.sum(F.regexp_count("text", F.lit(WORD)) * WORD_BYTES + F.length("item_id") + 60)).first()[0] or 0
+    if size > broadcast_bytes:
+        return _joined(docs, items, span, k)
+    rows = items.collect()  # of a size just checked
+    sent = docs.sparkSession.sparkContext.broadcast(Items([r["item_id"] for r in rows], [r["text"] for r in rows], span, k))
+    at, schema = docs.columns.index("text"), T.StructType([*docs.schema.fields, *RESULT])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for w in hashed_words(batch.column(0)):
-                yield pa.RecordBatch.from_arrays([pa.array(np.diff(w.bounds).astype(np.int64))], names=["n"])
-
-    lengths = frozenset(r["n"] for r in items.select("text").mapInArrow(n_words, "n long").where(f"n > 0 AND n < {span}").distinct().collect())
-    of_items = items.mapInArrow(prints(True, lengths), "key string, print long").withColumnRenamed("key", "item_id")
-    keyed = docs.withColumn("__key", F.xxhash64("text"))
-    of_docs = keyed.select("__key", "text").dropDuplicates(["__key", "text"]).mapInArrow(prints(False, lengths), "key long, print long")
-    pairs = of_docs.join(of_items, "print").select("key", "item_id").distinct().join(items, "item_id")
-    candidates = pairs.groupBy(F.col("key").alias("__found")).agg(F.collect_set(F.struct("item_id", "text")).alias("__items"))
-    joined = keyed.join(candidates, keyed["__key"] == candidates["__found"], "left").drop("__key", "__found")
-
-    def judge_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield _added(batch, [r for w in hashed_words(batch.column(at)) for r in sent.value.results(w)], schema)
+
+    return docs.mapInArrow(judge, schema)
+
+
+def _joined(docs: DataFrame, items: DataFrame, span: int, k: int) -> DataFrame:
+    """As find_contamination(), for items of any size: fingerprints meet by a join, then the windows of those that met.
+
+    Joins are on hashes, whose rows on the documents' side Spark may split where one is frequent; what is gathered for one
+    text are the places and items of its own hits.
+    """
+
+    def emit(batches: Iterator[pa.RecordBatch], of_items: bool, lengths: list[int]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for w in hashed_words(batch.column(1)):
+                text_of, sizes = np.repeat(np.arange(len(w)), np.diff(w.bounds)) + w.first, np.diff(w.bounds)
+                starts, least, hashes = windows(w.hashes, w.bounds, span, k)
+                parts = [(starts, least, hashes, span)]
+                for n in lengths or sorted(set(sizes[(sizes > 0) & (sizes < span)].tolist())) * of_items:
+                    starts, hashes = _short(w.hashes, w.bounds, n)
+                    own = sizes[text_of[starts] - w.first] == n if of_items else np.ones(len(starts), dtype=bool)
+                    parts.append((starts[own], hashes[own], hashes[own], n))
+                starts, least, hashes = (np.concatenate([p[i] for p in parts]) for i in range(3))
+                n = np.repeat([p[3] for p in parts], [len(p[0]) for p in parts])
+                columns = [batch.column(0).take(pa.array(text_of[starts])), pa.array(least.view(np.int64)), pa.array(hashes.view(np.int64)), pa.array(starts - w.bounds[text_of[starts] - w.first]), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "print", "hash", "start", "n"])
+
+    made = "print long, hash long, start long, n long"
+    of_items = items.mapInArrow(lambda batches: emit(batches, True, []), f"key string, {made}").select(F.col("key").alias("item_id"), "print", "hash", "n").distinct()
+    of_items = staged(of_items, "item_windows")
+    lengths = sorted(r["n"] for r in of_items.where(F.col("n") < span).select("n").distinct().collect())
+    p = free_prefix(docs)
+    keyed = docs.withColumns({p + "a": F.xxhash64("text"), p + "b": F.hash("text")})
+    of_docs = keyed.select(F.struct(F.col(p + "a").alias("a"), F.col(p + "b").alias("b")).alias("key"), "text")
+    of_docs = of_docs.mapInArrow(lambda batches: emit(batches, False, lengths), f"key struct<a:long,b:int>, {made}")
+    near = of_docs.join(of_items.select("print").distinct(), "print", "left_semi")
+    hits = staged(near.join(of_items.select("hash", "item_id"), "hash").select("key", "start", "n", "item_id"), "window_hits")
+    found = hits.groupBy("key").agg(F.collect_set("item_id").alias(p + "items"), F.collect_set(F.struct("start", "n")).alias(p + "marks"))
+    found = found.select(F.col("key.a").alias(p + "fa"), F.col("key.b").alias(p + "fb"), F.sort_array(p + "items").alias(p + "items"), p + "marks")
+    joined = keyed.join(found, (F.col(p + "a") == F.col(p + "fa")) & (F.col(p + "b") == F.col(p + "fb")), "left").select(*docs.columns, p + "items", p + "marks")
+    at, schema = docs.columns.index("text"), T.StructType([*docs.schema.fields, *RESULT])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            sizes = np.concatenate([np.zeros(0, dtype=np.int64), *[np.diff(w.bounds) for w in hashed_words(batch.column(at))]])
             found = []
-            own = batch.column(batch.num_columns - 1).to_pylist()
-            for i in range(batch.num_rows):
-                few = _items([x["item_id"] for x in own[i] or ()], [x["text"] for x in own[i] or ()], span, k)
-                found += [r for w in hashed_words(batch.column(at).slice(i, 1)) for r in _results(w, few.hits(w), few.ids)]
-            yield _added(batch.select(range(batch.num_columns - 1)), found, schema)
+            for n, ids, marks in zip(sizes.tolist(), batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+                delta = np.zeros(n + 1, dtype=np.int64)
+                for m in marks or ():
+                    delta[m["start"]] += 1
+                    delta[m["start"] + m["n"]] -= 1
+                hit = np.cumsum(delta[:-1]) > 0
+                found.append((n, int(hit.sum()), ids or [], _runs(hit)))
+            yield _added(batch.select(range(batch.num_columns - 2)), found, schema)
 
-    return joined.mapInArrow(judge_own, schema)
+    return joined.mapInArrow(judge, schema)
 
 
 def _added(batch: pa.RecordBatch, rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
-    more = [pa.array([r[j] for r in rows], kind) for j, kind in enumerate(_ARROW)]
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
+    more = [pa.array([r[j] for r in rows], kind) for j, kind in enumerate(kinds)]
     return pa.RecordBatch.from_arrays([*batch.columns, *more], names=schema.names)
 
 
 def contamination_digest(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Counts and digests of find_contamination(), which says how odd rows are taken; one row for each row of `docs`."""
     found = find_contamination(docs.select("doc_id", "text"), items)
     return found.select(
         "doc_id",
@@ -213,5 +224,9 @@ def contamination_digest(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no window of an item, with their columns."""
-    return find_contamination(docs, items).where("n_hit = 0").select(*docs.columns)
+    """The documents that hold no window of an item, with their columns, those named as results of find_contamination() too.
+
+    Null and empty texts stay; no items leave all rows, no rows give none; repeated rows stay or go together."""
+    p = free_prefix(docs)
+    kept = {c: p + c for c in docs.columns if c in [f.name for f in RESULT]}
+    return find_contamination(docs.withColumnsRenamed(kept), items).where("n_hit = 0").select(*[F.col(kept.get(c, c)).alias(c) for c in docs.columns])

@@ -8,6 +8,7 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 
 import duckdb
@@ -277,7 +278,7 @@ def test_contamination_by_brute_force(spark, odd, most):
                     found |= got
                     hit.update(range(i, i + n))
         want[(r["doc_id"], len(w), len(hit), tuple(sorted(found)))] += 1
-    out = find_contamination(docs, items, broadcast_chars=most)
+    out = find_contamination(docs, items, broadcast_bytes=most)
     assert collections.Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"])) for r in out.collect()) == want
     assert sum(k[2] > 0 for k in want) > 5
 
@@ -288,6 +289,17 @@ def test_contamination_of_nothing(spark, odd):
     assert drop_contaminated(odd, items).columns == odd.columns
 
 
+@pytest.mark.parametrize("most", [1 << 25, 0])
+def test_contamination_of_repeated_words_is_linear(spark, most):
+    """One word 20,000 times in an item and in a text: 199,990 windows that are all alike."""
+    items = spark.createDataFrame([("one", "word " * 20_000), ("two", "a word " * 20_000)], "item_id string, text string")
+    docs = docs_of(spark, (1, "word " * 20_000), (2, "word " * 9), (3, "so word a " + "word a " * 10_000 + "it is"))
+    at = time.time()
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"], [tuple(x) for x in r["spans"]]) for r in find_contamination(docs, items, broadcast_bytes=most).collect()}
+    assert got == {1: (20_000, 20_000, ["one"], [(0, 20_000)]), 2: (9, 0, [], []), 3: (20_005, 20_002, ["two"], [(1, 20_003)])}
+    assert time.time() - at < 60
+
+
 # --- N-gram join
 
 def test_near_duplicates_by_brute_force(spark):
