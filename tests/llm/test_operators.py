@@ -425,6 +425,47 @@ def test_random_strings_without_gates(spark, model):
     assert found[150] == [("random", 3, 28), ("hex", 28, 54), ("random", 54, 79)]
 
 
+def plain_random_spans(t, model, base):
+    """The random spans of a text by Python, character by character."""
+    from tallyweb.llm.secret_scan import CLASSES, _class
+
+    def random_(x):
+        total = sum(model.ratios[_class(min(ord(a), 127)) * CLASSES + _class(min(ord(b), 127))] for a, b in itertools.pairwise(x))
+        return total >= model.least and total >= model.mean * len(x)
+
+    covered = {i for a, b in base for i in range(a, b)}
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_-]+", t):
+        found = [(m.start(), m.end())] if random_(m[0]) else [(m.start() + x.start(), m.start() + x.end()) for x in re.finditer("[^/]+", m[0]) if "/" in m[0] and random_(x[0])]
+        for a, b in found:
+            free = [i for i in range(a, b) if i not in covered]
+            out += [(i, next(j for j in itertools.count(i) if j == b or j in covered)) for i in free if i == a or i - 1 in covered]
+    return out
+
+
+def test_random_spans_by_brute_force(spark, model):
+    rnd = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda: "".join(rnd.choice(letters) for _ in range(rnd.randrange(1, 40)))
+    parts = [key, key, lambda: "the station", lambda: "/", lambda: " ", lambda: "\n", lambda: "é", lambda: "token=", lambda: "deadbeef" * 4, lambda: "_other-things_"]
+    texts = ["".join(rnd.choice(parts)() for _ in range(rnd.randrange(30))) for _ in range(300)] + [r["text"] for r in table(spark, "documents").select("text").collect()]
+    n = 0
+    for r in find_secrets(docs_of(spark, *enumerate(texts)), model).collect():
+        base = [(s["start"], s["end"]) for s in r["spans"] if s["kind"] != "random"]
+        mine = [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "random"]
+        assert mine == plain_random_spans(r["text"] or "", model, base), r["text"]
+        n += len(mine)
+    assert n > 300
+
+
+def test_secrets_of_long_texts_are_linear(spark, model):
+    key = "9f8Kd0qPz7LmXw3Rt6Vb2Nc5"
+    docs = docs_of(spark, (1, "token=abcdef\n" * 50_000), (2, f"{key} " * 50_000), (3, "Kq" + "7fX" * 100_000))
+    at = time.time()
+    got = {r["doc_id"]: r["n"] for r in find_secrets(docs, model).select("doc_id", F.size("spans").alias("n")).collect()}
+    assert got == {1: 50_000, 2: 50_000, 3: 1} and time.time() - at < 100
+
+
 # --- Quality
 
 def test_quality_held_out(spark):
