@@ -23,7 +23,7 @@ from tallyweb.llm.decontaminate import drop_contaminated, find_contamination
 from tallyweb.llm.line_dedup import drop_repeated_lines
 from tallyweb.llm.ngram_join import keep_one_of_each, near_duplicates
 from tallyweb.llm.packing import ChunkTokenizer, pack, piece_lengths
-from tallyweb.llm.pii_surrogates import name_entities, replace_pii
+from tallyweb.llm.pii_surrogates import NAMES, name_entities, replace_pii
 from tallyweb.llm.quality_rules import fit_rules, held_out, keep_good, score_quality, train_quality
 from tallyweb.llm.secret_scan import Model, find_secrets, identifier_samples, random_samples, secrets_digest, train
 from tallyweb.llm.topk_search import top_k
@@ -370,10 +370,57 @@ def test_pii(spark, odd):
     assert replace_pii(odd, "k").count() == len(ODD) and replace_pii(odd.limit(0), "k").count() == 0
 
 
+def test_persons_in_a_text(spark):
+    """Bare names follow their titled mentions, the gender of a mention without one is that of another, and scripts stay."""
+    text = "Mr John Smith wrote. Later Smith said hi to John Smith's dog and Jane Doe. Prof. Smith and Dr. Adam Miller met Mrs Kelly Miller; KELLY, Dr Kelly Miller! A smith and Doe."
+    other = "السيد محمد علي و Frau Ångström, 王小明先生, O'Neil, Mr O'Neil; мира@почта.рф"
+    out = {r["doc_id"]: r for r in replace_pii(docs_of(spark, (1, text), (2, other), (3, "Smith and Jane")), "k").collect()}
+    new = out[1]["text"]
+    assert not re.search(r"John|Smith|Jane|Doe|Adam|Miller|Kelly|KELLY", new) and "A smith and" in new and new.startswith("Mr ") and "'s dog" in new and "Prof. " in new
+    by = {}
+    for e in out[1]["entities"]:
+        for old, made in zip(text[e["start"] : e["end"]].split(), e["surrogate"].split(), strict=True):
+            by.setdefault(old.lower().rstrip("."), set()).add(made.lower().rstrip("."))
+    assert all(len(made) == 1 for made in by.values()) and len({x for made in by.values() for x in made}) == len(by)
+    women = {n.lower() for parts in NAMES.values() for n in parts[1]}
+    assert min(by["kelly"]).split("-")[0] in women and min(by["jane"]).split("-")[0] in women
+    assert re.fullmatch(r"السيد [\u0621-\u064a]+ [\u0621-\u064a]+ و Frau [A-Z][a-z]+, [\u4e00-\u9fff]+先生, [A-Z]\w+, Mr [A-Z]\w+; [а-я]+@[а-я]+\.рф", out[2]["text"]), out[2]["text"]
+    assert "محمد" not in out[2]["text"] and out[2]["text"].count(out[2]["text"].split("Mr ")[1].split(";")[0]) == 2 and out[3]["text"] == "Smith and Jane"
+
+
+def test_pii_by_a_plain_version(spark):
+    """Places and texts against Python: what isn't an entity stays, and entities map one to one, whatever document they are in."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    email = re.compile(r"(?<![^\W_])(?<![._%+-])[\w.%+-]+@[^\W_][\w-]*(?:\.[^\W_][\w-]*)+")
+    texts, forth, back, mails = {r["doc_id"]: r["text"] for r in docs.collect()}, {}, {}, 0
+    for r in replace_pii(docs, "k").collect():
+        t, at, made = texts[r["doc_id"]] or "", 0, []
+        for e in r["entities"]:
+            made += [t[at : e["start"]], e["surrogate"]]
+            at = e["end"]
+            old = t[e["start"] : e["end"]]
+            name = old.lower() if e["kind"] == "email" else re.sub(r"\W", "", old)[-10:] if e["kind"] == "phone" else re.sub(r"\W", "", old) if e["kind"] in ("card", "ssn", "iban") else old
+            new = e["surrogate"].lower() if e["kind"] == "email" else re.sub(r"\W", "", e["surrogate"])[-10:] if e["kind"] == "phone" else re.sub(r"\W", "", e["surrogate"]) if e["kind"] in ("card", "ssn", "iban") else e["surrogate"]
+            assert old != e["surrogate"] and forth.setdefault((e["kind"], name), new) == new and back.setdefault((e["kind"], new), name) == name
+        assert (r["text"] or "") == "".join(made) + t[at:]
+        assert {m.span() for m in email.finditer(t)} == {(e["start"], e["end"]) for e in r["entities"] if e["kind"] == "email"}
+        mails += sum(e["kind"] == "email" for e in r["entities"])
+    assert mails > 5 and len(forth) > 40
+
+
+def test_pii_of_long_texts_is_linear(spark):
+    docs = docs_of(spark, (1, "".join(f"a{i}@x.org, " for i in range(50_000))), (2, "Mr Smith and Smith. " * 25_000), (3, "x" * 1_000_000 + "@" + "7" * 100_000))
+    at = time.time()
+    got = {r["doc_id"]: (r["n"], r["x"]) for r in replace_pii(docs, "k").select("doc_id", F.size("entities").alias("n"), F.col("text").contains("Smith").alias("x")).collect()}
+    assert got == {1: (50_000, False), 2: (50_000, False), 3: (0, False)} and time.time() - at < 120
+
+
 def test_surrogates_stay_distinct_where_they_are_few(spark):
-    names = [("family", f"Name{i}") for i in range(3000)] + [("email", f"{a}@x.org") for a in "abcdefghijklmnopqrstuvwxyz"]
+    names = [("family", f"name{i}") for i in range(3000)] + [("email", f"{a}@x.org") for a in "abcdefghijklmnopqrstuvwxyz"] + [("given_m", f"n{i}") for i in range(300)]
+    names += [("given_f", "paul"), ("given_n", "robin")] + [("phone", f"{i}") for i in range(10)]
     got = name_entities(spark.createDataFrame(names, "kind string, name string"), "k").collect()
-    assert len(got) == len(names) == len({(r["kind"], r["surrogate"]) for r in got})
+    spaces = {(r["kind"].split("_")[0], r["surrogate"].lower()) for r in got}
+    assert len(got) == len(names) == len(spaces) and not spaces & {(k.split("_")[0], n) for k, n in names}
 
 
 # --- Secrets
