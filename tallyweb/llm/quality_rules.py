@@ -13,6 +13,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .columns import free_prefix
+
 FIT_ROWS = 20_000  # labelled documents that a model is fitted on at most (those of the least hashes of their ids)
 TREES, DEPTH, BINS, SHRINKAGE = 24, 3, 32, 0.3
 LEAST_IN_LEAF = 8
@@ -26,38 +28,31 @@ def _ratio(a: Column, b: Column) -> Column:
 
 
 def with_statistics(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    """`docs` with statistics of `text` added, and their names."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+    """`docs` with statistics of `text` added, and their names, which no column of `docs` has."""
+    p, text = free_prefix(docs), F.coalesce(F.col("text"), F.lit(""))
+    counts = {"symbols": SYMBOLS, "upper": r"\p{Lu}", "digits": r"\p{Nd}", "stops": r"[.,;:]", "shouts": r"[!?]", "breaks": r"\n"}
     counted = docs.select(
         "*",
-        F.length(text).alias("__chars"),
-        F.filter(F.split(text, r"\s+"), lambda w: w != "").alias("__words"),
-        F.regexp_count(text, F.lit(SYMBOLS)).alias("__symbols"),
-        F.regexp_count(text, F.lit(r"\p{Lu}")).alias("__upper"),
-        F.regexp_count(text, F.lit(r"\p{Nd}")).alias("__digits"),
-        F.regexp_count(text, F.lit(r"[.,;:]")).alias("__stops"),
-        F.regexp_count(text, F.lit(r"[!?]")).alias("__shouts"),
-        F.regexp_count(text, F.lit(r"\n")).alias("__breaks"),
+        F.length(text).alias(p + "chars"),
+        F.filter(F.split(text, r"\s+"), lambda w: w != "").alias(p + "words"),
+        *[F.regexp_count(text, F.lit(pattern)).alias(p + name) for name, pattern in counts.items()],
     )
-    counted = counted.select("*", F.size("__words").alias("__n"), F.size(F.array_distinct("__words")).alias("__distinct"))
-    c = F.col
+    counted = counted.select("*", F.size(p + "words").alias(p + "n"), F.size(F.array_distinct(p + "words")).alias(p + "distinct"))
+    c = lambda name: F.col(p + name)
     statistics = {
-        "__x_chars": F.log1p(c("__chars")),
-        "__x_words": F.log1p(c("__n")),
-        "__x_word_chars": _ratio(c("__chars") - c("__breaks"), c("__n") + 1),
-        "__x_distinct": _ratio(c("__distinct"), c("__n")),
-        "__x_distinct_root": _ratio(c("__distinct"), F.sqrt(c("__n"))),
-        "__x_symbols": _ratio(c("__symbols"), c("__n")),
-        "__x_upper": _ratio(c("__upper"), c("__chars")),
-        "__x_digits": _ratio(c("__digits"), c("__chars")),
-        "__x_stops": _ratio(c("__stops"), c("__n")),
-        "__x_shouts": _ratio(c("__shouts"), c("__n")),
-        "__x_breaks": _ratio(c("__breaks"), c("__n")),
+        "x_chars": F.log1p(c("chars")),
+        "x_words": F.log1p(c("n")),
+        "x_word_chars": _ratio(c("chars") - c("breaks"), c("n") + 1),
+        "x_distinct": _ratio(c("distinct"), c("n")),
+        "x_distinct_root": _ratio(c("distinct"), F.sqrt(c("n"))),
+        "x_symbols": _ratio(c("symbols"), c("n")),
+        "x_upper": _ratio(c("upper"), c("chars")),
+        "x_digits": _ratio(c("digits"), c("chars")),
+        "x_stops": _ratio(c("stops"), c("n")),
+        "x_shouts": _ratio(c("shouts"), c("n")),
+        "x_breaks": _ratio(c("breaks"), c("n")),
     }
-    made = [c for c in counted.columns if c.startswith("__") and c not in docs.columns]
-    out = counted.select(*docs.columns, *[v.cast("double").alias(k) for k, v in statistics.items()])
-    assert not set(made) & set(out.columns)
-    return out, list(statistics)
+    return counted.select(*docs.columns, *[v.cast("double").alias(p + k) for k, v in statistics.items()]), [p + k for k in statistics]
 
 
 @dataclass(frozen=True)
@@ -205,9 +200,14 @@ def score_quality(docs: DataFrame, model: RuleModel) -> DataFrame:
 
 
 def quality_digest(docs: DataFrame, model: RuleModel) -> DataFrame:
+    """Scores of score_quality(), which says how odd rows are taken; one row for each row of `docs`."""
     return score_quality(docs.select("doc_id", "text"), model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
 def keep_good(docs: DataFrame, model: RuleModel) -> DataFrame:
-    """The documents predicted to be good, with their columns."""
-    return score_quality(docs, model).where("predicted = 1").select(*docs.columns)
+    """The documents predicted to be good, with their columns, those named score or predicted too.
+
+    Null texts are judged as empty ones; repeated rows stay or go together; no rows give no rows."""
+    p = free_prefix(docs)
+    kept = {c: p + c for c in docs.columns if c in ("score", "predicted")}
+    return score_quality(docs.withColumnsRenamed(kept), model).where("predicted = 1").select(*[F.col(kept.get(c, c)).alias(c) for c in docs.columns])
