@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,7 @@ from .words import slices, span_hashes
 
 MAX_TOKENS = 2048
 END_ID = 1
+PLACE_BITS = 33  # of a sequence's number within its partition
 CACHE_WORDS = 1_500_000  # of a worker; beyond that its cache starts anew
 
 # Byte classes that decide where a text may be cut without changing its tokens
@@ -135,12 +137,14 @@ _tokenizers: dict[str, ChunkTokenizer] = {}
 
 
 def pack(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
-    """One row for each piece: doc_id, start, length, tokens, doc_tokens, sequence_id, offset.
+    """One row for each piece: doc_id, start, length, tokens, ids_crc32, doc_tokens, bucket, place, sequence_id, offset.
 
     A document's tokens are its text's, without special ones added, then `end_id`; so a null or empty text is one piece of
     one token. The pieces are cut in order, from the longest. Each is a sequence of its own, of a power of two tokens up to
-    `max_tokens` (a power of two itself), so that batches are filled from the bucket of one `length`. Rows with the same or
-    a null doc_id are documents of their own. Columns other than doc_id and text are left out. There is no shuffle.
+    `max_tokens` (a power of two itself). `bucket` is that length and `place` the sequence's number among those of its bucket:
+    counted from 0 within each partition, whose number stands in the bits from the 33rd on. Batches are filled from one
+    bucket, in order of place; sequence_id tells bucket and place. Rows with the same or a null doc_id are documents of
+    their own; no rows give no rows. Columns other than doc_id and text are left out. There is no shuffle.
     """
     if max_tokens < 1 or max_tokens & (max_tokens - 1):
         raise ValueError("max_tokens must be a power of two")
@@ -153,6 +157,7 @@ def pack(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS, end
             T.StructField("tokens", T.BinaryType()),
             T.StructField("ids_crc32", T.LongType()),
             T.StructField("doc_tokens", T.LongType()),
+            T.StructField("place", T.LongType()),
         ]
     )
 
@@ -160,13 +165,14 @@ def pack(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS, end
         if tokenizer_path not in _tokenizers:
             _tokenizers[tokenizer_path] = ChunkTokenizer(tokenizer_path)
         tokenizer = _tokenizers[tokenizer_path]
+        places = dict.fromkeys((1 << b for b in range(max_tokens.bit_length())), TaskContext.get().partitionId() << PLACE_BITS)
         for batch in batches:
             doc_ids = batch.column(0)
             for first, data, offsets in slices(batch.column(1)):
                 ids, bounds = tokenizer.encode(data, offsets)
                 blob_of_all = data.tobytes()
                 held = any(t in blob_of_all for t in tokenizer.added)  # such strings are tokens across the chunks
-                row, start, length, blob, crc, total = [], [], [], [], [], []
+                row, start, length, blob, crc, total, place = [], [], [], [], [], [], []
                 for i in range(len(offsets) - 1):
                     own = ids[bounds[i] : bounds[i + 1]]
                     if held and any(t in (text := blob_of_all[offsets[i] : offsets[i + 1]]) for t in tokenizer.added):
@@ -175,16 +181,19 @@ def pack(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS, end
                     n, at = len(own) // 4, 0
                     for size in piece_lengths(n, max_tokens).tolist():
                         piece = own[4 * at : 4 * (at + size)]
-                        row.append(first + i), start.append(at), length.append(size), blob.append(piece), crc.append(zlib.crc32(piece)), total.append(n)
+                        row.append(first + i), start.append(at), length.append(size), blob.append(piece), crc.append(zlib.crc32(piece)), total.append(n), place.append(places[size])
+                        places[size] += 1
                         at += size
                 yield pa.RecordBatch.from_arrays(
-                    [doc_ids.take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(blob, pa.binary()), pa.array(crc, pa.int64()), pa.array(total, pa.int64())],
+                    [doc_ids.take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(blob, pa.binary()), pa.array(crc, pa.int64()), pa.array(total, pa.int64()), pa.array(place, pa.int64())],
                     names=schema.names,
                 )
 
     out = docs.select("doc_id", "text").mapInArrow(pieces, schema)
-    return out.select("*", F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    sequence = F.shiftleft("place", 5).bitwiseOR(F.log2("length").cast("long"))
+    return out.select("*", F.col("length").alias("bucket"), sequence.alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 
 
 def pack_digest(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS) -> DataFrame:
-    return pack(docs, tokenizer_path, max_tokens).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    """The pieces of pack(), which says how odd rows are taken, without their tokens."""
+    return pack(docs, tokenizer_path, max_tokens).drop("tokens")
