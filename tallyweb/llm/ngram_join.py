@@ -2,13 +2,17 @@
 
 Documents are sets of word n-grams. Sets are split recursively on tokens that they choose by hashes which depend on the
 path so far: similar sets are likely to choose a token in common. Small buckets are compared by brute force, large ones
-are split further, and runs are repeated until pairs at the threshold are missed with a probability below 1e-4. What is
-found is a graph of candidates; within its components every pair of sets is then verified exactly, in blocks.
+are split further, and runs are repeated until the target recall is reached even at the greatest depth. What is found is
+a graph of candidates; within its components every pair of sets is then verified exactly, in blocks.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .columns import free_prefix
 from .components import components
 from .staging import staged
 from .words import gram_hashes, hashed_words, mix
@@ -25,15 +30,50 @@ from .words import gram_hashes, hashed_words, mix
 N_WORDS = 5
 THRESHOLD = 0.8
 BINS = 128  # tokens of an embedded set: the least n-gram of each of as many parts of the hash range
-RUNS = 16
-SPLIT = 0.7  # a set of m tokens chooses each with probability 1 / (SPLIT * m); below the threshold by the embedding's error
-CANDIDATE = 0.6  # least estimated similarity of candidates: 4 standard errors or more below the threshold
 CLOSE = 0.9  # estimated similarity to a bucket's pivot from which on the pivot stands for a set
 BUCKET = 2048  # sets that are compared by brute force: some tenths of a second, less than it costs to split them further
 ROWS = 256  # of a bucket's matrix at a time
 DEPTH = 4  # splits at most; what is large then is compared in blocks
+SALTS = 32  # ways that sets with one pivot are dealt
 BLOCK_SETS, BLOCK_GRAMS = 1024, 400_000  # of a block of exact comparison, about
-EXPECTED_RECALL = 0.9999
+TARGET_RECALL = 0.999  # of linked pairs, at the greatest depth; pairs that split less deep are found more often
+
+
+@dataclass(frozen=True)
+class Plan:
+    """How a join at `threshold` splits: a set of m tokens chooses each with probability 1 / (split * m); pairs estimated at
+    `candidate` or more are candidates (some 5 standard errors of the estimate below the threshold).
+
+    Runs: two sets that share a share J of their tokens share J / split chosen tokens a level on average, so a run finds
+    them after d levels with f(d) = 1 - exp(-f(d-1) * J / split). For a set that its pivot stands for, the pivot meets the
+    set's neighbours, whose similarity to it is 1 - (1 - threshold) - (1 - CLOSE) at least (Jaccard distances add up at
+    most); runs are as many as find pairs of that similarity with TARGET_RECALL at DEPTH, over the embedding's spread.
+    """
+
+    threshold: float = THRESHOLD
+
+    @property
+    def split(self) -> float:
+        return 0.875 * self.threshold
+
+    @property
+    def candidate(self) -> float:
+        return max(0.05, self.threshold - 0.2)
+
+    def miss(self, runs: int, similarity: float | None = None, depth: int = DEPTH) -> float:
+        """Probability that no run finds a pair of the similarity (or the least one that counts, see above)."""
+        j = max(0.05, self.threshold - (1 - CLOSE)) if similarity is None else similarity
+        total = 0.0
+        for shared in range(BINS + 1):
+            weight, found = math.comb(BINS, shared) * j**shared * (1 - j) ** (BINS - shared), 1.0
+            for _ in range(depth):
+                found = 1 - math.exp(-found * shared / (BINS * self.split))
+            total += weight * (1 - found) ** runs
+        return total
+
+    @cached_property
+    def runs(self) -> int:
+        return next(n for n in itertools.count(1) if self.miss(n) <= 1 - TARGET_RECALL)
 
 
 def _grams(words: np.ndarray, n: int) -> np.ndarray:
@@ -82,24 +122,29 @@ def _with_low_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x.tobytes() for x in small], pa.binary())], names=[*batch.schema.names, "small"])
 
 
-def _chosen(tokens: np.ndarray, path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _chosen(tokens: np.ndarray, path: np.ndarray, split: float) -> tuple[np.ndarray, np.ndarray]:
     """(rows, paths) of the tokens that sets choose under their paths."""
     ids = tokens.astype(np.uint64) + (np.arange(BINS, dtype=np.uint64) << np.uint64(32))
     h = mix(ids * np.uint64(0x9E3779B97F4A7C15) + path[:, None])
-    share = 1 / (SPLIT * np.maximum(1, (tokens != 0).sum(axis=1)))
+    share = 1 / (split * np.maximum(1, (tokens != 0).sum(axis=1)))
     bar = np.minimum(share * 2.0**64, 2.0**64 - 2048).astype(np.uint64)
     row, col = np.nonzero((h < bar[:, None]) & (tokens != 0))
     return row, mix(h[row, col] ^ (ids[row, col] * np.uint64(0xD6E8FEB86659FD93)) ^ path[row])
 
 
-def _first_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            part = batch.slice(at, 1000)
-            tokens, ids = _matrix(part.column(1), np.uint32), part.column(0).to_numpy()
-            for run in range(RUNS):
-                row, path = _chosen(tokens, np.full(len(ids), mix(np.array([run + 1], dtype=np.uint64))[0]))
-                yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(ids[row])], names=["path", "rid"])
+def _first_paths(plan: Plan):
+    runs, split = plan.runs, plan.split
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                tokens, ids = _matrix(part.column(1), np.uint32), part.column(0).to_numpy()
+                for run in range(runs):
+                    row, path = _chosen(tokens, np.full(len(ids), mix(np.array([run + 1], dtype=np.uint64))[0]), split)
+                    yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(ids[row])], names=["path", "rid"])
+
+    return of
 
 
 def _similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -108,27 +153,31 @@ def _similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return same / np.maximum(1, ((a != 0) | (b != 0)).sum(axis=-1))
 
 
-def _next_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _next_paths(split: float):
     """Of sets in large buckets of one pivot: either the pivot, or the paths further down (path null: rid and pivot are an
     edge)."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            part = batch.slice(at, 1000)
-            ids, tokens = part.column(0).to_numpy(), _matrix(part.column(1), np.uint32)
-            pivot_ids, pivots = part.column(2).to_numpy(), _matrix(part.column(3), np.uint32)
-            paths = part.column(4).flatten().to_numpy().view(np.uint64)
-            of = np.repeat(np.arange(len(ids)), pa.compute.list_value_length(part.column(4)).to_numpy())
-            close = (_similar(tokens, pivots) >= CLOSE) & (ids != pivot_ids)
-            open_ = ~close[of]
-            row, down = _chosen(tokens[of[open_]], paths[open_])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([None] * int(close.sum()) + down.view(np.int64).tolist(), pa.int64()),
-                    pa.array(np.concatenate([ids[close], ids[of[open_]][row]])),
-                    pa.array([*pivot_ids[close].tolist(), *[None] * len(row)], pa.int64()),
-                ],
-                names=["path", "rid", "pivot"],
-            )
+
+    def of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                ids, tokens = part.column(0).to_numpy(), _matrix(part.column(1), np.uint32)
+                pivot_ids, pivots = part.column(2).to_numpy(), _matrix(part.column(3), np.uint32)
+                paths = part.column(4).flatten().to_numpy().view(np.uint64)
+                of = np.repeat(np.arange(len(ids)), pa.compute.list_value_length(part.column(4)).to_numpy())
+                close = (_similar(tokens, pivots) >= CLOSE) & (ids != pivot_ids)
+                open_ = ~close[of]
+                row, down = _chosen(tokens[of[open_]], paths[open_], split)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([None] * int(close.sum()) + down.view(np.int64).tolist(), pa.int64()),
+                        pa.array(np.concatenate([ids[close], ids[of[open_]][row]])),
+                        pa.array([*pivot_ids[close].tolist(), *[None] * len(row)], pa.int64()),
+                    ],
+                    names=["path", "rid", "pivot"],
+                )
+
+    return of_rows
 
 
 def _roots(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -142,7 +191,7 @@ def _roots(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _alike(small: np.ndarray) -> np.ndarray:
+def _alike(small: np.ndarray, candidate: float) -> np.ndarray:
     """Which pairs of rows are candidates."""
     full = (small != 0).astype(np.float32)
     size, out = full.sum(axis=1), np.zeros((len(small), len(small)), dtype=bool)
@@ -150,23 +199,27 @@ def _alike(small: np.ndarray) -> np.ndarray:
         either = size[i : i + ROWS, None] + size[None, :] - full[i : i + ROWS] @ full.T
         # parts that are empty in both are equal, too
         same = np.stack([np.count_nonzero(small == row, axis=1) for row in small[i : i + ROWS]]) - (BINS - either)
-        out[i : i + ROWS] = same >= CANDIDATE * np.maximum(1, either)
+        out[i : i + ROWS] = same >= candidate * np.maximum(1, either)
     return out
 
 
-def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucket_edges(candidate: float):
     """Edges that connect what is connected by candidate pairs of a bucket; not all those pairs."""
-    for batch in batches:
-        u, v = [], []
-        for ids, tokens in zip(batch.column(0), batch.column(1), strict=True):
-            ids = ids.values.to_numpy()
-            root = _roots(_alike(np.frombuffer(b"".join(tokens.as_py()), dtype=np.uint8).reshape(len(ids), BINS)), ids)
-            u += ids[root != ids].tolist()
-            v += root[root != ids].tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, v = [], []
+            for ids, tokens in zip(batch.column(0), batch.column(1), strict=True):
+                ids = ids.values.to_numpy()
+                root = _roots(_alike(np.frombuffer(b"".join(tokens.as_py()), dtype=np.uint8).reshape(len(ids), BINS), candidate), ids)
+                u += ids[root != ids].tolist()
+                v += root[root != ids].tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    return of
 
-def _brute_force(buckets: DataFrame, nodes: DataFrame) -> DataFrame:
+
+def _brute_force(buckets: DataFrame, nodes: DataFrame, candidate: float) -> DataFrame:
     """Edges of buckets (path, rid). Those of more than BUCKET sets are dealt to pairs of blocks."""
     sizes = buckets.groupBy("path").agg(F.count("*").alias("n")).select("path", F.ceil(F.col("n") / BUCKET).cast("int").alias("blocks"))
     rows = buckets.join(sizes, "path").withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
@@ -174,27 +227,30 @@ def _brute_force(buckets: DataFrame, nodes: DataFrame) -> DataFrame:
     groups = rows.groupBy("path", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).agg(F.array_sort(F.collect_set("rid")).alias("rids"))
     groups = groups.where(F.size("rids") > 1).select("rids").distinct().select(F.xxhash64("rids").alias("g"), F.explode("rids").alias("rid"))
     with_tokens = groups.join(nodes.select("rid", "small"), "rid").groupBy("g").agg(F.collect_list(F.struct("rid", "small")).alias("m"))
-    return with_tokens.select("m.rid", "m.small").mapInArrow(_bucket_edges, "u long, v long")
+    return with_tokens.select("m.rid", "m.small").mapInArrow(_bucket_edges(candidate), "u long, v long")
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
+def _candidates(nodes: DataFrame, plan: Plan) -> DataFrame:
     """Edges (u, v) that connect candidate pairs."""
-    paths = staged(nodes.select("rid", "tokens").mapInArrow(_first_paths, "path long, rid long"), "paths_1")
+    paths = staged(nodes.select("rid", "tokens").mapInArrow(_first_paths(plan), "path long, rid long"), "paths_1")
     edges = []
     for depth in range(1, DEPTH + 1):
         counts = paths.groupBy("path").agg(F.count("*").alias("n"), F.min("rid").alias("pivot")).where("n > 1")
         counts = staged(counts, f"buckets_{depth}")
         shared = staged(paths.join(counts, "path"), f"shared_{depth}")
         large = f"n > {BUCKET}" if depth < DEPTH else "false"
-        edges.append(staged(_brute_force(shared.where(f"NOT ({large})").select("path", "rid"), nodes), f"edges_{depth}"))
+        edges.append(staged(_brute_force(shared.where(f"NOT ({large})").select("path", "rid"), nodes, plan.candidate), f"edges_{depth}"))
         if depth == DEPTH or counts.where(large).isEmpty():
             break
         # one row for all paths of a set with one pivot: there are many paths, and in a group of like sets few pivots
         rows = shared.where(large).groupBy("rid", "pivot").agg(F.collect_list("path").alias("paths")).join(nodes.select("rid", "tokens"), "rid")
         pivots = nodes.select(F.col("rid").alias("pivot"), F.col("tokens").alias("pivot_tokens"))
         pivots = counts.where(large).select("pivot").distinct().join(pivots, "pivot")
-        rows = rows.join(pivots, "pivot").select("rid", "tokens", "pivot", "pivot_tokens", "paths")
-        down = staged(rows.mapInArrow(_next_paths, "path long, rid long, pivot long"), f"paths_{depth + 1}")
+        # a pivot of very many sets is met in as many tasks
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)).cast("int"))
+        pivots = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.join(pivots, ["pivot", "salt"]).select("rid", "tokens", "pivot", "pivot_tokens", "paths")
+        down = staged(rows.mapInArrow(_next_paths(plan.split), "path long, rid long, pivot long"), f"paths_{depth + 1}")
         edges.append(down.where("path IS NULL").select(F.col("rid").alias("u"), F.col("pivot").alias("v")).distinct())
         paths = down.where("path IS NOT NULL").select("path", "rid").distinct()
     out = edges[0]
@@ -294,7 +350,7 @@ def near_duplicates(docs: DataFrame, n_words: int = N_WORDS, threshold: float =
         .select("rid", F.col("m.doc_id").alias("rep"), "m.n", "copies", "m.tokens")
     )
     nodes = staged(nodes.mapInArrow(_with_low_bytes, T.StructType([*nodes.schema.fields, T.StructField("small", T.BinaryType())])), "nodes")
-    found = components(_candidates(nodes), "candidates")
+    found = components(_candidates(nodes, Plan(threshold)), "candidates")
     of = found.select(F.col("u").alias("rid"), F.col("v").alias("comp"))
     of = staged(of.unionByName(found.select(F.col("v").alias("rid"), F.col("v").alias("comp")).distinct()), "candidate_components")
     exact = staged(_exact(docs, nodes, of, n_words, threshold), "verified")
@@ -309,6 +365,11 @@ def near_duplicates(docs: DataFrame, n_words: int = N_WORDS, threshold: float =
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """Of each class the document of the smallest doc_id, with its columns; rows that repeat a doc_id stay or go together."""
-    gone = near_duplicates(docs).where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+    """Of each class the document of the smallest doc_id, with its columns, whatever their names.
+
+    Rows that repeat a doc_id stay or go together. Documents without words all stay, as near_duplicates() has each in a class
+    of its own. A null doc_id stays where its class has no other. No rows give no rows.
+    """
+    name = free_prefix(docs) + "gone"
+    gone = near_duplicates(docs.select("doc_id", "text")).where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone[name]), "left_anti")

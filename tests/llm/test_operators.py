@@ -16,7 +16,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyweb.llm import queries
+from tallyweb.llm import ngram_join, queries
 from tallyweb.llm.chat_format import Template, chat_digest, format_chats
 from tallyweb.llm.components import components
 from tallyweb.llm.decontaminate import drop_contaminated, find_contamination
@@ -143,7 +143,8 @@ def test_packing_round_trip(spark):
     rows = [*ODD, *[(100 + r["doc_id"], r["text"]) for r in table(spark, "documents").limit(60).collect()]]
     got = collections.defaultdict(list)
     out = pack(docs_of(spark, *rows), path).collect()
-    assert len({r["sequence_id"] for r in out}) == len(out)
+    assert len({r["sequence_id"] for r in out}) == len(out) == len({(r["bucket"], r["place"]) for r in out})
+    assert all(r["bucket"] == r["length"] and (r["sequence_id"] >> 5, 1 << (r["sequence_id"] & 31)) == (r["place"], r["bucket"]) for r in out)
     for r in out:
         assert r["length"] & (r["length"] - 1) == 0 and r["length"] <= 2048 and r["offset"] == 0 and zlib.crc32(r["tokens"]) == r["ids_crc32"]
         got[r["doc_id"]].append(r)
@@ -335,6 +336,45 @@ def test_near_duplicates_by_brute_force(spark):
     assert keep_one_of_each(docs_of(spark, *rows)).count() == len({find(i) for i in sets})
 
 
+def test_recall_where_buckets_split_again_and_again(spark, monkeypatch):
+    """Small buckets, a passage that all texts share, and pairs just above the threshold: links against brute force."""
+    monkeypatch.setattr(ngram_join, "BUCKET", 16)
+    stages, stage = [], ngram_join.staged
+    monkeypatch.setattr(ngram_join, "staged", lambda df, name: stages.append(name) or stage(df, name))
+    rnd = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    shared, rows = [rnd.choice(vocabulary) for _ in range(150)], []
+    for _ in range(250):
+        base = shared + [rnd.choice(vocabulary) for _ in range(100)]
+        for _ in range(rnd.randrange(1, 4)):
+            w = list(base)
+            for at in rnd.sample(range(150, 250), rnd.randrange(4)):
+                w[at] = rnd.choice(vocabulary)
+            rows.append((len(rows), " ".join(w)))
+    sets = {i: frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) for i, t in rows if (w := words(t))}
+    links, far = collections.Counter(), 0
+    for i, j in itertools.combinations(sets, 2):
+        same = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+        links[i] += same >= 0.8
+        links[j] += same >= 0.8
+        far += 0.3 < same < 0.7
+    got = {r["doc_id"]: r["n_links"] for r in near_duplicates(docs_of(spark, *rows)).collect()}
+    assert "paths_4" in stages and far > 10_000
+    assert sum(min(got[i], links[i]) for i in sets) >= 0.99 * sum(links.values()) and all(got[i] <= links[i] for i in sets)
+
+
+def test_runs_follow_from_the_recall():
+    plan = ngram_join.Plan()
+    assert plan.miss(plan.runs) <= 1 - ngram_join.TARGET_RECALL < plan.miss(plan.runs - 1)
+    assert plan.miss(plan.runs, 0.8) < 1e-4 and ngram_join.Plan(0.5).runs > plan.runs
+
+
+def test_near_duplicates_at_other_thresholds(spark):
+    docs = docs_of(spark, *[(i, f"a b c d {x}") for i, x in enumerate(["e f g h i j k l", "e f g h i j k m", "e f g h x y z u v", "e f g h i n o p q"])])
+    got = lambda t: {r["doc_id"]: r["n_links"] for r in near_duplicates(docs, 2, t).collect()}
+    assert got(0.8) == {0: 1, 1: 1, 2: 0, 3: 0} and got(0.4) == {0: 3, 1: 3, 2: 3, 3: 3}
+
+
 def test_near_duplicates_odd_rows(spark, odd):
     got = sorted(map(tuple, near_duplicates(odd).collect()), key=str)
     assert (3, 3, 1) in got and (1, 1, 0) in got and (2, 2, 0) in got and (None, None, 0) in got and len(got) == len(ODD)
@@ -541,6 +581,29 @@ def test_rules_find_a_conjunction():
     assert np.mean((score > 0) == (y == 1)) > 0.97
 
 
+# --- Clashing names
+
+def test_names_that_clash(spark):
+    """All ten operators on tables with columns named as their own, beginning with any number of underscores."""
+    names = "key doc_id a b of hash drops gone salt rid rule bad path base more row found again pattern s words chars x_chars n items marks fa fb turns states".split()
+    clash = lambda df: df.withColumns({"_" * k + n: F.lit("theirs") for n in names for k in (2, 3, 4)})
+    docs = clash(docs_of(spark, (1, "Mr Smith a@b.org\n" + "x" * 50), (2, None), (3, "token=abcdefgh 12"), *[(i, "y" * 45) for i in range(4, 10)]))
+    items = clash(spark.createDataFrame([("i", "token abcdefgh")], "item_id string, text string"))
+    labels = clash(spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, quality int"))
+    whole = lambda df: {c: 0 for c in docs.columns if c not in df.columns} == {} and all(r["__key"] == "theirs" and r["____n"] == "theirs" for r in df.collect())
+    secrets = Model((0.1,) * 31**2, 1.0)
+    for df in (keep_one_of_each(docs), find_contamination(docs, items), find_contamination(docs, items, broadcast_bytes=0), drop_contaminated(docs, items), replace_pii(docs, "k")):
+        assert whole(df) and df.count() >= 4
+    quality = train_quality(docs, labels)
+    for df in (drop_repeated_lines(docs), find_secrets(docs, secrets), score_quality(docs, quality), keep_good(docs, quality)):
+        assert whole(df)
+    pages = clash(spark.createDataFrame([(1, "http://a.com/b")], "page_id long, url string"))
+    assert judge_urls(pages, queries.URL_RULES).count() == 1
+    assert format_chats(clash(spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string"))).count() == 1
+    assert pack(docs, queries.tokenizer_path()).where("start = 0").count() == docs.count()
+    assert top_k(clash(spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>")), F.col("vec_id") == 0).count() == 1
+
+
 # --- Queries
 
 def plain(v):
