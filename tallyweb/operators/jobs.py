@@ -11,6 +11,7 @@ from ..functions import fixed
 from ..functions.text import truncate
 
 NO_PAGE = "no snapshot of the page"
+TOP_ROWS = 10_000  # rows that one task may sort
 
 
 def parse_status_filters(text: str | None) -> list[str]:
@@ -24,11 +25,18 @@ def start_id(queue: DataFrame, statuses: list[str], offset: int) -> DataFrame:
 
 
 def claim_batch(queue: DataFrame, n: int, statuses: list[str], worker: str, at: datetime, min_id: int | None = None) -> DataFrame:
-    """Up to `n` rows of these statuses that nobody has claimed, the least ids first, stamped with worker and time."""
+    """Up to `n` rows of these statuses that nobody has claimed, the least ids first, stamped with worker and time.
+
+    Where all are to be claimed nothing is sorted, and a large `n` is cut by the n-th id, so that only ids are gathered.
+    """
     free = queue.where(F.col("processing_status").isin(statuses) & F.col("claimed_by").isNull())
     if min_id is not None:
         free = free.where(F.col("id") >= min_id)
-    return free.orderBy("id").limit(max(0, n)).withColumns({"claimed_by": F.lit(worker), "claimed_at": F.lit(at)})
+    if n <= TOP_ROWS:
+        free = free.orderBy("id").limit(max(0, n))
+    elif free.count() > n:
+        free = free.where(F.col("id") <= F.lit(free.select("id").orderBy("id").limit(n).agg(F.max("id")).first()[0]))
+    return free.withColumns({"claimed_by": F.lit(worker), "claimed_at": F.lit(at)})
 
 
 def normalize_jobs(jobs: DataFrame, max_items: int = fixed.MAX_ITEMS, wait_seconds: int = fixed.WAIT_SECONDS, max_retries: int = fixed.MAX_RETRIES) -> DataFrame:
@@ -49,8 +57,12 @@ def jobs_of_queue(claimed: DataFrame) -> DataFrame:
 
 
 def attach_pages(jobs: DataFrame, pages: DataFrame) -> DataFrame:
-    """Jobs with their page; `error` tells of those without. Of several pages with one url the least page_id counts."""
-    one = pages.groupBy("url").agg(F.min_by(F.struct("page_id", "html"), "page_id").alias("page"))
+    """Jobs with their page; `error` tells of those without. Of several pages with one url the least page_id counts.
+
+    Only pages whose address a job names are grouped.
+    """
+    named = pages.join(jobs.select("url").distinct(), "url", "left_semi")
+    one = named.groupBy("url").agg(F.min_by(F.struct("page_id", "html"), "page_id").alias("page"))
     joined = jobs.join(one, "url", "left")
     return joined.select(*jobs.columns, "page.page_id", "page.html", F.when(F.col("page").isNull(), NO_PAGE).alias("error"))
 

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import fixed
 from ..operators import jobs as j
 from ..operators.products import to_product_rows
-from ..schemas import PRODUCT_ROWS
-from ..sources.staged import staged
+from ..schemas import PRODUCT_ROWS, QUEUE
+from ..sources.staged import staged, staged_dir
 from ..sources.tables import insert_if_absent, write_queue
 from .ladder import listing_products, page_results
 
@@ -68,33 +70,55 @@ def process_queue(
 
     Rows to be tried again can be claimed again in the same run. It ends, as each failure raises retry_count, and no row
     stays claimable past the limit of retries.
+
+    A batch writes what is new only: its rows of the queue as they are afterwards, its products, results and statistics,
+    each appended to a table of this run. What can be claimed are the queue's rows beyond those that were claimed before,
+    and the latest state of those; the queue is put together once, at the end.
     """
+    spark = queue.sparkSession
+    folder = f"{staged_dir(spark)}/queue-run-{uuid.uuid4().hex}"
     statuses = statuses or list(fixed.QUEUE_STATUSES)
     first = j.start_id(queue, statuses, offset).first() if offset else None
     min_id = first["id"] if first else None
-    results: DataFrame | None = None
     done = batches = 0
-    stats = []
+    last_id: int | None = None  # all claimable rows up to it have been claimed once
+    kinds: dict[str, StructType] = {}
+
+    def append(df: DataFrame, name: str) -> None:
+        kinds[name] = df.schema
+        df.write.mode("append").parquet(f"{folder}/{name}")
+
+    def so_far(name: str) -> DataFrame:
+        return spark.read.schema(kinds[name]).parquet(f"{folder}/{name}")
+
+    def latest() -> DataFrame:
+        """The state of the rows that were claimed in this run."""
+        return so_far("rows").groupBy("id").agg(F.max_by(F.struct(*QUEUE.names), "batch").alias("row")).select("row.*")
+
+    def with_new(products: DataFrame) -> DataFrame:
+        return products.unionByName(so_far("products")) if batches else products
+
     while limit is None or done < limit:
         n = batch_size if limit is None else min(batch_size, limit - done)
-        claimed = staged(j.claim_batch(queue, n, statuses, f"{worker}-{batches}", at, min_id), "claimed")
+        open_rows = queue if last_id is None else queue.where(F.col("id") > last_id).unionByName(latest())
+        claimed = staged(j.claim_batch(open_rows, n, statuses, f"{worker}-{batches}", at, min_id), "claimed")
+        taken = claimed.agg(F.count("*").alias("n"), F.max("id").alias("last")).first()
+        if not taken["n"]:
+            break
         jobs = j.normalize_jobs(
             claimed.select(F.col("product_page_url").alias("url"), F.col("id").alias("url_id"), "retry_count", "product_type_id"), max_retries=max_retries
         )
-        taken = claimed.count()
-        if not taken:
-            break
-        outcome, new = run_jobs(jobs, pages, existing)
+        outcome, new = run_jobs(jobs, pages, with_new(existing))
         outcome = staged(outcome, "outcomes")
-        existing = staged(existing.unionByName(new.select(*PRODUCT_ROWS.names)), "products")
-        queue = staged(write_queue(queue, j.queue_update(j.next_state(outcome), at)), "queue")
-        stats.append(j.run_stats(outcome))
-        results = outcome if results is None else results.unionByName(outcome)
-        done, batches = done + taken, batches + 1
-    total = None
-    if stats:
-        union = stats[0]
-        for s in stats[1:]:
-            union = union.unionByName(s)
-        total = j.rollup_batches(union)
-    return Run(queue, existing, results, total, batches)
+        new = staged(new.select(*PRODUCT_ROWS.names), "new_products")
+        append(new, "products")
+        append(write_queue(claimed, j.queue_update(j.next_state(outcome), at)).withColumn("batch", F.lit(batches)), "rows")
+        append(outcome, "results")
+        append(j.run_stats(outcome), "stats")
+        last_id = taken["last"] if last_id is None else max(last_id, taken["last"])
+        done, batches = done + taken["n"], batches + 1
+    if not batches:
+        return Run(queue, existing, None, None, 0)
+    changed = latest().select(F.struct(*QUEUE.names).alias("__row"))
+    merged = queue.join(changed, queue["id"] == F.col("__row.id"), "left").select(F.coalesce("__row", F.struct(*[queue[c] for c in QUEUE.names])).alias("r")).select("r.*")
+    return Run(merged, with_new(existing), so_far("results"), j.rollup_batches(so_far("stats")), batches)

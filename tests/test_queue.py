@@ -1,9 +1,12 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyweb.operators import jobs as j
-from tallyweb.schemas import OUTCOMES, PRODUCT_ROWS, QUEUE
+from tallyweb.plans import queue_run
+from tallyweb.plans.queue_run import process_queue
+from tallyweb.schemas import CANDIDATES, OUTCOMES, PRODUCT_ROWS, QUEUE
 from tallyweb.sources.tables import insert_if_absent, load_queue, write_queue
 
 AT = datetime(2024, 5, 1)
@@ -58,3 +61,28 @@ def test_insert_twice_is_once(spark):
     assert sorted(map(tuple, once.collect())) == [("u", "a"), ("v", "c")]
     assert insert_if_absent(new, once).count() == 0
     assert PRODUCT_ROWS.names[0] == "platform_url"
+
+
+def test_batches_add_up_to_one(spark, monkeypatch):
+    """Small batches, with rows that are tried again between new ones, give what one large batch gives."""
+
+    def one_product(pages, max_items):
+        known = {"page_id": F.col("page_id"), "rung": F.lit(1), "pos": F.array(F.lit(0)), "title": F.lit("Lamp"), "product_url": F.concat(F.lit("https://a.com/product/"), F.regexp_extract("html", "[0-9]", 0))}
+        return pages.select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in CANDIDATES.fields])
+
+    monkeypatch.setattr(queue_run, "listing_products", one_product)
+    html = "<p>Lamp {0}"
+    pages = spark.createDataFrame([(i, f"https://a.com/{i}", html.format(i % 3)) for i in (1, 2, 4, 7)], "page_id long, url string, html string")
+    queue = spark.createDataFrame([row(i, "retrying" if i % 2 else "pending", i % 4, "x" if i == 3 else None) for i in range(1, 9)], QUEUE)
+    none = spark.createDataFrame([], PRODUCT_ROWS)
+    runs = [process_queue(queue, pages, none, AT, batch_size=n) for n in (3, 100_000)]
+    states = [sorted((r["id"], r["processing_status"], r["retry_count"], r["claimed_by"], r["success"], r["error_message"]) for r in run.queue.collect()) for run in runs]
+    assert states[0] == states[1] and len(states[0]) == 8 and runs[0].batches > runs[1].batches > 1
+    assert states[0][2][1:4] == ("retrying", 3, "x") and [s[4] for s in states[0]] == [True, True, None, True, False, False, True, False]
+    for run in runs:
+        assert sorted(r["product_url"] for r in run.products.collect()) == [f"https://a.com/product/{i}" for i in (1, 2)]
+        stats = run.stats.first()
+        assert (stats["submitted"], stats["succeeded"], run.results.count()) == (run.results.count(), 4, stats["submitted"])
+    assert process_queue(queue.limit(0), pages, none, AT).batches == 0
+    big = spark.createDataFrame([row(i) for i in range(10_050)], QUEUE)
+    assert [tuple(r) for r in j.claim_batch(big, 10_020, ["pending"], "w", AT).selectExpr("count(*)", "max(id)").collect()] == [(10_020, 10_019)]
