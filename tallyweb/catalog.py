@@ -19,8 +19,8 @@ from .operators import strategies as s
 from .operators.nodes import node_rows, parse_nodes
 from .plans import ladder, queue_run
 from .schemas import PRODUCT_NAMES, PRODUCT_ROWS, QUEUE
-from .sources import tables
-from .sources.listing_pages import part_pages
+from .sources import payloads, tables
+from .sources.listing_pages import full_pages, part_pages
 from .sources.staged import shared_dir
 from .streaming.stream import load_products
 
@@ -341,10 +341,7 @@ def _strategy(rung: int) -> Query:
     by_scripts = {2: s.extract_jsonld, 4: s.extract_inline_json}
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        part = table(spark, sf_dir, "part")
-        if rung == 6:  # it finds products on pages of the first template as well, which its SQL doesn't list
-            part = part.where(F.floor(F.col("p_partkey") / 20) % 6 == rung - 1)
-        pages = part_pages(part)
+        pages = part_pages(table(spark, sf_dir, "part"))
         parsed, of = ladder.parsed_pages(pages), pages.select("page_id", "url")
         rows = by_nodes[rung](node_rows(parsed), of) if rung in by_nodes else by_scripts[rung](parsed, of)
         return products.merge_by_url(rows).select(*_SHOWN_OF_PART)
@@ -353,7 +350,9 @@ def _strategy(rung: int) -> Query:
 
 
 for _rung, _name in enumerate(["dom", "jsonld", "microdata", "inline_json", "heuristic", "linked_images"], 1):
-    query(f"e{_rung}_extract_{_name}", f"SELECT {', '.join(_SHOWN_OF_PART)} FROM {_SHOWS_SQL} WHERE rung = {_rung}")(_strategy(_rung))
+    # linked images show on cards of the first template as well, as titles, links and images only
+    _also = f" UNION ALL SELECT page_id, title, product_url, image_url, {', '.join('NULL AS ' + c for c in _SHOWN_OF_PART[4:])} FROM {_SHOWS_SQL} WHERE rung = 1" if _rung == 6 else ""
+    query(f"e{_rung}_extract_{_name}", f"SELECT {', '.join(_SHOWN_OF_PART)} FROM {_SHOWS_SQL} WHERE rung = {_rung}{_also}")(_strategy(_rung))
 
 
 @query("e11_run_ladder", f"SELECT rung::INTEGER AS rung, {', '.join(_SHOWN_OF_PART)} FROM {_SHOWS_SQL}")
@@ -372,6 +371,169 @@ def _(spark, sf):
     return ladder.page_results(pages, ladder.products_of(ladder.run_ladder(pages, parsed=parsed)), parsed)
 
 
+#: What pages of FULL show of a part
+_FULL_SQL = """(SELECT p_partkey // 20 AS page_id, p_name AS title, 'https://shop.example.com/product/' || p_partkey AS product_url, 'https://shop.example.com/img/' || p_partkey || '.png' AS image_url,
+  p_retailprice AS price, printf('%.2f', p_retailprice) AS raw_price, CAST((p_partkey % 5) || '.' || (p_partkey % 9) AS DOUBLE) AS rating, p_partkey * 7 AS review_count,
+  false AS in_stock, p_brand AS brand, 'S-' || p_partkey AS sku, p_name || ', described at some length' AS description FROM part)"""
+_FULL_FIELDS = ["page_id", *PRODUCT_NAMES]
+
+
+def _full_sql(currency: str, before: str = "") -> str:
+    of = {"currency": f"'{currency}' AS currency", "raw_price": f"'{before}' || raw_price AS raw_price"}
+    return f"SELECT {', '.join(of.get(c, c) for c in _FULL_FIELDS)} FROM {_FULL_SQL}"
+
+
+def _full(spark: SparkSession, sf_dir: str, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Parsed pages, and their addresses."""
+    pages = full_pages(table(spark, sf_dir, "part"), kind)
+    return ladder.parsed_pages(pages), pages.select("page_id", "url")
+
+
+@query("e7_card_fields", _full_sql("USD", "$"))
+def _(spark, sf):
+    parsed, of = _full(spark, sf, "cards")
+    nodes = node_rows(parsed)
+    return s.card_fields(nodes.where("tag = 'li'").select("page_id", "node_id", "text"), nodes, of).select(*_FULL_FIELDS)
+
+
+@query("e8_ld_fields", _full_sql("EUR"))
+def _(spark, sf):
+    return s.extract_jsonld(*_full(spark, sf, "ld")).select(*_FULL_FIELDS)
+
+
+@query("e9_generic_fields", _full_sql("CAD"))
+def _(spark, sf):
+    return s.extract_inline_json(*_full(spark, sf, "generic")).select(*_FULL_FIELDS)
+
+
+@query("e10_blobs", f"SELECT page_id, title, product_url FROM {_FULL_SQL}")
+def _(spark, sf):
+    return s.extract_inline_json(*_full(spark, sf, "blobs")).select("page_id", "title", "product_url")
+
+
+@query(
+    "e12_no_results",
+    f"""SELECT page_id, 'shop.example.com' AS platform, true AS success, count(*) AS num_products, count(*) AS saved_to_db FROM {_SHOWS_SQL} GROUP BY page_id
+    UNION ALL SELECT -1 - c_custkey, 'shop.example.com', true, 0, CASE WHEN c_custkey % 2 = 1 THEN 0 END FROM customer""",
+)
+def _(spark, sf):
+    """Listing pages, and pages without products, half of which say that there are none."""
+    key = F.col("c_custkey")
+    says = F.when(key % 2 == 0, "<p>Sorry, No Results Found for this").otherwise("<p>Welcome")
+    empty = table(spark, sf, "customer").select((-1 - key).cast("bigint").alias("page_id"), F.concat(F.lit("https://shop.example.com/none/"), key.cast("string")).alias("url"), says.alias("html"))
+    pages = part_pages(table(spark, sf, "part")).unionByName(empty)
+    parsed = ladder.parsed_pages(pages)
+    return ladder.page_results(pages, ladder.products_of(ladder.run_ladder(pages, parsed=parsed)), parsed).drop("page_url")
+
+
+# --- Elements and selectors, on pages made of parts ----------------------------------------------------------------
+
+_PAGES_SQL = f"(SELECT page_id, kind, count(*) AS n FROM {_PART} GROUP BY page_id, kind)"
+
+
+def _part_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return node_rows(parse_nodes(part_pages(table(spark, sf_dir, "part"))))
+
+
+@query(
+    "h1_parse_nodes",
+    f"""SELECT page_id, CASE kind WHEN 0 THEN 5 + 6 * n WHEN 1 THEN 5 WHEN 2 THEN 2 + 7 * n WHEN 3 THEN 4 WHEN 4 THEN 5 + 3 * n ELSE 4 + 2 * n END AS elements,
+    CASE kind WHEN 0 THEN 5 WHEN 1 THEN 3 WHEN 2 THEN 4 WHEN 3 THEN 4 WHEN 4 THEN 7 ELSE 6 END AS depth, (kind IN (1, 3))::BIGINT AS scripts FROM {_PAGES_SQL}""",
+)
+def _(spark, sf):
+    deepest = F.array_max(F.transform("nodes", lambda n: F.size(n["ancestors"]) + 1))
+    parsed = parse_nodes(part_pages(table(spark, sf, "part")))
+    return parsed.select("page_id", F.size("nodes").cast("bigint").alias("elements"), deepest.alias("depth"), F.size("scripts").cast("bigint").alias("scripts"))
+
+
+@query("h2_is_displayed", "SELECT p_partkey // 20 AS page_id, 2 + 2 * count(*) AS elements, 2 + 2 * count(*) FILTER (p_partkey % 3 = 2) AS displayed FROM part GROUP BY 1")
+def _(spark, sf):
+    nodes = node_rows(parse_nodes(full_pages(table(spark, sf, "part"), "hidden")))
+    return nodes.groupBy("page_id").agg(F.count("*").alias("elements"), F.count_if("displayed").alias("displayed"))
+
+
+@query("h3_element_text", f"SELECT page_id, CASE kind WHEN 0 THEN p_name || '$' || t || p_brand || 'In stock' ELSE '$' || t END AS said FROM {_PART} WHERE kind IN (0, 4)")
+def _(spark, sf):
+    return _part_nodes(spark, sf).where("tag = 'li'").select("page_id", selectors.element_text(F.col("text")).alias("said"))
+
+
+@query("h4_matches", f"SELECT page_id, CASE kind WHEN 0 THEN 4 WHEN 4 THEN 1 ELSE 2 END * n AS matching FROM {_PAGES_SQL} WHERE kind IN (0, 2, 4, 5)")
+def _(spark, sf):
+    fits = selectors.matches('li.product, a[title], span[class="price"], img[src*="/IMG/" i], [itemprop="NAME" i]')
+    return _part_nodes(spark, sf).where(fits).groupBy("page_id").agg(F.count("*").alias("matching"))
+
+
+@query(
+    "h5_first_nonempty_selector",
+    f"SELECT page_id, (CASE kind WHEN 0 THEN 1 WHEN 2 THEN 3 WHEN 4 THEN 2 ELSE 4 END)::INTEGER AS rank, CASE kind WHEN 5 THEN 2 ELSE n END AS matching FROM {_PAGES_SQL} WHERE kind IN (0, 2, 4, 5)",
+)
+def _(spark, sf):
+    found = selectors.first_nonempty_selector(_part_nodes(spark, sf), ["ol", "li.product", "li", '[itemprop="name"]', "main, section"])
+    return found.groupBy("page_id", "rank").agg(F.count("*").alias("matching"))
+
+
+@query("h6_part_sections", f"SELECT page_id, n + (kind = 0)::BIGINT AS anchors, (kind = 0)::BIGINT AS refused FROM {_PAGES_SQL} WHERE kind IN (0, 4, 5)")
+def _(spark, sf):
+    anchors = _part_nodes(spark, sf).where("tag = 'a'")
+    return anchors.groupBy("page_id").agg(F.count("*").alias("anchors"), F.count_if("blacklisted").alias("refused"))
+
+
+@query("h7_looks_like_card", f"SELECT page_id, n AS cards FROM {_PAGES_SQL} WHERE kind IN (0, 4)")
+def _(spark, sf):
+    nodes = _part_nodes(spark, sf)
+    return selectors.looks_like_card(nodes, nodes.where("tag IN ('li', 'div', 'article')")).groupBy("page_id").agg(F.count("*").alias("cards"))
+
+
+@query("h8_part_anchors", f"SELECT page_id, path AS href FROM {_PART} WHERE kind IN (0, 4, 5)")
+def _(spark, sf):
+    return selectors.page_anchors(_part_nodes(spark, sf)).select("page_id", selectors.attr("href").alias("href"))
+
+
+@query(
+    "u1_relative_references",
+    r"""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 'https://a.com/x/' || o_orderkey WHEN 1 THEN 'https://a.com/' || o_orderkey WHEN 2 THEN 'https://a.com/x/y?page=' || o_orderkey
+      WHEN 3 THEN 'https://cdn.b.com/' || o_orderkey WHEN 4 THEN 'https://a.com/x/y?q=1#' || o_orderkey ELSE 'javascript:void(' || o_orderkey || ')' END AS absolute FROM orders""",
+)
+def _(spark, sf):
+    key, number = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    before = F.get(F.array(*[F.lit(x) for x in ("", "../", "?page=", "//cdn.b.com/", "#", "javascript:void(")]), (key % 6).cast("int"))
+    href = F.concat(before, number, F.when(key % 6 == 5, ")").otherwise(""))
+    return table(spark, sf, "orders").select("o_orderkey", urls.to_absolute(F.lit("https://a.com/x/y?q=1"), href).alias("absolute"))
+
+
+# --- Payloads ------------------------------------------------------------------------------------------------------
+
+_PAYLOAD_SQL = """(
+  SELECT o_orderkey AS payload_id, 0 AS pos, 'https://a.com/' || o_orderkey AS url, NULL::INTEGER AS max_items, NULL::BIGINT AS url_id FROM orders WHERE o_orderkey % 5 < 4
+  UNION ALL SELECT o_orderkey, 1, 'https://b.com/' || o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 5 END, CASE o_orderkey % 5 WHEN 3 THEN o_orderkey END FROM orders WHERE o_orderkey % 5 IN (0, 2, 3))"""
+
+
+def order_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list, an object, commas, lines, or nothing."""
+    key, k = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    a, b = F.concat(F.lit("https://a.com/"), k), F.concat(F.lit("https://b.com/"), k)
+    texts = [
+        F.format_string('["%s", {"url": "%s", "max_items": 5}, 7]', a, b),
+        F.format_string('{"urls": ["%s"]}', a),
+        F.format_string(" %s, %s ", a, b),
+        F.format_string('# a comment\n\n%s\n{"url": "%s", "url_id": %s}\n', a, b, k),
+        F.lit(" \n "),
+    ]
+    return table(spark, sf_dir, "orders").select(key.alias("payload_id"), F.coalesce(*[F.when(key % 5 == i, t) for i, t in enumerate(texts)]).alias("text"))
+
+
+@query("s3_parse_url_payload", f"SELECT payload_id, pos, url, max_items, url_id FROM {_PAYLOAD_SQL}")
+def _(spark, sf):
+    return payloads.parse_url_payload(order_payloads(spark, sf)).select("payload_id", "pos", "url", "max_items", "url_id")
+
+
+@query("s4_load_manual_urls", f"SELECT (payload_id % 2)::INTEGER AS source, payload_id, pos, url FROM {_PAYLOAD_SQL}")
+def _(spark, sf):
+    """Even orders' payloads are given inline, the others stand in files."""
+    given = order_payloads(spark, sf)
+    return payloads.load_manual_urls(given.where("payload_id % 2 = 0"), given.where("payload_id % 2 = 1")).select("source", "payload_id", "pos", "url")
+
+
 _LOADED_SQL = f"SELECT 'https://shop.example.com/list/' || page_id AS platform_url, title AS product_name, price AS current_price, product_url FROM {_SHOWS_SQL}"
 
 
@@ -413,6 +575,16 @@ def _(spark, sf):
     return tables.load_queue(order_queue(spark, sf), limit=500, offset=100).drop("claimed_at")
 
 
+@query(
+    "q1_parse_status_filters",
+    f"SELECT id, processing_status, filters FROM {_QUEUE_SQL} JOIN (VALUES ('given', 'completed'), ('given', 'retrying'), ('none', 'pending'), ('none', 'retrying')) f(filters, status) ON processing_status = status",
+)
+def _(spark, sf):
+    queue = order_queue(spark, sf)
+    of = lambda name, text: queue.where(F.col("processing_status").isin(jobs.parse_status_filters(text))).select("id", "processing_status", F.lit(name).alias("filters"))
+    return of("given", " Completed ,, RETRYING").unionByName(of("none", " , "))
+
+
 @query("q2_start_id", f"SELECT id FROM {_QUEUE_SQL} WHERE {_OPEN} ORDER BY id LIMIT 1 OFFSET 250")
 def _(spark, sf):
     return jobs.start_id(order_queue(spark, sf), fixed.QUEUE_STATUSES, 250)

@@ -37,10 +37,34 @@ PAGES = [
 ]
 
 
-def part_pages(part: DataFrame) -> DataFrame:
-    """(page_id, url, html)"""
+#: Pages of one kind that show all fields of a product, by name: before the cards, the card, between them, after them
+FULL = {
+    "cards": (
+        '<html><body><ul class="products">',
+        '<li class="product"><a href="{{path}}" title="{{p_name}}">x</a><img data-src="{{image}}"><span class="price">${{price}}</span><span class="rating">Rated {{stars}} out of 5</span><span class="reviews">{{reviews}} reviews</span><span class="brand">{{p_brand}}</span><span data-sku="{{sku}}"></span><div class="description">{{p_name}}, described at some length</div><span class="stock">Out of stock</span></li>',
+        "",
+        "</ul></body></html>",
+    ),
+    "ld": (
+        '<html><head><script type="application/ld+json">[',
+        '{"@type":"Product","name":"{{p_name}}","url":"{{path}}","image":"{{image}}","offers":{"price":"{{price}}","priceCurrency":"EUR","availability":"https://schema.org/OutOfStock"},"aggregateRating":{"ratingValue":"{{stars}}","reviewCount":"{{reviews}}"},"brand":"{{p_brand}}","sku":"{{sku}}","description":" {{p_name}},  described at some length"}',
+        ",",
+        "]</script></head><body></body></html>",
+    ),
+    "generic": (
+        '<html><body><script type="application/json">{"products":[',
+        '{"productName":"{{p_name}}","link":{"href":"{{path}}"},"thumbnail":{"src":"{{image}}"},"salePrice":{"amount":"{{price}}"},"currencyCode":"CAD","manufacturer":"{{p_brand}}","itemId":"{{sku}}","summary":"{{p_name}}, described at some length","averageRating":"{{stars}}","numberOfReviews":"{{reviews}}","stockStatus":"out of stock"}',
+        ",",
+        "]}</script></body></html>",
+    ),
+    "blobs": ('<html><body><script type="application/json">var shown = ', '{"name":"{{p_name}}","url":"{{path}}"}', "; var next = ", "; {broken</script></body></html>"),
+    "hidden": ("<html><body>", "<div {{hide}}><b>{{p_name}}</b></div>", "", "</body></html>"),
+}
+
+
+def _rows(part: DataFrame) -> DataFrame:
     key = F.col("p_partkey")
-    rows = part.select(
+    return part.select(
         "*",
         F.floor(key / PER_PAGE).cast("bigint").alias("page_id"),
         (key % PER_PAGE).cast("string").alias("place"),
@@ -48,10 +72,31 @@ def part_pages(part: DataFrame) -> DataFrame:
         F.concat(F.lit("/img/"), key.cast("string"), F.lit(".png")).alias("image"),
         F.concat(F.lit("S-"), key.cast("string")).alias("sku"),
         F.format_string("%.2f", "p_retailprice").alias("price"),
+        F.concat((key % 5).cast("string"), F.lit("."), (key % 9).cast("string")).alias("stars"),
+        (key * 7).cast("string").alias("reviews"),
+        F.when(key % 3 == 0, 'style="COLOR: red; display : none"').when(key % 3 == 1, "hidden").otherwise("").alias("hide"),
     )
+
+
+def _paged(rows: DataFrame, card: Column) -> DataFrame:
+    """(page_id, cards): each page's cards in order."""
+    pages = rows.select("page_id", F.col("p_partkey").alias("at"), card.alias("card")).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("at", "card"))).alias("cards"))
+    return pages.select("page_id", F.col("cards.card").alias("cards"))
+
+
+def _addressed(html: Column) -> list[Column]:
+    return [F.col("page_id"), F.concat(F.lit(f"{BASE}/list/"), F.col("page_id").cast("string")).alias("url"), html.alias("html")]
+
+
+def full_pages(part: DataFrame, kind: str) -> DataFrame:
+    """(page_id, url, html) of pages of a kind of FULL."""
+    head, card, between, foot = FULL[kind]
+    return _paged(_rows(part), _f(card)).select(*_addressed(F.concat(F.lit(head), F.array_join("cards", between), F.lit(foot))))
+
+
+def part_pages(part: DataFrame) -> DataFrame:
+    """(page_id, url, html)"""
     kind = (F.col("page_id") % len(CARDS)).cast("int")
-    card = F.coalesce(*[F.when(kind == i, _f(c)) for i, c in enumerate(CARDS)])
-    pages = rows.select("page_id", key.alias("at"), card.alias("card")).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("at", "card"))).alias("cards"))
-    cards = F.col("cards.card")
-    html = F.coalesce(*[F.when(kind == i, F.concat(F.lit(head), F.array_join(cards, sep), F.lit(foot))) for i, (head, sep, foot) in enumerate(PAGES)])
-    return pages.select("page_id", F.concat(F.lit(f"{BASE}/list/"), F.col("page_id").cast("string")).alias("url"), html.alias("html"))
+    pages = _paged(_rows(part), F.coalesce(*[F.when(kind == i, _f(c)) for i, c in enumerate(CARDS)]))
+    html = F.coalesce(*[F.when(kind == i, F.concat(F.lit(head), F.array_join("cards", sep), F.lit(foot))) for i, (head, sep, foot) in enumerate(PAGES)])
+    return pages.select(*_addressed(html))
