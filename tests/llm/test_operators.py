@@ -189,6 +189,22 @@ def test_urls(spark):
     assert judge_urls(pages.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_url_query_by_brute_force(spark):
+    """Host, path and rule of the whole table; ruled urls take the rule's verdict, and the tree allows and blocks others."""
+    sf = "/root/testdata/sf0.01"
+    urls = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    verdicts = collections.Counter()
+    for r in queries.op2_url_filters(spark, sf).collect():
+        rest = (urls.pop(r["page_id"]) or "").partition("://")[2]
+        host = lower(re.split("[/?#]", rest)[0])
+        path = re.split("[?#]", rest[len(host) :])[0]
+        fits = [(len(x), x, v) for x, v in queries.URL_RULES for of, start in [x.split("/", 1)] if ("." + host).endswith("." + of) and path.startswith("/" + start)]
+        _, rule, verdict = max(fits, default=(0, None, None))
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule) and r["verdict"] in ([verdict] if rule else ["allow", "block"])
+        verdicts[rule is not None, r["verdict"]] += 1
+    assert not urls and verdicts[False, "allow"] > 0 and verdicts[False, "block"] > 0
+
+
 def test_templates_that_are_mostly_bad_are_rejected(spark):
     labels = [("h.org", f"/ads/{i}", 1) for i in range(20)] + [("h.org", f"/news/{i}", 0) for i in range(20)]
     pages = spark.createDataFrame([(0, "http://h.org/ads/77"), (1, "http://h.org/news/77"), (2, "http://h.org/else/5"), (3, "http://g.org/ads/7")], "page_id long, url string")
