@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .functions import fixed, text, urls
 from .operators import jobs, products, selectors
 from .operators import strategies as s
-from .operators.nodes import node_rows, parse_nodes
+from .operators.nodes import node_rows, parse_nodes, with_text
 from .plans import ladder, queue_run
 from .schemas import PRODUCT_NAMES, PRODUCT_ROWS, QUEUE
 from .sources import payloads, tables
@@ -343,7 +343,7 @@ def _strategy(rung: int) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         pages = part_pages(table(spark, sf_dir, "part"))
         parsed, of = ladder.parsed_pages(pages), pages.select("page_id", "url")
-        rows = by_nodes[rung](node_rows(parsed), of) if rung in by_nodes else by_scripts[rung](parsed, of)
+        rows = by_nodes[rung](node_rows(parsed), parsed) if rung in by_nodes else by_scripts[rung](parsed, of)
         return products.merge_by_url(rows).select(*_SHOWN_OF_PART)
 
     return run
@@ -391,9 +391,9 @@ def _full(spark: SparkSession, sf_dir: str, kind: str) -> tuple[DataFrame, DataF
 
 @query("e7_card_fields", _full_sql("USD", "$"))
 def _(spark, sf):
-    parsed, of = _full(spark, sf, "cards")
+    parsed, _ = _full(spark, sf, "cards")
     nodes = node_rows(parsed)
-    return s.card_fields(nodes.where("tag = 'li'").select("page_id", "node_id", "text"), nodes, of).select(*_FULL_FIELDS)
+    return s.card_fields(nodes.where("tag = 'li'").select("page_id", "node_id", "piece_start", "piece_count"), nodes, parsed).select(*_FULL_FIELDS)
 
 
 @query("e8_ld_fields", _full_sql("EUR"))
@@ -454,7 +454,8 @@ def _(spark, sf):
 
 @query("h3_element_text", f"SELECT page_id, CASE kind WHEN 0 THEN p_name || '$' || t || p_brand || 'In stock' ELSE '$' || t END AS said FROM {_PART} WHERE kind IN (0, 4)")
 def _(spark, sf):
-    return _part_nodes(spark, sf).where("tag = 'li'").select("page_id", selectors.element_text(F.col("text")).alias("said"))
+    parsed = ladder.parsed_pages(part_pages(table(spark, sf, "part")))
+    return with_text(node_rows(parsed).where("tag = 'li'"), parsed).select("page_id", selectors.element_text(F.col("text")).alias("said"))
 
 
 @query("h4_matches", f"SELECT page_id, CASE kind WHEN 0 THEN 4 WHEN 4 THEN 1 ELSE 2 END * n AS matching FROM {_PAGES_SQL} WHERE kind IN (0, 2, 4, 5)")
@@ -480,8 +481,9 @@ def _(spark, sf):
 
 @query("h7_looks_like_card", f"SELECT page_id, n AS cards FROM {_PAGES_SQL} WHERE kind IN (0, 4)")
 def _(spark, sf):
-    nodes = _part_nodes(spark, sf)
-    return selectors.looks_like_card(nodes, nodes.where("tag IN ('li', 'div', 'article')")).groupBy("page_id").agg(F.count("*").alias("cards"))
+    parsed = ladder.parsed_pages(part_pages(table(spark, sf, "part")))
+    nodes = node_rows(parsed)
+    return selectors.looks_like_card(nodes, nodes.where("tag IN ('li', 'div', 'article')"), parsed).groupBy("page_id").agg(F.count("*").alias("cards"))
 
 
 @query("h8_part_anchors", f"SELECT page_id, path AS href FROM {_PART} WHERE kind IN (0, 4, 5)")

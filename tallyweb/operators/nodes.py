@@ -1,7 +1,8 @@
 """Pages to element rows.
 
 One small vectorised helper reads HTML with the standard library's tokeniser and keeps a tree; all that is decided about
-elements afterwards is columns. Text is kept once a page, and elements point into it.
+elements afterwards is columns. Text is kept once a page, as an array of pieces, and elements point into it: theirs are put
+together by with_text() where they are looked at, so no table or shuffle holds a text once for each element around it.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -33,8 +34,8 @@ BLOCKS = frozenset(
 #: An open element isn't closed from beyond one of these
 WALLS = frozenset(("ul", "ol", "dl", "table", "select", "html", "body", "td", "th"))
 
-NODE = "struct<node_id:int,parent_id:int,ancestors:array<int>,tag:string,attrs:map<string,string>,text_start:int,text_len:int,displayed:boolean,blacklisted:boolean>"
-PARSED = f"page_id long, page_text string, nodes array<{NODE}>, scripts array<struct<node_id:int,type:string,text:string>>"
+NODE = "struct<node_id:int,parent_id:int,ancestors:array<int>,tag:string,attrs:map<string,string>,piece_start:int,piece_count:int,displayed:boolean,blacklisted:boolean>"
+PARSED = f"page_id long, url string, pieces array<string>, nodes array<{NODE}>, scripts array<struct<node_id:int,type:string,text:string>>"
 
 
 class _Tree(HTMLParser):
@@ -42,20 +43,15 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes: list[dict] = []
         self.open: list[int] = []
-        self.text: list[str] = []
-        self.length = 0
+        self.pieces: list[str] = []
         self.scripts: list[dict] = []
 
-    def _say(self, text: str) -> None:
-        self.text.append(text)
-        self.length += len(text)
-
     def _close(self, depth: int) -> None:
         while len(self.open) > depth:
             node = self.nodes[self.open.pop()]
-            node["text_len"] = self.length - node["text_start"]
+            node["piece_count"] = len(self.pieces) - node["piece_start"]
             if node["tag"] in BLOCKS and node["displayed"]:
-                self._say("\n")
+                self.pieces.append("\n")
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         ends = CLOSES.get(tag, ()) + (("p",) if tag in BLOCKS else ())
@@ -71,9 +67,9 @@ class _Tree(HTMLParser):
         style = "".join(given.get("style", "").lower().split())
         seen = (parent is None or parent["displayed"]) and tag not in UNSEEN and "hidden" not in given and "display:none" not in style and "visibility:hidden" not in style
         if tag in BLOCKS and seen:
-            self._say("\n")
+            self.pieces.append("\n")
         if tag == "br" and seen:
-            self._say("\n")
+            self.pieces.append("\n")
         near = [self.nodes[i]["tag"] for i in self.open[::-1][: fixed.SECTION_STEPS]]
         lineage = [tag, *near]
         stop = next((i for i, t in enumerate(lineage) if t in ("body", "html")), len(lineage))
@@ -83,8 +79,8 @@ class _Tree(HTMLParser):
             "ancestors": list(self.open),
             "tag": tag,
             "attrs": given,
-            "text_start": self.length,
-            "text_len": 0,
+            "piece_start": len(self.pieces),
+            "piece_count": 0,
             "displayed": seen,
             "blacklisted": any(t in fixed.SECTIONS_REFUSED for t in lineage[:stop]),
         }
@@ -107,12 +103,12 @@ class _Tree(HTMLParser):
         if above["tag"] == "script":
             self.scripts[-1]["text"] += data
         elif above["displayed"]:
-            self._say(data)
+            self.pieces.append(data)
 
     def done(self) -> dict:
         self.close()
         self._close(0)
-        return {"page_text": "".join(self.text), "nodes": self.nodes, "scripts": self.scripts}
+        return {"pieces": self.pieces, "nodes": self.nodes, "scripts": self.scripts}
 
 
 def _parsed(html: str | None) -> dict:
@@ -122,10 +118,11 @@ def _parsed(html: str | None) -> dict:
 
 
 def parse_nodes(pages: DataFrame) -> DataFrame:
-    """(page_id, page_text, nodes, scripts) of pages (page_id, html).
+    """(page_id, url, pieces, nodes, scripts) of pages (page_id, url, html).
 
     Void elements have no content; p, li, dt, dd, option and table cells may be left open, and what is open at the end is
-    closed there. Offsets are in characters of `page_text`, which is the text of displayed elements; scripts are apart.
+    closed there. `pieces` make up the text of displayed elements in order, and an element has `piece_count` of them from
+    `piece_start` on; scripts are apart.
     An element isn't displayed if it or one above is hidden by attribute or inline style, or is of the head or a script.
     """
 
@@ -133,15 +130,31 @@ def parse_nodes(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, len(batch), 200):
                 part = batch.iloc[at : at + 200]
-                yield pd.DataFrame([{"page_id": i, **_parsed(h)} for i, h in zip(part["page_id"], part["html"], strict=True)])
+                yield pd.DataFrame([{"page_id": i, "url": u, **_parsed(h)} for i, u, h in zip(part["page_id"], part["url"], part["html"], strict=True)])
 
-    return pages.select("page_id", "html").mapInPandas(parse, PARSED)
+    return pages.select("page_id", "url", "html").mapInPandas(parse, PARSED)
 
 
 def node_rows(parsed: DataFrame, keep=None) -> DataFrame:
-    """One row for each element, with its text; `keep` is a test on an element (a struct), made before the explosion."""
+    """One row for each element; `keep` is a test on an element (a struct), made before the explosion."""
     nodes = F.col("nodes") if keep is None else F.filter("nodes", keep)
-    rows = parsed.select("page_id", "page_text", F.explode(nodes).alias("n")).select("page_id", "page_text", "n.*")
-    # page_text counts code points, as Python does
-    text = F.substring(F.col("page_text"), F.col("text_start") + 1, F.col("text_len"))
-    return rows.withColumn("text", text).drop("page_text", "text_start", "text_len")
+    return parsed.select("page_id", F.explode(nodes).alias("n")).select("page_id", "n.*")
+
+
+def page_text() -> Column:
+    """The text of a parsed page."""
+    return F.array_join("pieces", "")
+
+
+def text_of_element() -> Column:
+    """The text of an element, of a row that has its page's pieces, too."""
+    return F.array_join(F.slice("pieces", F.col("piece_start") + 1, F.col("piece_count")), "")
+
+
+def with_text(rows: DataFrame, parsed: DataFrame) -> DataFrame:
+    """`rows` (page_id, piece_start, piece_count and others) of elements, and their `text`.
+
+    To be called on what is looked at only. Each text is read from its own place on, so the work is that of its length.
+    """
+    rows = rows.join(parsed.select("page_id", "pieces"), "page_id")
+    return rows.withColumn("text", text_of_element()).drop("pieces")

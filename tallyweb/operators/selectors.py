@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import clean_text, contains_any, or_null
+from .nodes import with_text
 
 _TOKEN = re.compile(
     r"""(?P<tag>[A-Za-z][\w-]*)|\.(?P<cls>[\w-]+)|\[\s*(?P<attr>[\w-]+)\s*(?:(?P<op>[*^$]?=)\s*"(?P<value>[^"]*)"\s*(?P<fold>i)?\s*)?\]"""
@@ -78,12 +79,15 @@ def attr(name: str) -> Column:
 IMAGES = "img[src], img[data-src], img[data-original]"
 
 
-def looks_like_card(nodes: DataFrame, cards: DataFrame) -> DataFrame:
-    """(page_id, node_id) of `cards` with a link inside, and an image inside or a price-like text."""
+def looks_like_card(nodes: DataFrame, cards: DataFrame, parsed: DataFrame) -> DataFrame:
+    """(page_id, node_id) of `cards` with a link inside, and an image inside or a price-like text. Texts are read of those
+    without an image only."""
     inside = nodes.select("page_id", F.explode("ancestors").alias("node_id"), matches("a[href]").alias("link"), matches(IMAGES).alias("image")).where("link OR image")
     found = inside.groupBy("page_id", "node_id").agg(F.bool_or("link").alias("link"), F.bool_or("image").alias("image"))
     priced = F.coalesce(contains_any(F.lower("text"), fixed.PRICE_TOKENS), F.lit(False))
-    return cards.join(found, ["page_id", "node_id"]).where(F.col("link") & (F.col("image") | priced)).select("page_id", "node_id")
+    linked = cards.select("page_id", "node_id", "piece_start", "piece_count").join(found, ["page_id", "node_id"]).where("link")
+    told = with_text(linked.where("NOT image"), parsed).where(priced)
+    return linked.where("image").select("page_id", "node_id").unionByName(told.select("page_id", "node_id"))
 
 
 def page_anchors(nodes: DataFrame) -> DataFrame:

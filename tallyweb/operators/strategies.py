@@ -1,7 +1,7 @@
 """Six ways to find product candidates on a page. Each gives (page_id, rung, pos, product fields) of valid candidates, the
 first `max_items` of a page by `pos`, before any merging.
 
-`nodes` are node_rows() of the pages, and `urls` (page_id, url) their addresses. Elements meet the cards they are in by
+`nodes` are node_rows() of the `parsed` pages. What JSON says takes `urls` (page_id, url), too. Elements meet the cards they are in by
 their list of ancestors, an equi-join, so that the work grows with elements times depth and not with cards times elements.
 """
 
@@ -15,6 +15,7 @@ from ..functions.text import clean_text, extract_price_text, first_full, infer_i
 from ..functions.urls import is_potential_product_href, to_absolute
 from ..schemas import CANDIDATES, PRODUCT_NAMES
 from .json_walk import walk_json
+from .nodes import text_of_element, with_text
 from .products import first_per_page, valid_products
 from .selectors import attr, first_nonempty_selector, looks_like_card, matches, matching_ranks
 
@@ -61,16 +62,18 @@ def card_values() -> dict[str, tuple[list[str], Column]]:
     }
 
 
-def card_fields(cards: DataFrame, nodes: DataFrame, urls: DataFrame) -> DataFrame:
-    """(page_id, node_id, product fields) of distinct cards (page_id, node_id, text)."""
+def card_fields(cards: DataFrame, nodes: DataFrame, parsed: DataFrame) -> DataFrame:
+    """(page_id, node_id, product fields) of distinct cards (page_id, node_id, piece_start, piece_count)."""
     looked_up = card_values()
 
-
     def hit(name: str, group: list[str], value: Column) -> Column:
         return F.transform(matching_ranks(group), lambda r: F.struct(F.lit(name).alias("field"), r.alias("rank"), value.alias("value")))
 
+    # texts are read of what a selector finds, on pages with cards
+    hits = nodes.where(F.size(F.concat(*[matching_ranks(group) for group, _ in looked_up.values()])) > 0)
+    hits = with_text(hits.join(cards.select("page_id").distinct(), "page_id", "left_semi"), parsed)
     found = [hit(name, *of) for name, of in looked_up.items()]
-    hits = nodes.select("page_id", F.col("node_id").alias("at"), "ancestors", F.concat(*found).alias("found")).where(F.size("found") > 0)
+    hits = hits.select("page_id", F.col("node_id").alias("at"), "ancestors", F.concat(*found).alias("found"))
     hits = hits.select("page_id", "at", "found", F.explode("ancestors").alias("node_id")).join(cards.select("page_id", "node_id"), ["page_id", "node_id"])
     hits = hits.select("page_id", "node_id", "at", F.inline("found"))
     each = hits.groupBy("page_id", "node_id", "field", "rank").agg(F.min_by("value", "at").alias("value"))
@@ -78,18 +81,18 @@ def card_fields(cards: DataFrame, nodes: DataFrame, urls: DataFrame) -> DataFram
     wide = by_rank.groupBy("page_id", "node_id").agg(
         *[F.min_by("value", F.when(F.col("field") == name, F.col("rank"))).alias(f"v_{name}") for name in looked_up]
     )
-    rows = cards.join(wide, ["page_id", "node_id"], "left").join(urls, "page_id")
+    rows = cards.join(wide, ["page_id", "node_id"], "left").join(parsed.select("page_id", "url", "pieces"), "page_id")
     v = lambda name: F.col(f"v_{name}")
-    rows = rows.withColumn("raw_price", F.coalesce(v("price"), extract_price_text(F.col("text"))))
-    parsed = parse_price(F.col("raw_price"))
+    rows = rows.withColumn("raw_price", F.coalesce(v("price"), extract_price_text(text_of_element())))
+    price = parse_price(F.col("raw_price"))
     return rows.select(
         "page_id",
         "node_id",
         F.coalesce(v("anchor_title"), v("image_title"), v("said_title")).alias("title"),
         to_absolute(F.col("url"), v("link")).alias("product_url"),
         to_absolute(F.col("url"), v("image")).alias("image_url"),
-        parsed["price"].alias("price"),
-        F.coalesce(v("currency"), parsed["currency"]).alias("currency"),
+        price["price"].alias("price"),
+        F.coalesce(v("currency"), price["currency"]).alias("currency"),
         "raw_price",
         parse_float(v("rating")).alias("rating"),
         parse_int(v("reviews")).alias("review_count"),
@@ -109,13 +112,14 @@ def _pos(*columns) -> Column:
     return F.array(*[(F.col(c) if isinstance(c, str) else c).cast("bigint") for c in columns]).alias("pos")
 
 
-def _of_cards(places: DataFrame, nodes: DataFrame, urls: DataFrame, rung: int, max_items: int) -> DataFrame:
+def _of_cards(places: DataFrame, nodes: DataFrame, parsed: DataFrame, rung: int, max_items: int) -> DataFrame:
     """Candidates of the cards at `places` (page_id, node_id, pos), which may repeat a card; its fields are read once."""
-    cards = places.select("page_id", "node_id").distinct().join(nodes.select("page_id", "node_id", "text"), ["page_id", "node_id"])
-    return _candidates(places.join(card_fields(cards, nodes, urls), ["page_id", "node_id"]), rung, max_items)
+    spans = nodes.select("page_id", "node_id", "piece_start", "piece_count")
+    cards = places.select("page_id", "node_id").distinct().join(spans, ["page_id", "node_id"])
+    return _candidates(places.join(card_fields(cards, nodes, parsed), ["page_id", "node_id"]), rung, max_items)
 
 
-def extract_dom(nodes: DataFrame, urls: DataFrame, max_items: int = fixed.MAX_ITEMS) -> DataFrame:
+def extract_dom(nodes: DataFrame, parsed: DataFrame, max_items: int = fixed.MAX_ITEMS) -> DataFrame:
     """Cards within result containers; on pages without containers, cards anywhere; failing these, what looks like one."""
     group = fixed.SELECTORS["product_cards"]
     ranked = nodes.where("displayed").select("page_id", "node_id", "ancestors", F.explode(matching_ranks(group)).alias("rank"))
@@ -132,27 +136,28 @@ def extract_dom(nodes: DataFrame, urls: DataFrame, max_items: int = fixed.MAX_IT
     found = contained.unionByName(loose)
     pages_found = found.select("page_id").distinct()
     rest = nodes.where(F.col("tag").isin(CARD_TAGS)).join(pages_found, "page_id", "left_anti")
-    guessed = looks_like_card(nodes, rest).select("page_id", "node_id", _pos(F.lit(0), F.lit(0), "node_id"))
+    guessed = looks_like_card(nodes, rest, parsed).select("page_id", "node_id", _pos(F.lit(0), F.lit(0), "node_id"))
 
     usable = nodes.where(~F.col("blacklisted")).select("page_id", "node_id")
     places = found.unionByName(guessed).join(usable, ["page_id", "node_id"])
-    return _of_cards(places, nodes, urls, DOM, max_items)
+    return _of_cards(places, nodes, parsed, DOM, max_items)
 
 
-def extract_heuristic(nodes: DataFrame, urls: DataFrame, max_items: int = fixed.MAX_ITEMS) -> DataFrame:
+def extract_heuristic(nodes: DataFrame, parsed: DataFrame, max_items: int = fixed.MAX_ITEMS) -> DataFrame:
     """What looks like a card, once for each section that holds it."""
     usable = nodes.where(F.col("displayed") & ~F.col("blacklisted"))
     scopes = usable.where(F.col("tag").isin(SCOPE_TAGS)).select("page_id", F.col("node_id").alias("scope"))
     cards = usable.where(F.col("tag").isin(CARD_TAGS))
-    cards = cards.join(looks_like_card(nodes, cards), ["page_id", "node_id"])
+    cards = cards.join(looks_like_card(nodes, cards, parsed), ["page_id", "node_id"])
     places = cards.select("page_id", "node_id", F.explode("ancestors").alias("scope")).join(scopes, ["page_id", "scope"])
-    return _of_cards(places.select("page_id", "node_id", _pos("scope", "node_id")), nodes, urls, HEURISTIC, max_items)
+    return _of_cards(places.select("page_id", "node_id", _pos("scope", "node_id")), nodes, parsed, HEURISTIC, max_items)
 
 
-def extract_linked_images(nodes: DataFrame, urls: DataFrame, max_items: int = fixed.MAX_ITEMS) -> DataFrame:
+def extract_linked_images(nodes: DataFrame, parsed: DataFrame, max_items: int = fixed.MAX_ITEMS) -> DataFrame:
     """Anchors with a product-like address and an image inside, or else inside their parent."""
-    anchors = nodes.where(F.col("displayed") & ~F.col("blacklisted") & matches("a[href]")).join(urls, "page_id")
+    anchors = nodes.where(F.col("displayed") & ~F.col("blacklisted") & matches("a[href]")).join(parsed.select("page_id", "url", "pieces"), "page_id")
     anchors = anchors.withColumn("href", to_absolute(F.col("url"), attr("href"))).where(is_potential_product_href(F.col("href")))
+    anchors = anchors.select("page_id", "node_id", "parent_id", "url", "href", clean_text(first_full(attr("title"), text_of_element())).alias("title"))
     source = first_full(*[attr(a) for a in ("src", "data-src", "data-original", "data-srcset")])
     images = nodes.where(matches(ANY_IMAGE)).select("page_id", F.col("node_id").alias("image"), source.alias("source"), F.explode("ancestors").alias("holder"))
     first = images.groupBy("page_id", "holder").agg(F.min_by(F.struct("source"), "image").alias("i"))
@@ -165,7 +170,7 @@ def extract_linked_images(nodes: DataFrame, urls: DataFrame, max_items: int = fi
         rows.select(
             "page_id",
             _pos("node_id"),
-            clean_text(first_full(attr("title"), F.col("text"))).alias("title"),
+            "title",
             F.col("href").alias("product_url"),
             to_absolute(F.col("url"), F.col("img.source")).alias("image_url"),
             *[F.lit(None).cast(kind).alias(name) for name, kind in blank.items() if name not in ("title", "product_url", "image_url")],
@@ -227,15 +232,16 @@ MICRODATA_LAST = {
 }
 
 
-def extract_microdata(nodes: DataFrame, urls: DataFrame, max_items: int = fixed.MAX_ITEMS) -> DataFrame:
+def extract_microdata(nodes: DataFrame, parsed: DataFrame, max_items: int = fixed.MAX_ITEMS) -> DataFrame:
     """Elements that are products by itemtype, with the properties beneath them, those of nested scopes too."""
     scopes = nodes.where(~F.col("blacklisted") & matches('[itemscope][itemtype*="Product" i]'))
     scopes = scopes.select("page_id", F.col("node_id").alias("scope"), attr("itemid").alias("itemid"))
     key = F.lower(attr("itemprop"))
     value = clean_text(first_full(attr("content"), attr("href"), attr("src"), F.col("text")))
-    props = nodes.where(attr("itemprop").isNotNull()).select("page_id", F.col("node_id").alias("at"), "ancestors", key.alias("key"), value.alias("value"), _shown().alias("shown"))
+    told = with_text(nodes.where(attr("itemprop").isNotNull()), parsed)
+    props = told.select("page_id", F.col("node_id").alias("at"), "ancestors", key.alias("key"), value.alias("value"), _shown().alias("shown"))
     # a brand that says almost nothing is read from the first name beneath it
-    names = nodes.where(matches('[itemprop="name"]')).select("page_id", F.col("node_id").alias("name_at"), _shown().alias("name"), F.explode("ancestors").alias("at"))
+    names = told.where(matches('[itemprop="name"]')).select("page_id", F.col("node_id").alias("name_at"), _shown().alias("name"), F.explode("ancestors").alias("at"))
     names = names.groupBy("page_id", "at").agg(F.min_by(F.struct("name"), "name_at").alias("nested"))
     props = props.join(names, ["page_id", "at"], "left")
     thin = (F.col("key") == "brand") & (F.coalesce(F.length("value"), F.lit(0)) <= 2) & F.col("nested").isNotNull()
@@ -248,8 +254,8 @@ def extract_microdata(nodes: DataFrame, urls: DataFrame, max_items: int = fixed.
         # the last price counts even if it is empty
         F.max_by(F.struct("value"), F.when(F.col("key") == "price", F.col("at"))).alias("last_price"),
     )
-    rows = scopes.join(folded, ["page_id", "scope"], "left").join(urls, "page_id").withColumn("raw_price", F.col("last_price.value"))
-    parsed = parse_price(F.col("raw_price"))
+    rows = scopes.join(folded, ["page_id", "scope"], "left").join(parsed.select("page_id", "url"), "page_id").withColumn("raw_price", F.col("last_price.value"))
+    price = parse_price(F.col("raw_price"))
     return _candidates(
         rows.select(
             "page_id",
@@ -257,8 +263,8 @@ def extract_microdata(nodes: DataFrame, urls: DataFrame, max_items: int = fixed.
             "title",
             to_absolute(F.col("url"), F.coalesce("itemid", "link")).alias("product_url"),
             to_absolute(F.col("url"), F.col("image")).alias("image_url"),
-            parsed["price"].alias("price"),
-            F.coalesce("currency", parsed["currency"]).alias("currency"),
+            price["price"].alias("price"),
+            F.coalesce("currency", price["currency"]).alias("currency"),
             "raw_price",
             parse_float(F.col("rating")).alias("rating"),
             parse_int(F.col("review_count")).alias("review_count"),

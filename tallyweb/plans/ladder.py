@@ -9,7 +9,7 @@ from ..functions import fixed
 from ..functions.text import page_says_no_results
 from ..functions.urls import platform
 from ..operators import strategies as s
-from ..operators.nodes import node_rows, parse_nodes
+from ..operators.nodes import node_rows, page_text, parse_nodes
 from ..operators.products import cap_per_page, merge_by_url, sanitize_products, save_counts
 from ..sources.staged import staged
 
@@ -25,9 +25,9 @@ def run_ladder(pages: DataFrame, max_items: int = fixed.MAX_ITEMS, parsed: DataF
     urls = pages.select("page_id", "url")
     nodes = staged(node_rows(parsed), "nodes")
     found = (
-        s.extract_dom(nodes, urls, max_items)
+        s.extract_dom(nodes, parsed, max_items)
         .unionByName(s.extract_jsonld(parsed, urls, max_items, strict))
-        .unionByName(s.extract_microdata(nodes, urls, max_items))
+        .unionByName(s.extract_microdata(nodes, parsed, max_items))
         .unionByName(s.extract_inline_json(parsed, urls, max_items, strict))
     )
     found = staged(found, "first_rungs")
@@ -35,7 +35,7 @@ def run_ladder(pages: DataFrame, max_items: int = fixed.MAX_ITEMS, parsed: DataF
     first = found.join(best, ["page_id", "rung"])
     # the last two look at every section, so only pages without anything so far get there
     nodes = staged(nodes.join(best, "page_id", "left_anti"), "late_nodes")
-    late = s.extract_heuristic(nodes, urls, max_items).unionByName(s.extract_linked_images(nodes, urls, max_items))
+    late = s.extract_heuristic(nodes, parsed, max_items).unionByName(s.extract_linked_images(nodes, parsed, max_items))
     best = late.groupBy("page_id").agg(F.min("rung").alias("rung"))
     return first.unionByName(late.join(best, ["page_id", "rung"]), allowMissingColumns=False)
 
@@ -55,7 +55,7 @@ def page_results(pages: DataFrame, products: DataFrame, parsed: DataFrame | None
     A page without products which says that there are none has nothing to save: null instead of 0.
     """
     parsed = parse_nodes(pages) if parsed is None else parsed
-    said = parsed.select("page_id", page_says_no_results(F.col("page_text")).alias("none"))
+    said = parsed.select("page_id", page_says_no_results(page_text()).alias("none"))
     counts = products.groupBy("page_id").agg(F.count("*").alias("n")).join(save_counts(products), "page_id")
     rows = pages.select("page_id", "url").join(said, "page_id", "left").join(counts, "page_id", "left")
     n = F.coalesce("n", F.lit(0))

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tallyweb.operators import strategies as s
 from tallyweb.operators.json_walk import blobs
-from tallyweb.operators.nodes import node_rows, parse_nodes
+from tallyweb.operators.nodes import node_rows, parse_nodes, with_text
 from tallyweb.operators.products import cap_per_page, merge_by_url
 from tallyweb.operators.selectors import matches
 from tallyweb.plans import ladder
@@ -16,7 +16,8 @@ def pages_of(spark, *htmls):
 
 
 def nodes_of(spark, html):
-    return {r["node_id"]: r for r in node_rows(parse_nodes(pages_of(spark, html))).collect()}
+    parsed = parse_nodes(pages_of(spark, html))
+    return {r["node_id"]: r for r in with_text(node_rows(parsed), parsed).orderBy("node_id").collect()}
 
 
 def card(i, extra=""):
@@ -57,6 +58,21 @@ def test_selectors(spark, selector, tag, attrs, fits):
     assert df.select(matches(selector)).first()[0] is fits
 
 
+def test_no_text_is_kept_once_for_each_element_around_it(spark, monkeypatch):
+    """What is staged grows with the page, not with its depth."""
+    kept, made = {}, ladder.staged
+    monkeypatch.setattr(ladder, "staged", lambda df, name: kept.setdefault(name, made(df, name)))
+    deep = "<div>" * 100 + card(1, "<p>" + "words " * 1000 + "</p>") + "</div>" * 100
+    assert ladder.run_ladder(pages_of(spark, deep)).count() == 1
+    assert "text" not in kept["nodes"].columns
+    assert kept["parsed_pages"].select(F.aggregate("pieces", F.lit(0), lambda n, p: n + F.length(p))).first()[0] < 8000
+
+
+def test_texts_of_nested_elements(spark):
+    nodes = nodes_of(spark, "<div>a<b>b&amp;<i></i></b><script>x</script><p>c<br>d</p>\U0001f600</div><div></div>")
+    assert [n["text"] for n in nodes.values()] == ["ab&\nc\nd\n\U0001f600", "b&", "", "", "c\nd", "", ""]
+
+
 def test_hidden_and_nested_cards(spark):
     html = f'<div class="products"><ul class="products">{card(1)}<li class="product" style="display: none"><a href="/product/2">No</a></li></ul></div>'
     found = ladder.run_ladder(pages_of(spark, html)).collect()
@@ -84,7 +100,8 @@ def test_pages_that_say_so_have_nothing_to_save(spark):
 def test_microdata_first_and_last(spark):
     html = """<span itemscope itemtype="http://x.org/Product"><b itemprop="name">A1</b><b itemprop="name">B</b><a itemprop="url" href="/product/1">u</a>
       <b itemprop="price">3</b><b itemprop="price"></b><b itemprop="currency">EUR</b><b itemprop="currency">USD</b><b itemprop="brand">x<i itemprop="name">Maker</i></b></span>"""
-    r = s.extract_microdata(node_rows(parse_nodes(pages_of(spark, html))), pages_of(spark, html).select("page_id", "url")).first()
+    parsed = parse_nodes(pages_of(spark, html))
+    r = s.extract_microdata(node_rows(parsed), parsed).first()
     assert (r["title"], r["raw_price"], r["currency"]) == ("A1", None, "USD")
 
 
