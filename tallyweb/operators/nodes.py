@@ -2,7 +2,7 @@
 
 One small vectorised helper reads HTML with the standard library's tokeniser and keeps a tree; all that is decided about
 elements afterwards is columns. Text is kept once a page, as an array of pieces, and elements point into it: theirs are put
-together by with_text() where they are looked at, so no table or shuffle holds a text once for each element around it.
+together by with_text() where they are looked at, so element rows don't hold a text once for each element around it.
 """
 
 from __future__ import annotations
