@@ -66,20 +66,27 @@ def card_fields(cards: DataFrame, nodes: DataFrame, parsed: DataFrame) -> DataFr
     """(page_id, node_id, product fields) of distinct cards (page_id, node_id, piece_start, piece_count)."""
     looked_up = card_values()
 
-    def hit(name: str, group: list[str], value: Column) -> Column:
-        return F.transform(matching_ranks(group), lambda r: F.struct(F.lit(name).alias("field"), r.alias("rank"), value.alias("value")))
-
-    # texts are read of what a selector finds, on pages with cards
-    hits = nodes.where(F.size(F.concat(*[matching_ranks(group) for group, _ in looked_up.values()])) > 0)
-    hits = with_text(hits.join(cards.select("page_id").distinct(), "page_id", "left_semi"), parsed)
-    found = [hit(name, *of) for name, of in looked_up.items()]
-    hits = hits.select("page_id", F.col("node_id").alias("at"), "ancestors", F.concat(*found).alias("found"))
-    hits = hits.select("page_id", "at", "found", F.explode("ancestors").alias("node_id")).join(cards.select("page_id", "node_id"), ["page_id", "node_id"])
-    hits = hits.select("page_id", "node_id", "at", F.inline("found"))
-    each = hits.groupBy("page_id", "node_id", "field", "rank").agg(F.min_by("value", "at").alias("value"))
-    by_rank = each.where("value IS NOT NULL AND value <> ''")
+    def marks(field: int, group: list[str]) -> Column:
+        return F.transform(matching_ranks(group), lambda rank: F.struct(F.lit(field).alias("field"), rank.alias("rank")))
+
+    # the first match of each selector in each card: places and ranks only are dealt to the elements around
+    marked = nodes.join(cards.select("page_id").distinct(), "page_id", "left_semi")
+    marked = marked.select("page_id", F.col("node_id").alias("at"), "ancestors", F.concat(*[marks(i, group) for i, (group, _) in enumerate(looked_up.values())]).alias("marks"))
+    dealt = marked.where(F.size("marks") > 0).select("page_id", "at", "marks", F.explode("ancestors").alias("node_id"))
+    inside = dealt.join(cards.select("page_id", "node_id"), ["page_id", "node_id"]).select("page_id", "node_id", "at", F.inline("marks"))
+    first = inside.groupBy("page_id", "node_id", "field", "rank").agg(F.min("at").alias("at"))
+
+    # texts and values are read of these alone, once an element
+    wanted = first.groupBy("page_id", "at").agg(F.collect_list(F.struct("node_id", "field", "rank")).alias("wanted"))
+    hits = nodes.select("page_id", F.col("node_id").alias("at"), "attrs", "piece_start", "piece_count").join(wanted, ["page_id", "at"])
+
+    def value(of: Column) -> Column:
+        return F.coalesce(*[F.when(of["field"] == i, v) for i, (_, v) in enumerate(looked_up.values())])
+
+    told = F.transform("wanted", lambda of: F.struct(of["node_id"].alias("node_id"), of["field"].alias("field"), of["rank"].alias("rank"), value(of).alias("value")))
+    by_rank = with_text(hits, parsed).select("page_id", F.inline(told)).where("value IS NOT NULL AND value <> ''")
     wide = by_rank.groupBy("page_id", "node_id").agg(
-        *[F.min_by("value", F.when(F.col("field") == name, F.col("rank"))).alias(f"v_{name}") for name in looked_up]
+        *[F.min_by("value", F.when(F.col("field") == i, F.col("rank"))).alias(f"v_{name}") for i, name in enumerate(looked_up)]
     )
     rows = cards.join(wide, ["page_id", "node_id"], "left").join(parsed.select("page_id", "url", "pieces"), "page_id")
     v = lambda name: F.col(f"v_{name}")
