@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from .line_dedup import lower_ascii
 from .staging import staged
 
-SALTS = 32  # ways that rows of one template are dealt over tasks
+SALTS = 32  # ways that rows of one template, or branches of one node, are dealt over tasks
+NODE_PATHS = 10_000  # of a node for each of these ways
 
 
 def url_host(url: Column) -> Column:
@@ -92,11 +93,11 @@ def judge_urls(
     n, k = F.count("__bad"), F.coalesce(F.sum("__bad"), F.lit(0))
     paths = staged(seen.groupBy("host", "__path").agg(n.alias("__n"), k.alias("__k")), "url_paths")
     smoothed = lambda k, n, above: (k + prior_weight * above) / (n + prior_weight)
-    hosts = paths.groupBy("host").agg(F.sum("__n").alias("__hn"), F.sum("__k").alias("__hk"))
+    hosts = paths.groupBy("host").agg(F.sum("__n").alias("__hn"), F.sum("__k").alias("__hk"), F.count("*").alias("__size"))
     everywhere = hosts.agg(F.coalesce(F.avg(smoothed(F.col("__hk"), F.col("__hn"), F.lit(prior_block))), F.lit(prior_block))).first()[0]
-    hosts = hosts.select("host", smoothed(F.col("__hk"), F.col("__hn"), F.lit(everywhere)).alias("__share"))
+    hosts = hosts.select("host", "__size", smoothed(F.col("__hk"), F.col("__hn"), F.lit(everywhere)).alias("__share"))
     segments = F.filter(F.split("__path", "/", -1), lambda x: x != "").alias("__segments")
-    tree = paths.join(hosts, "host").select("host", "__path", segments, "__n", "__k", F.lit("").alias("__node"), "__share")
+    tree = paths.join(hosts, "host").select("host", "__path", segments, "__n", "__k", F.lit("").alias("__node"), "__share", "__size")
     level, done = 0, []
     while True:
         grown = staged(_grow(tree, level, merge_z, smoothed), f"url_tree_{level}")
@@ -120,12 +121,16 @@ def _general_path(path: Column) -> Column:
 def _grow(tree: DataFrame, level: int, z: float, smoothed: Callable[[Column, Column, Column], Column]) -> DataFrame:
     """Each path goes on to a branch of its node, or to `*` where the branch is no different from its siblings together
     or has no labels. `__done` are the paths that end there, that are alone, or
-    that stand where nothing is labelled: no further level changes their share."""
+    that stand where nothing is labelled: no further level changes their share. `__size` is the number of a node's paths;
+    by it a node's figures are dealt to its branches, so that one with very many of them doesn't fall to one task."""
     segment = F.coalesce(F.try_element_at("__segments", F.lit(level + 1)), F.lit(""))
     tree = tree.withColumn("__branch", segment)
     above = ["host", "__node"]
-    branches = tree.groupBy(*above, "__branch").agg(F.sum("__n").alias("__bn"), F.sum("__k").alias("__bk"), F.count("*").alias("__paths"), F.max("__share").alias("__above"))
-    node = branches.groupBy(*above).agg(F.sum("__bn").alias("__nn"), F.sum("__bk").alias("__nk"))
+    branches = tree.groupBy(*above, "__branch").agg(F.sum("__n").alias("__bn"), F.sum("__k").alias("__bk"), F.count("*").alias("__paths"), F.max("__share").alias("__above"), F.max("__size").alias("__size"))
+    node = branches.groupBy(*above).agg(F.sum("__bn").alias("__nn"), F.sum("__bk").alias("__nk"), F.max("__size").alias("__size"))
+    ways = F.least(F.lit(SALTS), 1 + F.floor(F.col("__size") / NODE_PATHS)).cast("int")
+    branches = branches.withColumn("__salt", F.pmod(F.xxhash64("__branch"), ways).cast("int"))
+    dealt = F.explode(F.sequence(F.lit(0), ways - 1)).alias("__salt")
     rest_n, rest_k = F.col("__nn") - F.col("__bn"), F.col("__nk") - F.col("__bk")
     p = (F.col("__nk") + 0.5) / (F.col("__nn") + 1)
     gap = F.abs(F.try_divide(F.col("__bk"), F.col("__bn")) - F.try_divide(rest_k, rest_n))
@@ -135,16 +140,17 @@ def _grow(tree: DataFrame, level: int, z: float, smoothed: Callable[[Column, Col
         .when((F.col("__bn") > 0) & apart, F.col("__branch"))
         .otherwise("*")
     )
-    named = branches.join(node, above).select(*branches.columns, "__nn", name.alias("__name"))
+    named = branches.join(node.select(*above, "__nn", "__nk", dealt), [*above, "__salt"]).select(*branches.columns, "__nn", name.alias("__name"))
     kept = F.when(F.col("__cn") == F.col("__nn"), F.col("__above")).otherwise(smoothed(F.col("__ck"), F.col("__cn"), F.col("__above")))
     pooled = named.groupBy(*above, "__name").agg(
-        F.sum("__bn").alias("__cn"), F.sum("__bk").alias("__ck"), F.sum("__paths").alias("__cp"), F.max("__above").alias("__above"), F.max("__nn").alias("__nn")
+        F.sum("__bn").alias("__cn"), F.sum("__bk").alias("__ck"), F.sum("__paths").alias("__cp"), F.max("__above").alias("__above"), F.max("__nn").alias("__nn"), F.max("__size").alias("__size")
     )
-    pooled = pooled.select(*above, "__name", "__cn", "__cp", kept.alias("__new"))
-    joined = tree.join(named.select(*above, "__branch", "__name").join(pooled, [*above, "__name"]), [*above, "__branch"])
+    pooled = pooled.select(*above, "__name", "__cn", "__cp", kept.alias("__new"), dealt)
+    named = named.select(*above, "__branch", "__name", "__salt").join(pooled, [*above, "__name", "__salt"])
+    joined = tree.join(named, [*above, "__branch"])
     done = (F.col("__branch") == "") | (F.col("__cp") == 1) | (F.col("__cn") == 0)
     rest = F.slice("__segments", F.lit(level + 2), F.greatest(F.size("__segments") - (level + 1), F.lit(0)))
     rest = F.when(F.col("__cn") > 0, rest).otherwise(F.transform(rest, lambda x: F.lit("*")))
     names = F.when(F.col("__branch") == "", F.array().cast("array<string>")).otherwise(F.concat(F.array("__name"), F.when(done, rest).otherwise(F.array().cast("array<string>"))))
     node_name = F.concat("__node", F.array_join(F.transform(names, lambda x: F.concat(F.lit("/"), x)), ""))
-    return joined.select("host", "__path", "__segments", "__n", "__k", node_name.alias("__node"), F.col("__new").alias("__share"), done.alias("__done"))
+    return joined.select("host", "__path", "__segments", "__n", "__k", node_name.alias("__node"), F.col("__new").alias("__share"), F.col("__cp").alias("__size"), done.alias("__done"))
