@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import chat_digest
+from .collocations import collocations
 from .decontaminate import contamination_digest
 from .line_dedup import drop_repeated_lines
 from .ngram_join import near_duplicates
@@ -169,6 +170,39 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_digest(docs, train_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, piece_text FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece_text
+    FROM documents)
+), listed AS (SELECT lang, regexp_extract_all(piece_text, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, k, w[p : p + k - 1] AS g
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM listed, range(1, 6) t(k))
+), totals AS (SELECT lang, count(*) AS n FROM grams WHERE k = 1 GROUP BY lang
+), f AS (SELECT lang, k, g, count(*) AS a FROM grams GROUP BY lang, k, g HAVING count(*) >= 100
+), cuts AS (
+  SELECT c.lang, c.g, c.a, cut, x.a AS l, y.a AS r, n, (1000 * c.a::HUGEINT * n) // (x.a::HUGEINT * y.a) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM f WHERE k > 1) c JOIN f x ON x.lang = c.lang AND x.g = c.g[:cut]
+  JOIN f y ON y.lang = c.lang AND y.g = c.g[cut + 1:] JOIN totals t ON t.lang = c.lang
+), lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1
+), held AS (
+  SELECT lang, inner_g AS g, max(a) AS longer
+  FROM (SELECT lang, a, unnest(list_concat([g[p : p + m - 1] for p in range(1, k - m + 2)], [])) AS inner_g FROM (SELECT *, unnest(range(2, k)) AS m FROM f WHERE k > 2))
+  GROUP BY lang, inner_g
+), kept AS (
+  SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM lowest LEFT JOIN held USING (lang, g) WHERE longer IS NULL OR 100 * longer < 100 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_url_filters": op2_url_filters,
@@ -180,10 +214,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_top_k_search": op9_top_k_search,
     "op10_quality_rules": op10_quality_rules,
+    "op11_collocations": op11_collocations,
 }
 SQL = {
     "op3_decontamination": OP3_SQL,
     "op5_line_dedup": OP5_SQL,
     "op7_chat_format": OP7_SQL,
     "op9_top_k_search": OP9_SQL,
+    "op11_collocations": OP11_SQL,
 }
