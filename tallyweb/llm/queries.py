@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from .chat_format import chat_digest
 from .collocations import collocations
 from .decontaminate import contamination_digest
+from .language_id import languages_digest
 from .line_dedup import drop_repeated_lines
 from .ngram_join import near_duplicates
 from .packing import pack_digest
+from .periodic_runs import runs_digest
 from .pii_surrogates import pii_digest
 from .quality_rules import quality_digest, train_quality
 from .secret_scan import identifier_samples, random_samples, secrets_digest, train
@@ -203,6 +205,29 @@ FROM kept QUALIFY rank <= 2000
 """
 
 
+def with_periodic_ends(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of documents, those of one in ten hashes repeating a part of their words up to the end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.select("doc_id", "text", (F.col("text").isNotNull() & (h % 10 == 0)).alias("bent"), F.floor(h / 10).alias("g"))
+    words = F.when(F.col("bent"), F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    sized = rows.withColumn("words", words).withColumn("n", F.size("words"))
+    a, n, g = F.col("a"), F.col("n"), F.col("g")
+    placed = sized.withColumn("a", F.when(n > 0, g % n).cast("int"))
+    placed = placed.withColumn("p", F.when(n > 0, 1 + F.floor((n - a) / (3 + g % 8))).cast("int"))
+    often = F.array_repeat(F.slice("words", a + 1, F.col("p")), F.ceil((n - a) / F.col("p")).cast("int"))
+    ends = F.slice(F.flatten(often), F.lit(1), n - a)
+    bent = F.array_join(F.concat(F.slice("words", F.lit(1), a), ends), " ")
+    return placed.select("doc_id", F.when(F.col("bent") & (n > 0), bent).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs_digest(with_periodic_ends(table(spark, sf_dir, "documents")))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages_digest(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_url_filters": op2_url_filters,
@@ -215,6 +240,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_top_k_search": op9_top_k_search,
     "op10_quality_rules": op10_quality_rules,
     "op11_collocations": op11_collocations,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_language_id": op13_language_id,
 }
 SQL = {
     "op3_decontamination": OP3_SQL,
