@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ORDERS = 4
+ORDERS = 3
 BUCKETS = 1 << 15
 MOST_BYTES = 64 << 20  # of the matrix of log probabilities
 GATHER_CHARS = 1 << 20  # texts are worked on together up to about this size; a longer text is worked on alone
