@@ -1,12 +1,12 @@
 """Phrase collocations by streams of counted phrases in prefix and suffix order.
 
 1. *Windows.* Each word begins a window: itself and up to `max_words` - 1 words after it in its piece. A first pass counts
-   words and pairs of words in a table of `SLOTS` hashed slots; windows end before a pair (or word) whose slot stays under
-   `min_count`, as no phrase that holds it is frequent. The table has a fixed size and only ever lets too much through, so
-   results don't depend on it.
+   words (and pairs and triples, if asked to) in a table of `SLOTS` hashed slots; windows end before one whose slot stays
+   under `min_count`, as no phrase that holds it is frequent. The table has a fixed size and only ever lets too much
+   through, so results don't depend on it. Tasks sum up equal windows as far as `HELD_ROWS` of them go.
 2. *Prefix order.* Windows are dealt by ranges of themselves and sorted, so that a phrase stands right before its
-   extensions; one pass with a stack of the open phrases gives the counts of all phrases of all lengths. A phrase that
-   reaches over the edge of a range is summed up from its parts. No table of phrases is kept anywhere.
+   extensions; one pass gives the counts of all phrases of all lengths, as sums of neighbouring rows. What reaches over
+   the edge of a batch of rows is summed up from its parts. No table of phrases is kept anywhere.
 3. *Lockstep joins.* Frequent phrases are cut in two; the stream of cuts by their first parts (prefix order), and then by
    their rests (suffix order), is merged with the stream of phrases by sort-merge joins. Counts of the extensions by one
    word are the largest of the longer phrases by their first and last words.
@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +33,8 @@ from .words import mix, span_hashes
 
 SLOTS = 1 << 24  # of the table of word and pair counts: 2 MB as bits
 BLOCKS = 256  # that the table is summed up in
-GATHER_BYTES = 4 << 20  # texts are worked on together up to about this size; a longer text is worked on alone
+HELD_ROWS = 1 << 19  # windows that a task holds to sum up equal ones
+GATHER_BYTES = 2 << 20  # texts are worked on together up to about this size; a longer text is worked on alone
 SALTS = 256  # groups that each language's first phrases are chosen in before the last choice
 
 _KIND = np.zeros(256, dtype=np.uint8)  # 0: of a word
@@ -51,9 +53,8 @@ class Words:
     at: np.ndarray  # n + 1 places in `joined`
     lang: np.ndarray  # index of each word's language
     langs: list[str]
-    linked: np.ndarray  # whether the next word is in the same piece
-    one: np.ndarray  # hashes of (language, word)
-    two: np.ndarray  # hashes of (language, word, next word); for linked ones only
+    linked: list[np.ndarray]  # words; those with the next one in the same piece; those with the next two
+    hashes: list[np.ndarray]  # of (language, word), of pairs and of triples, as far as wanted
 
     def __len__(self) -> int:
         return len(self.lang)
@@ -79,7 +80,7 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes],
         yield texts, langs
 
 
-def words_of(texts: list[bytes], langs: list[str]) -> Words:
+def words_of(texts: list[bytes], langs: list[str], hashed: int = 1) -> Words:
     data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
     kind = _KIND[data]
     inside = np.concatenate([[False], kind == 0])
@@ -90,7 +91,8 @@ def words_of(texts: list[bytes], langs: list[str]) -> Words:
     number = {name: i for i, name in enumerate(names)}
     lang = np.array([number[x] for x in langs])[np.searchsorted(text_at, starts, side="right") - 1]
     pieces = np.searchsorted(np.flatnonzero(kind == 2), starts)
-    linked = np.append(pieces[1:] == pieces[:-1], False)[: len(starts)]
+    near = pieces[1:] == pieces[:-1]
+    linked = [np.arange(len(starts)), np.flatnonzero(near), np.flatnonzero(near[1:] & near[:-1])]
     at = np.concatenate([[0], np.cumsum(ends - starts + 1)])
     joined = np.zeros(at[-1], dtype=np.uint8)
     own = np.ones(at[-1], dtype=bool)
@@ -98,24 +100,27 @@ def words_of(texts: list[bytes], langs: list[str]) -> Words:
     joined[own] = data[inside[1:]]
     of_lang = np.array([zlib.crc32(x.encode()) for x in names], dtype=np.uint64)
     hashes = span_hashes(data, starts, ends)
-    one = mix(hashes ^ mix(of_lang)[lang]) if len(starts) else hashes
-    two = mix(one[:-1] * _STEP + hashes[1:])[linked[:-1]] if len(starts) else hashes
-    return Words(joined, at, lang, names, linked, one, two)
+    grams = [mix(hashes ^ mix(of_lang)[lang])]
+    for k in range(1, hashed):  # a gram's hash is that of its first words, and the next one's
+        before = np.searchsorted(linked[k - 1], linked[k])
+        grams.append(mix(grams[-1][before] * _STEP + hashes[linked[k] + k]))
+    return Words(joined, at, lang, names, linked, grams)
 
 
 def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
 
 
-def slot_counts(docs: DataFrame, min_count: int) -> DataFrame:
-    """(block, counts) of the table of words and pairs: a row for each block and task; counts end at `min_count`."""
+def slot_counts(docs: DataFrame, min_count: int, pruned: int = 1) -> DataFrame:
+    """(block, counts) of the table of phrases of up to `pruned` words: a row for each block and task; counts end at
+    `min_count`."""
     kind = np.min_scalar_type(2 * min_count)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, any_text = np.zeros(SLOTS, dtype=kind), False
         for texts, langs in _gathered(batches):
-            w = words_of(texts, langs)
-            slots, n = np.unique(np.concatenate([_slot(w.one), _slot(w.two)]), return_counts=True)
+            w = words_of(texts, langs, pruned)
+            slots, n = np.unique(np.concatenate([_slot(h) for h in w.hashes]), return_counts=True)
             table[slots] += np.minimum(n, min_count).astype(kind)
             table[slots] = np.minimum(table[slots], min_count)
             any_text = True
@@ -127,7 +132,7 @@ def slot_counts(docs: DataFrame, min_count: int) -> DataFrame:
     return docs.mapInArrow(count, "block int, counts binary")
 
 
-def frequent_slots(docs: DataFrame, min_count: int) -> np.ndarray:
+def frequent_slots(docs: DataFrame, min_count: int, pruned: int = 1) -> np.ndarray:
     """Bits of the slots that reach `min_count`: SLOTS / 8 bytes, whatever the corpus."""
     kind = np.min_scalar_type(2 * min_count)
 
@@ -148,7 +153,7 @@ def frequent_slots(docs: DataFrame, min_count: int) -> np.ndarray:
         if block is not None:
             yield row()
 
-    summed = slot_counts(docs, min_count).repartition("block").sortWithinPartitions("block").mapInArrow(add_up, "block int, bits binary")
+    summed = slot_counts(docs, min_count, pruned).repartition("block").sortWithinPartitions("block").mapInArrow(add_up, "block int, bits binary")
     bits = np.zeros((BLOCKS, SLOTS // BLOCKS // 8), dtype=np.uint8)
     for r in summed.collect():
         bits[r["block"]] = np.frombuffer(r["bits"], dtype=np.uint8)
@@ -163,12 +168,14 @@ def _windows_of(w: Words, bits: np.ndarray, max_words: int) -> tuple[np.ndarray,
         slot = _slot(hashes)
         return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 != 0
 
-    alive = passes(w.one)
-    goes_on = np.zeros(n + max_words, dtype=bool)
-    goes_on[np.flatnonzero(w.linked)[passes(w.two)]] = True
+    frequent = []  # whether the phrase of 1, 2, 3 words from each word on may be
+    for k, at in enumerate(w.linked):
+        frequent.append(np.zeros(n + max_words, dtype=bool))
+        frequent[k][at[passes(w.hashes[k])] if k < len(w.hashes) else at] = True
+    alive = frequent[0][:n]
     length = alive.astype(np.int64)
     for k in range(1, max_words):
-        alive = alive & goes_on[k - 1 : k - 1 + n]
+        alive = alive & frequent[0][k : k + n] & frequent[1][k - 1 : k - 1 + n] & (frequent[2][k - 2 : k - 2 + n] if k > 1 else True)
         length += alive
     first = np.flatnonzero(length)
     length = length[first]
@@ -183,23 +190,34 @@ def _windows_of(w: Words, bits: np.ndarray, max_words: int) -> tuple[np.ndarray,
     return first[pick], (first + length)[pick], times, np.bincount(w.lang, minlength=len(w.langs))
 
 
-def counted_windows(docs: DataFrame, bits: np.ndarray, max_words: int) -> DataFrame:
+def counted_windows(docs: DataFrame, bits: np.ndarray, max_words: int, pruned: int = 1) -> DataFrame:
     """(lang, phrase, n) of the windows, summed up for some texts at a time. The empty phrase counts all words."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
+    def counted(texts: list[bytes], langs: list[str]) -> pa.Table:
+        w = words_of(texts, langs, pruned)
+        first, after, times, totals = _windows_of(w, shared.value, max_words)
+        begin, size = w.at[first], w.at[after] - 1 - w.at[first]
+        place = np.concatenate([[0], np.cumsum(size)])
+        raw = w.joined[np.repeat(begin - place[:-1], size) + np.arange(place[-1])]
+        phrases = pa.Array.from_buffers(pa.large_string(), len(first), [None, pa.py_buffer(place.astype(np.int64)), pa.py_buffer(raw)]).cast(pa.string())
+        names = pa.array(w.langs, pa.string())
+        own = pa.table({"lang": names.take(pa.array(w.lang[first])), "phrase": phrases, "n": pa.array(times, pa.int64())})
+        return pa.concat_tables([own, pa.table({"lang": names, "phrase": pa.array([""] * len(names), pa.string()), "n": pa.array(totals, pa.int64())})])
+
+    def summed(tables: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(tables).group_by(["lang", "phrase"]).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"}).select(["lang", "phrase", "n"])
+
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for texts, langs in _gathered(batches):
-            w = words_of(texts, langs)
-            if not len(w):
-                continue
-            first, after, times, totals = _windows_of(w, shared.value, max_words)
-            begin, size = w.at[first], w.at[after] - 1 - w.at[first]
-            place = np.concatenate([[0], np.cumsum(size)])
-            raw = w.joined[np.repeat(begin - place[:-1], size) + np.arange(place[-1])]
-            phrases = pa.Array.from_buffers(pa.large_string(), len(first), [None, pa.py_buffer(place.astype(np.int64)), pa.py_buffer(raw)]).cast(pa.string())
-            names = pa.array(w.langs, pa.string())
-            yield pa.RecordBatch.from_arrays([names.take(pa.array(w.lang[first])), phrases, pa.array(times, pa.int64())], ["lang", "phrase", "n"])
-            yield pa.RecordBatch.from_arrays([names, pa.array([""] * len(names), pa.string()), pa.array(totals, pa.int64())], ["lang", "phrase", "n"])
+            held.append(counted(texts, langs))
+            if sum(len(t) for t in held) > HELD_ROWS:
+                held = [summed(held)]
+                if len(held[0]) > HELD_ROWS // 2:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from summed(held).to_batches()
 
     return docs.mapInArrow(windows, "lang string, phrase string, n long")
 
@@ -207,53 +225,34 @@ def counted_windows(docs: DataFrame, bits: np.ndarray, max_words: int) -> DataFr
 def phrase_counts(windows: DataFrame, min_count: int) -> DataFrame:
     """(lang, phrase, n_words, a) of the phrases that begin windows at least `min_count` times, and of the empty ones."""
 
-    def rows_of(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = {"lang": pa.string(), "phrase": pa.string(), "n_words": pa.int32(), "a": pa.int64()}
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)], list(kinds))
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        lang, words_open, counts, total = None, [], [], 0
-        edge = -1  # so many of the open words are of the range's first window, and may have begun in the range before
-
-        def close(keep: int, at_end: bool = False) -> None:
-            for k in range(len(words_open), keep, -1):
-                n = counts.pop()
-                if counts:
-                    counts[-1] += n
-                if n >= min_count or k <= edge or at_end:
-                    out.append((lang, "\0".join(words_open[:k]), k, n))
-                words_open.pop()
-
         for batch in batches:
-            for its, phrase, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if its != lang:
-                    close(0)
-                    if total:
-                        out.append((lang, "", 0, total))
-                    lang, total = its, 0
-                if not phrase:
-                    total += n
-                    edge = max(edge, 0)
-                    continue
-                words, same = phrase.split("\0"), 0
-                for old, new in zip(words_open, words):  # noqa: B905
-                    if old != new:
-                        break
-                    same += 1
-                close(same)
-                edge = len(words) if edge < 0 else min(edge, same)
-                words_open += words[same:]
-                counts += [0] * (len(words) - same)
-                counts[-1] += n
-            if out:
-                yield rows_of(out)
-                out.clear()
-        close(0, at_end=True)
-        if total:
-            out.append((lang, "", 0, total))
-        if out:
-            yield rows_of(out)
+            if not batch.num_rows:
+                continue
+            lang, phrase, n = batch.columns
+            words = pc.split_pattern(phrase, "\0")
+            begin = words.offsets.to_numpy()
+            flat = words.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            begin = begin - begin[0]
+            size = np.where(pc.binary_length(phrase).to_numpy(zero_copy_only=False) > 0, np.diff(begin), 0)
+            times = n.to_numpy()
+            changed = np.append(True, np.diff(lang.dictionary_encode().indices.to_numpy(zero_copy_only=False)) != 0)
+            picked = [(np.flatnonzero(size == 0), 0, times[size == 0])]
+            for k in range(1, int(size.max()) + 1):
+                own = np.where(size >= k, flat[np.minimum(begin[:-1] + k - 1, len(flat) - 1)], -1)
+                changed = changed | np.append(True, own[1:] != own[:-1])
+                first = np.flatnonzero(changed)
+                total = np.add.reduceat(times, first)
+                fits = size[first] >= k
+                whole = np.ones(len(first), dtype=bool)
+                whole[[0, -1]] = False  # a phrase may go on in the batches around
+                kept = fits & ((total >= min_count) | ~whole)
+                picked.append((first[kept], k, total[kept]))
+            rows = np.concatenate([r for r, _, _ in picked])
+            order = np.concatenate([np.full(len(r), k) for r, k, _ in picked])
+            sums = np.concatenate([t for _, _, t in picked])
+            texts = ["\0".join(x.split("\0")[:k]) if k else "" for x, k in zip(phrase.take(pa.array(rows)).to_pylist(), order.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([lang.take(pa.array(rows)), pa.array(texts, pa.string()), pa.array(order, pa.int32()), pa.array(sums, pa.int64())], ["lang", "phrase", "n_words", "a"])
 
     sorted_windows = windows.repartitionByRange("lang", "phrase").sortWithinPartitions("lang", "phrase")
     parts = sorted_windows.mapInArrow(count, "lang string, phrase string, n_words int, a long")
@@ -288,16 +287,17 @@ def scored(phrases: DataFrame, drop_percent: int = 100) -> DataFrame:
     return kept.select("lang", shown.alias("phrase"), "cut.a", "cut.l", "cut.r", "cut.n", "cut.score")
 
 
-def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", max_words: int = 5, min_count: int = 100, top: int = 2000, drop_percent: int = 100) -> DataFrame:
+def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", max_words: int = 5, min_count: int = 100, top: int = 2000, drop_percent: int = 100, pruned: int = 3) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first `top` phrases of 2 to `max_words` words.
 
     a: times of the phrase, min_count at least. Cut in two, l and r are those of the parts, n the language's words, and
     score floor(1000 * a * n / (l * r)), at the cut with the least (the shortest first part of equals). A phrase inside a
     longer one of up to max_words words, at least drop_percent % as frequent, goes. The order is by score and a, both
-    descending, then by phrase in byte order.
+    descending, then by phrase in byte order. `pruned`, 1 to 3: phrases of up to so many words are counted beforehand, which
+    saves work where the corpus is small beside SLOTS * min_count, and doesn't change results.
     """
     docs = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    windows = staged(counted_windows(docs, frequent_slots(docs, min_count), max_words), "windows")
+    windows = staged(counted_windows(docs, frequent_slots(docs, min_count, pruned), max_words, pruned), "windows")
     rows = scored(staged(phrase_counts(windows, min_count), "phrases"), drop_percent)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
