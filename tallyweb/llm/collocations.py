@@ -107,20 +107,20 @@ def words_of(texts: list[bytes], langs: list[str], hashed: int = 1) -> Words:
     return Words(joined, at, lang, names, linked, grams)
 
 
-def _slot(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+def _slot(hashes: np.ndarray, slots: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - slots.bit_length() + 1)).astype(np.int64)
 
 
-def slot_counts(docs: DataFrame, min_count: int, pruned: int = 1) -> DataFrame:
+def slot_counts(docs: DataFrame, min_count: int, pruned: int = 1, table_size: int = SLOTS) -> DataFrame:
     """(block, counts) of the table of phrases of up to `pruned` words: a row for each block and task; counts end at
     `min_count`."""
     kind = np.min_scalar_type(2 * min_count)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, any_text = np.zeros(SLOTS, dtype=kind), False
+        table, any_text = np.zeros(table_size, dtype=kind), False
         for texts, langs in _gathered(batches):
             w = words_of(texts, langs, pruned)
-            slots, n = np.unique(np.concatenate([_slot(h) for h in w.hashes]), return_counts=True)
+            slots, n = np.unique(np.concatenate([_slot(h, table_size) for h in w.hashes]), return_counts=True)
             table[slots] += np.minimum(n, min_count).astype(kind)
             table[slots] = np.minimum(table[slots], min_count)
             any_text = True
@@ -132,12 +132,12 @@ def slot_counts(docs: DataFrame, min_count: int, pruned: int = 1) -> DataFrame:
     return docs.mapInArrow(count, "block int, counts binary")
 
 
-def frequent_slots(docs: DataFrame, min_count: int, pruned: int = 1) -> np.ndarray:
+def frequent_slots(docs: DataFrame, min_count: int, pruned: int = 1, table_size: int = SLOTS) -> np.ndarray:
     """Bits of the slots that reach `min_count`: SLOTS / 8 bytes, whatever the corpus."""
     kind = np.min_scalar_type(2 * min_count)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, total = None, np.zeros(SLOTS // BLOCKS, dtype=kind)
+        block, total = None, np.zeros(table_size // BLOCKS, dtype=kind)
 
         def row() -> pa.RecordBatch:
             bits = np.packbits(total >= min_count).tobytes()
@@ -148,13 +148,13 @@ def frequent_slots(docs: DataFrame, min_count: int, pruned: int = 1) -> np.ndarr
                 if b != block:
                     if block is not None:
                         yield row()
-                    block, total = b, np.zeros(SLOTS // BLOCKS, dtype=kind)
+                    block, total = b, np.zeros(table_size // BLOCKS, dtype=kind)
                 total = np.minimum(total + np.frombuffer(counts, dtype=kind), min_count).astype(kind)
         if block is not None:
             yield row()
 
-    summed = slot_counts(docs, min_count, pruned).repartition("block").sortWithinPartitions("block").mapInArrow(add_up, "block int, bits binary")
-    bits = np.zeros((BLOCKS, SLOTS // BLOCKS // 8), dtype=np.uint8)
+    summed = slot_counts(docs, min_count, pruned, table_size).repartition("block").sortWithinPartitions("block").mapInArrow(add_up, "block int, bits binary")
+    bits = np.zeros((BLOCKS, table_size // BLOCKS // 8), dtype=np.uint8)
     for r in summed.collect():
         bits[r["block"]] = np.frombuffer(r["bits"], dtype=np.uint8)
     return bits.reshape(-1)
@@ -165,7 +165,7 @@ def _windows_of(w: Words, bits: np.ndarray, max_words: int) -> tuple[np.ndarray,
     n = len(w)
 
     def passes(hashes: np.ndarray) -> np.ndarray:
-        slot = _slot(hashes)
+        slot = _slot(hashes, 8 * len(bits))
         return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 != 0
 
     frequent = []  # whether the phrase of 1, 2, 3 words from each word on may be
@@ -287,17 +287,17 @@ def scored(phrases: DataFrame, drop_percent: int = 100) -> DataFrame:
     return kept.select("lang", shown.alias("phrase"), "cut.a", "cut.l", "cut.r", "cut.n", "cut.score")
 
 
-def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", max_words: int = 5, min_count: int = 100, top: int = 2000, drop_percent: int = 100, pruned: int = 3) -> DataFrame:
+def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", max_words: int = 5, min_count: int = 100, top: int = 2000, drop_percent: int = 100, pruned: int = 3, table_size: int = SLOTS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first `top` phrases of 2 to `max_words` words.
 
     a: times of the phrase, min_count at least. Cut in two, l and r are those of the parts, n the language's words, and
     score floor(1000 * a * n / (l * r)), at the cut with the least (the shortest first part of equals). A phrase inside a
     longer one of up to max_words words, at least drop_percent % as frequent, goes. The order is by score and a, both
     descending, then by phrase in byte order. `pruned`, 1 to 3: phrases of up to so many words are counted beforehand, which
-    saves work where the corpus is small beside SLOTS * min_count, and doesn't change results.
+    saves work where the corpus is small beside table_size * min_count, and doesn't change results.
     """
     docs = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    windows = staged(counted_windows(docs, frequent_slots(docs, min_count, pruned), max_words, pruned), "windows")
+    windows = staged(counted_windows(docs, frequent_slots(docs, min_count, pruned, table_size), max_words, pruned), "windows")
     rows = scored(staged(phrase_counts(windows, min_count), "phrases"), drop_percent)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))

@@ -72,7 +72,7 @@ def buckets_of(texts: list[str | None], buckets: int, orders: int = ORDERS) -> t
     text_of = np.repeat(np.arange(len(texts)), [len(t or "") + 1 for t in texts])
     chars = np.where(kind > 0, lower[chars], 32).astype(np.uint64)
     # one blank before each text and after each word
-    keep = (kind > 0) | np.append(kind[:-1] > 0, False)
+    keep = (kind > 0) | np.append(False, kind[:-1] > 0)
     keep |= np.append(True, text_of[1:] != text_of[:-1])
     has = np.bincount(text_of[kind == 2], minlength=len(texts)) > 0
     keep &= has[text_of]
