@@ -285,6 +285,20 @@ def _(spark, sf):
     return products.sanitize_products(rows).selectExpr("page_id", *_PLACE, "price", "rating", "review_count")
 
 
+@query(
+    "a3_not_a_number",
+    """SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, CASE WHEN l_orderkey % 3 > 0 THEN l_extendedprice END AS price,
+      CASE WHEN l_orderkey % 2 > 0 THEN l_quantity END AS rating, CASE WHEN l_orderkey % 5 > 0 THEN l_quantity::BIGINT END AS review_count FROM lineitem""",
+)
+def _(spark, sf):
+    key, nan = F.col("l_orderkey"), F.lit(float("nan"))
+    of = lambda n, c: F.when(key % n > 0, F.col(c).cast("double")).otherwise(nan)
+    rows = table(spark, sf, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), of(3, "l_extendedprice").alias("price"), of(2, "l_quantity").alias("rating"), of(5, "l_quantity").alias("review_count")
+    )
+    return products.sanitize_products(rows)
+
+
 def _owned(rows: DataFrame) -> DataFrame:
     """With what a product row takes from its page and job."""
     page = F.col("page_id")
@@ -411,6 +425,31 @@ def _(spark, sf):
     return s.extract_inline_json(*_full(spark, sf, "blobs")).select("page_id", "title", "product_url")
 
 
+@query(
+    "e10_deep_json",
+    """SELECT p_partkey AS page_id, p_name AS title, 'https://shop.example.com/product/' || p_partkey AS product_url, (CASE WHEN p_partkey % 4 < 2 THEN 2 ELSE 4 END)::INTEGER AS rung
+    FROM part WHERE p_partkey % 4 < 3""",
+)
+def _(spark, sf):
+    """A page a part: its JSON-LD within 3,000 lists; the same, not well-formed after the part; inline JSON beside 2,000 open
+    brackets; or brackets alone."""
+    key = F.col("p_partkey")
+    part = F.format_string('{"@type": "Product", "name": "%s", "url": "/product/%s"}', F.col("p_name"), key.cast("string"))
+    ld = lambda text: F.concat(F.lit('<script type="application/ld+json">'), text, F.lit("</script>"))
+    plain = lambda text: F.concat(F.lit('<script type="application/json">'), text, F.lit("</script>"))
+    many = lambda x: F.repeat(F.lit(x), F.lit(3000))
+    html = (
+        F.when(key % 4 == 0, ld(F.concat(many("["), part, many("]"))))
+        .when(key % 4 == 1, ld(F.concat(part, many("[{"))))
+        .when(key % 4 == 2, plain(F.concat(part, many("{"))))
+        .otherwise(F.concat(ld(many("{")), plain(many("["))))
+    )
+    pages = table(spark, sf, "part").select(key.alias("page_id"), F.concat(F.lit("https://shop.example.com/list/"), key.cast("string")).alias("url"), html.alias("html"))
+    parsed, of = ladder.parsed_pages(pages), pages.select("page_id", "url")
+    found = s.extract_jsonld(parsed, of).unionByName(s.extract_inline_json(parsed, of))
+    return found.select("page_id", "title", "product_url", "rung")
+
+
 @query(
     "e12_no_results",
     f"""SELECT page_id, 'shop.example.com' AS platform, true AS success, count(*) AS num_products, count(*) AS saved_to_db FROM {_SHOWS_SQL} GROUP BY page_id

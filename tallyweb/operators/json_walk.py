@@ -1,7 +1,7 @@
 """Product-like objects of JSON scripts, in document order.
 
-A vectorised helper parses and walks; it gives the raw scalars of each object, and columns do the rest. What an object's
-fields may hold is declared in tables; with `strict` an object with a value of another type is dropped with all beneath
+A vectorised helper parses and walks, neither by recursion; it gives the raw scalars of each object, and columns do the
+rest. What an object's fields may hold is declared in tables; with `strict` an object with a value of another type is dropped with all beneath
 it, else such values are written as text.
 """
 
@@ -46,20 +46,128 @@ class Unfit(Exception):
     """An object that holds something else than its fields may."""
 
 
+_CLOSING = {"{": "}", "[": "]"}
+_OPENING = re.compile(r"[{\[]")
+_BLANK = re.compile(r"[ \t\n\r]*")
+_SCALAR = re.compile(r"true|false|null|NaN|-?Infinity|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?")
+
+
+def pieces(text: str) -> Iterator[str]:
+    """Disjoint pieces from an opening bracket to the next closing one of its kind, from the left; what is never closed
+    is passed over. One pass: once a closing bracket isn't found, it isn't looked for again."""
+    at, missing = 0, set()
+    while m := _OPENING.search(text, at):
+        at = m.end()
+        if m[0] in missing:
+            continue
+        end = text.find(_CLOSING[m[0]], at)
+        if end < 0:
+            missing.add(m[0])
+            if len(missing) == len(_CLOSING):
+                return
+        else:
+            at = end + 1
+            yield text[m.start() : at]
+
+
+def deep_loads(text: str) -> Any:
+    """json.loads() for any depth: open arrays and objects are on a list of its own."""
+    scan, top = json.decoder.scanstring, []
+    open_ones, at = [(top, None)], 0  # containers, and the key that an object's next value is for
+
+    def skip(i: int) -> int:
+        return _BLANK.match(text, i).end()
+
+    def key(i: int) -> tuple[str, int]:
+        if text[i : i + 1] != '"':
+            raise ValueError("no key")
+        name, i = scan(text, i + 1, True)
+        i = skip(i)
+        if text[i : i + 1] != ":":
+            raise ValueError("no colon")
+        return name, skip(i + 1)
+
+    def put(value: Any) -> None:
+        into, name = open_ones[-1]
+        if name is None:
+            into.append(value)
+        else:
+            into[name] = value
+
+    at = skip(0)
+    while True:  # a value begins at `at`
+        c = text[at : at + 1]
+        if c in ("[", "{"):
+            value = [] if c == "[" else {}
+            put(value)
+            at = skip(at + 1)
+            if text[at : at + 1] == _CLOSING[c]:
+                at = skip(at + 1)
+            elif c == "[":
+                open_ones.append((value, None))
+                continue
+            else:
+                name, at = key(at)
+                open_ones.append((value, name))
+                continue
+        elif c == '"':
+            value, at = scan(text, at + 1, True)
+            put(value)
+            at = skip(at)
+        elif m := _SCALAR.match(text, at):
+            put(json.loads(m[0]))
+            at = skip(m.end())
+        else:
+            raise ValueError("no value")
+        while len(open_ones) > 1:  # after a value: the next one, or ends of containers
+            into, _ = open_ones[-1]
+            c = text[at : at + 1]
+            if c == ",":
+                at = skip(at + 1)
+                if isinstance(into, dict):
+                    name, at = key(at)
+                    open_ones[-1] = (into, name)
+                break
+            if c != ("}" if isinstance(into, dict) else "]"):
+                raise ValueError("not closed")
+            open_ones.pop()
+            at = skip(at + 1)
+        else:
+            if at < len(text):
+                raise ValueError("more than a value")
+            return top[0]
+
+
+def loads(text: str) -> Any:
+    """ValueError if the text isn't JSON; any depth."""
+    try:
+        return json.loads(text)
+    except RecursionError:
+        return deep_loads(text)
+
+
 def blobs(text: str) -> list[Any]:
-    """The whole text as JSON, else each shortest bracketed piece that is."""
+    """The whole text as JSON, else each of its pieces() that is. Work is linear in the text's length."""
     try:
-        return [json.loads(text)]
+        return [loads(text)]
     except ValueError:
         out = []
-        for piece in re.findall(r"\{.*?\}|\[.*?\]", text, re.DOTALL):
+        for piece in pieces(text):
             try:
-                out.append(json.loads(piece))
+                out.append(loads(piece))
             except ValueError:
                 pass
         return out
 
 
+def _told(value: Any) -> str:
+    """str(), of values that aren't too deep to be written."""
+    try:
+        return str(value)
+    except (RecursionError, ValueError) as e:  # ValueError: an integer of very many digits
+        raise Unfit from e
+
+
 def _truth(values: Iterator[Any]) -> Any:
     """The first value that isn't empty, else the last."""
     value = None
@@ -86,7 +194,7 @@ def _scalars(fields: dict[str, Any], strict: bool) -> dict[str, str | None]:
         elif name in ("rating", "review_count") and not value:
             out[name] = None  # zero is no value
         else:
-            out[name] = str(value)
+            out[name] = _told(value)
     return out
 
 
@@ -140,41 +248,40 @@ def generic_fields(d: dict) -> dict[str, Any] | None:
 
 
 def _walk_ld(value: Any, strict: bool) -> Iterator[dict]:
-    if isinstance(value, list):
-        for member in value:
-            yield from _walk_ld(member, strict)
-    elif isinstance(value, dict):
-        kind = value.get("@type") or value.get("type") or ""
-        if strict and not isinstance(kind, str):
-            return
-        try:
-            if str(kind).lower() in ("product", "listitem") or "Product" in str(value.get("@type")):
-                yield _scalars(ld_fields(value), strict)
-        except Unfit:
-            return
-        for key in ("itemListElement", "mainEntity"):
-            if key in value:
-                yield from _walk_ld(value[key], strict)
-
-
-def _walk_generic(value: Any, strict: bool, depth: int = 0) -> Iterator[dict]:
-    if depth > fixed.GENERIC_DEPTH:
-        return
-    if isinstance(value, list):
-        for member in value:
-            yield from _walk_generic(member, strict, depth + 1)
-    elif isinstance(value, dict):
-        try:
-            found = _scalars(generic_fields(value), strict)
-        except Unfit:
-            return
-        if (found["title"] or "").strip() or found["url"]:
-            yield found
-        for key, inner in value.items():
-            if isinstance(inner, (list, dict)):
-                likely = any(k in str(key).lower() for k in fixed.PRODUCT_LIKE_KEYS)
-                if likely or depth <= fixed.SHALLOW_DEPTH:
-                    yield from _walk_generic(inner, strict, depth + 1)
+    todo = [value]  # the last is the next one
+    while todo:
+        value = todo.pop()
+        if isinstance(value, list):
+            todo += reversed(value)
+        elif isinstance(value, dict):
+            kind = value.get("@type") or value.get("type") or ""
+            if strict and not isinstance(kind, str):
+                continue
+            try:
+                if _told(kind).lower() in ("product", "listitem") or "Product" in _told(value.get("@type")):
+                    yield _scalars(ld_fields(value), strict)
+            except Unfit:
+                continue
+            todo += [value[key] for key in ("mainEntity", "itemListElement") if key in value]
+
+
+def _walk_generic(value: Any, strict: bool) -> Iterator[dict]:
+    todo = [(value, 0)]
+    while todo:
+        value, depth = todo.pop()
+        if depth > fixed.GENERIC_DEPTH:
+            continue
+        if isinstance(value, list):
+            todo += [(member, depth + 1) for member in reversed(value)]
+        elif isinstance(value, dict):
+            try:
+                found = _scalars(generic_fields(value), strict)
+            except Unfit:
+                continue
+            if (found["title"] or "").strip() or found["url"]:
+                yield found
+            inner = [v for k, v in value.items() if isinstance(v, (list, dict)) and (depth <= fixed.SHALLOW_DEPTH or any(x in k.lower() for x in fixed.PRODUCT_LIKE_KEYS))]
+            todo += [(v, depth + 1) for v in reversed(inner)]
 
 
 WALKS = {"ld": _walk_ld, "generic": _walk_generic}

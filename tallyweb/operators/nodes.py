@@ -96,6 +96,12 @@ class _Tree(HTMLParser):
                 self._close(depth)
                 return
 
+    def parse_html_declaration(self, i: int) -> int:
+        try:
+            return super().parse_html_declaration(i)
+        except AssertionError:  # the tokeniser gives up on unknown marked sections; they are comments to a browser
+            return self.parse_bogus_comment(i)
+
     def handle_data(self, data: str) -> None:
         if not self.open:
             return

@@ -88,12 +88,12 @@ def rounded(x: Column, digits: int = 2) -> Column:
 
 
 def sanitized_price(c: Column) -> Column:
-    x = c.try_cast("double")
+    x = F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))  # of all orders, NaN is above every number here: it is no price
     return F.when(x < 0, F.lit(None)).when(x > fixed.MOST_PRICE, fixed.MOST_PRICE).otherwise(rounded(x))
 
 
 def sanitized_rating(c: Column) -> Column:
-    x = c.try_cast("double")
+    x = F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
     return F.when(x < 0, 0.0).when(x > fixed.MOST_RATING, fixed.MOST_RATING).otherwise(rounded(x))
 
 
@@ -103,6 +103,7 @@ def sanitized_reviews(c: Column) -> Column:
 
 
 def sanitize_products(products: DataFrame) -> DataFrame:
+    """Prices, ratings and reviews within their limits; what is no number, NaN included, is null."""
     return products.withColumns(
         {"price": sanitized_price(F.col("price")), "rating": sanitized_rating(F.col("rating")), "review_count": sanitized_reviews(F.col("review_count"))}
     )

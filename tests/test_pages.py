@@ -1,8 +1,14 @@
+import json
+import re
+import time
+
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyweb.operators import strategies as s
-from tallyweb.operators.json_walk import blobs
+from tallyweb.operators.json_walk import blobs, deep_loads, pieces
 from tallyweb.operators.nodes import node_rows, parse_nodes, with_text
 from tallyweb.operators.products import cap_per_page, merge_by_url
 from tallyweb.operators.selectors import matches
@@ -122,6 +128,44 @@ def test_blobs():
     assert blobs("nothing") == []
 
 
+@given(st.text(alphabet='{}[]",:1 a', max_size=40))
+def test_pieces_are_the_shortest_matches(text):
+    assert list(pieces(text)) == re.findall(r"\{.*?\}|\[.*?\]", text, re.DOTALL)
+
+
+@given(st.one_of(st.text(alphabet='{}[]",:1.e- a\\n', max_size=25), st.recursive(st.none() | st.booleans() | st.floats() | st.text(), lambda x: st.lists(x) | st.dictionaries(st.text(), x)).map(json.dumps)))
+def test_deep_loads_is_loads(text):
+    def read(f):
+        try:
+            return repr(f(text))
+        except ValueError:
+            return "no JSON"
+
+    assert read(deep_loads) == read(json.loads)
+
+
+def test_deep_and_broken_json(spark):
+    began = time.time()
+    assert blobs("{" * 500_000) == blobs("[{" * 250_000) == [] and blobs("{" * 500_000 + "[2]") == [[2]]
+    (deep,) = blobs("[" * 100_000 + "7" + "]" * 100_000)
+    for _ in range(100_000):
+        (deep,) = deep
+    assert deep == 7 and time.time() - began < 5
+    product = '{"@type":"Product","name":"Lamp","url":"/product/1"}'
+    wrap = lambda text: f'<script type="application/ld+json">{text}</script>'
+    nested = '{"itemListElement":[' * 20_000 + product + "]}" * 20_000
+    too_deep = '{"@type":"Product","name":{"a":' + "[" * 20_000 + "]" * 20_000 + '},"url":"/product/2"}'
+    htmls = [wrap(nested), wrap("{" * 500_000), wrap("[" * 100_000), wrap(too_deep), wrap(product), '<script type="application/json">{"price":{"value":' + "[" * 20_000 + "]" * 20_000 + '},"name":"Deep","url":"/product/3"}</script>']
+    for strict in (True, False):
+        rows = ladder.run_ladder(pages_of(spark, *htmls), strict=strict).collect()
+        assert sorted((r["page_id"], r["title"]) for r in rows) == [(0, "Lamp"), (4, "Lamp")]
+
+
+def test_markup_that_the_tokeniser_gives_up_on(spark):
+    htmls = ["<p>a</p><![if x]><p>b</p>", "<![foo[<p>", "<!doctype [<!x", "</", "<a " + "b" * 100_000, card(1)]
+    assert parse_nodes(pages_of(spark, *htmls)).count() == len(htmls)
+
+
 def test_merge(spark):
     schema = "page_id long, rung int, pos array<bigint>, title string, product_url string, price double, in_stock boolean"
     rows = [(0, 1, [1], None, "u", 0.0, False), (0, 1, [2], "A", "u", 5.0, True), (0, 1, [3], "B", "u", 7.0, None), (1, 1, [1], "A", "u", 0.0, False), (1, 1, [2], None, "u", 0.0, None), (1, 1, [0], "x", None, 1.0, None)]
