@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +21,11 @@ from .operators.nodes import node_rows, parse_nodes, with_text
 from .plans import ladder, queue_run
 from .schemas import PRODUCT_NAMES, PRODUCT_ROWS, QUEUE
 from .sources import payloads, tables
+from .sources.keyed_table import KeyedTable
 from .sources.listing_pages import full_pages, part_pages
-from .sources.staged import shared_dir
-from .streaming.stream import load_products
+from .sources.queue_log import QueueLog
+from .sources.staged import staged_dir
+from .streaming.stream import product_table, stream_products
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -336,6 +339,23 @@ def _(spark, sf):
     return tables.insert_if_absent(new, known).select("platform_url", "product_name", "product_url")
 
 
+_LINE_ROWS_SQL = f"(SELECT {_ROW_SQL}, page_id, l_orderkey, l_linenumber, cents FROM {_CANDIDATE_SQL} WHERE title <> '' AND product_url <> '')"
+
+
+@query(
+    "s5_keyed_load",
+    f"""SELECT platform_url, product_name, product_url FROM {_LINE_ROWS_SQL}
+    QUALIFY row_number() OVER (PARTITION BY product_url ORDER BY page_id % 2, page_id, l_orderkey, l_linenumber, cents) = 1""",
+)
+def _(spark, sf):
+    """Loads of the lines of even pages, of these again, and of odd pages, into one keyed table."""
+    target = KeyedTable(spark, f"{staged_dir(spark)}/s5-{uuid.uuid4().hex}", PRODUCT_ROWS, "product_url", parts=16)
+    rows = products.to_product_rows(_owned(line_candidates(spark, sf)), "page_id", "pos")
+    for some in (rows.where("page_id % 2 = 0"), rows.where("page_id % 2 = 0"), rows.where("page_id % 2 = 1")):
+        target.insert(some, order=("page_id", "pos"))
+    return target.rows().select("platform_url", "product_name", "product_url")
+
+
 # --- Strategies, on pages made of parts ----------------------------------------------------------------------------
 
 _PART = "(SELECT *, p_partkey // 20 AS page_id, (p_partkey // 20) % 6 AS kind, '/product/' || p_partkey AS path, 'https://shop.example.com' AS base, printf('%.2f', p_retailprice) AS t FROM part)"
@@ -580,12 +600,13 @@ _LOADED_SQL = f"SELECT 'https://shop.example.com/list/' || page_id AS platform_u
 
 @query("r1_stream_products", _LOADED_SQL)
 def _(spark, sf):
-    """The work of one micro-batch, as the stream does it; tests run the stream itself."""
-    out = f"{shared_dir(spark)}/r1-{uuid.uuid4().hex}"
+    """Two streams load one table: one of all pages, and one of half of them, that adds nothing."""
+    folder = f"{staged_dir(spark)}/r1-{uuid.uuid4().hex}"
     pages = part_pages(table(spark, sf, "part"))
-    load_products(pages, out)
-    load_products(pages.where("page_id % 2 = 0"), out)  # delivered again: adds nothing
-    return spark.read.parquet(out).select("platform_url", "product_name", "current_price", "product_url")
+    for name, some in (("all", pages), ("again", pages.where("page_id % 2 = 0"))):
+        some.repartition(4).write.parquet(f"{folder}/{name}")
+        stream_products(spark, f"{folder}/{name}", f"{folder}/products", f"{folder}/checkpoint-{name}", max_files=2 if name == "all" else 16).awaitTermination()
+    return product_table(spark, f"{folder}/products").rows().select("platform_url", "product_name", "current_price", "product_url")
 
 
 # --- The queue -----------------------------------------------------------------------------------------------------
@@ -637,6 +658,23 @@ def _(spark, sf):
     return claimed.select("id", "processing_status", "claimed_by", F.col("claimed_at").cast("timestamp_ntz").alias("claimed_at"))
 
 
+@query("q3_atomic_claims", f"SELECT id, 'claimed' AS processing_status, 1::BIGINT AS times FROM {_QUEUE_SQL} WHERE {_OPEN} AND claimed_by IS NULL")
+def _(spark, sf):
+    """Two workers claim at once from one queue until nothing is left; their claims, by id."""
+    queue = order_queue(spark, sf)
+    log = QueueLog.create(queue, f"{staged_dir(spark)}/q3-{uuid.uuid4().hex}", rows_per_part=5000)
+    n = max(500, queue.count() // 6)
+
+    def work(worker: str) -> None:
+        mine = QueueLog(spark, log.folder)
+        while mine.claim(n, fixed.QUEUE_STATUSES, worker, AT).count():
+            pass
+
+    with ThreadPoolExecutor(2) as workers:
+        list(workers.map(work, ["a", "b"]))
+    return log.history().groupBy("id").agg(F.lit("claimed").alias("processing_status"), F.count("*").alias("times"))
+
+
 @query(
     "q4_normalize_jobs",
     f"SELECT product_page_url AS url, id AS url_id, 50 AS max_items, 12 AS wait_seconds, 3 AS max_retries, retry_count, product_type_id FROM {_QUEUE_SQL}",
@@ -760,8 +798,9 @@ def _(spark, sf):
       FROM orders LEFT JOIN (SELECT p_partkey // 20 AS page_id, count(*) AS n FROM part GROUP BY 1) p ON p.page_id = o_orderkey WHERE o_orderstatus <> 'F' AND o_custkey % 11 <> 0)""",
 )
 def _(spark, sf):
-    """The whole queue, until nothing can be claimed: page n of the parts is at the address of order n, the others fail."""
-    n = table(spark, sf, "orders").count()
+    """The whole queue, until nothing can be claimed, in several batches: page n of the parts is at the address of order n, the
+    others fail."""
+    n = table(spark, sf, "orders").count() // 4
     empty = spark.createDataFrame([], PRODUCT_ROWS)
     run = queue_run.process_queue(order_queue(spark, sf), part_pages(table(spark, sf, "part")), empty, AT, batch_size=max(1, n))
     done = run.queue.where("updated_at IS NOT NULL")

@@ -14,11 +14,14 @@ from ..functions import fixed
 from ..operators import jobs as j
 from ..operators.products import to_product_rows
 from ..schemas import PRODUCT_ROWS, QUEUE
+from ..sources.keyed_table import KeyedTable
+from ..sources.queue_log import QueueLog
 from ..sources.staged import staged, staged_dir
-from ..sources.tables import insert_if_absent, write_queue
+from ..sources.tables import write_queue
 from .ladder import listing_products, page_results
 
 KEYS = ("page_id", "pos")
+COMPACT_AFTER = 16  # batches
 
 
 @dataclass
@@ -30,8 +33,8 @@ class Run:
     batches: int
 
 
-def run_jobs(jobs: DataFrame, pages: DataFrame, existing: DataFrame, max_items: int = fixed.MAX_ITEMS) -> tuple[DataFrame, DataFrame]:
-    """(results of the jobs, rows to append to the product table).
+def run_jobs(jobs: DataFrame, pages: DataFrame, max_items: int = fixed.MAX_ITEMS) -> tuple[DataFrame, DataFrame | None]:
+    """(results of the jobs, rows for the product table with KEYS, or none if no job has a page).
 
     A page that several jobs name is read once; its products go to the job of the least url_id.
     """
@@ -44,14 +47,14 @@ def run_jobs(jobs: DataFrame, pages: DataFrame, existing: DataFrame, max_items:
         results = attached.select("url", "url_id", "retry_count", "max_retries", "page_id", "error").withColumns(
             {"success": F.lit(False), "num_products": F.lit(None).cast("bigint"), "saved_to_db": F.lit(None).cast("bigint"), "kind": F.lit("result")}
         )
-        return results, existing.limit(0)
+        return results, None
     products = staged(listing_products(found, max_items), "batch_products")
     results = page_results(found, products).select("page_id", "success", "num_products", "saved_to_db")
     results = attached.select("url", "url_id", "retry_count", "max_retries", "page_id", "error").join(results, "page_id", "left")
     results = results.withColumns({"kind": F.lit("result"), "success": F.coalesce("success", F.lit(False))})
     owner = found.select("page_id", F.col("url").alias("platform_url"), "product_type_id", "searched_product_id")
     rows = to_product_rows(products.join(owner, "page_id"), *KEYS)
-    return results, insert_if_absent(rows, existing, order=KEYS)
+    return results, rows
 
 
 def process_queue(
@@ -69,19 +72,44 @@ def process_queue(
     """Claims, runs and updates until `limit` rows are done or none can be claimed.
 
     Rows to be tried again can be claimed again in the same run. It ends, as each failure raises retry_count, and no row
-    stays claimable past the limit of retries.
-
-    A batch writes what is new only: its rows of the queue as they are afterwards, its products, results and statistics,
-    each appended to a table of this run. What can be claimed are the queue's rows beyond those that were claimed before,
-    and the latest state of those; the queue is put together once, at the end.
+    stays claimable past the limit of retries. The queue is a log of its own here, see work_on().
     """
-    spark = queue.sparkSession
-    folder = f"{staged_dir(spark)}/queue-run-{uuid.uuid4().hex}"
+    folder = f"{staged_dir(queue.sparkSession)}/queue-run-{uuid.uuid4().hex}"
     statuses = statuses or list(fixed.QUEUE_STATUSES)
     first = j.start_id(queue, statuses, offset).first() if offset else None
-    min_id = first["id"] if first else None
+    log = QueueLog.create(queue, f"{folder}/queue", max(batch_size, j.TOP_ROWS))
+    table = KeyedTable(queue.sparkSession, f"{folder}/products", PRODUCT_ROWS, "product_url")
+    table.insert(existing.select(*PRODUCT_ROWS.names))
+    run = work_on(log, pages, table, at, folder, batch_size, limit, statuses, first["id"] if first else None, worker, max_retries)
+    if not run.batches:
+        return Run(queue, existing, None, None, 0)
+    # rows of the target that share a key were there before, and stay
+    new = table.rows().join(existing.select("product_url"), "product_url", "left_anti").select(*PRODUCT_ROWS.names)
+    return Run(run.queue, existing.select(*PRODUCT_ROWS.names).unionByName(new), run.results, run.stats, run.batches)
+
+
+def work_on(
+    log: QueueLog,
+    pages: DataFrame,
+    table: KeyedTable,
+    at: datetime,
+    folder: str,
+    batch_size: int = 1000,
+    limit: int | None = None,
+    statuses: list[str] | None = None,
+    min_id: int | None = None,
+    worker: str = "worker",
+    max_retries: int = fixed.MAX_RETRIES,
+) -> Run:
+    """One worker of those that share `log` and the target `table`: claims, runs and updates batch after batch.
+
+    A batch reads the parts of the queue that it claims from, and the parts of the target that its products may be in. Its
+    results and statistics are appended to tables of this worker's own `folder`. A worker that dies leaves its batch
+    claimed, as other workers can't know; what it had not committed is not there.
+    """
+    spark = log.spark
+    statuses = statuses or list(fixed.QUEUE_STATUSES)
     done = batches = 0
-    last_id: int | None = None  # all claimable rows up to it have been claimed once
     kinds: dict[str, StructType] = {}
 
     def append(df: DataFrame, name: str) -> None:
@@ -91,34 +119,27 @@ def process_queue(
     def so_far(name: str) -> DataFrame:
         return spark.read.schema(kinds[name]).parquet(f"{folder}/{name}")
 
-    def latest() -> DataFrame:
-        """The state of the rows that were claimed in this run."""
-        return so_far("rows").groupBy("id").agg(F.max_by(F.struct(*QUEUE.names), "batch").alias("row")).select("row.*")
-
-    def with_new(products: DataFrame) -> DataFrame:
-        return products.unionByName(so_far("products")) if batches else products
-
     while limit is None or done < limit:
         n = batch_size if limit is None else min(batch_size, limit - done)
-        open_rows = queue if last_id is None else queue.where(F.col("id") > last_id).unionByName(latest())
-        claimed = staged(j.claim_batch(open_rows, n, statuses, f"{worker}-{batches}", at, min_id), "claimed")
-        taken = claimed.agg(F.count("*").alias("n"), F.max("id").alias("last")).first()
-        if not taken["n"]:
+        claimed = log.claim(n, statuses, f"{worker}-{batches}", at, min_id)
+        taken = claimed.count()
+        if not taken:
             break
         jobs = j.normalize_jobs(
             claimed.select(F.col("product_page_url").alias("url"), F.col("id").alias("url_id"), "retry_count", "product_type_id"), max_retries=max_retries
         )
-        outcome, new = run_jobs(jobs, pages, with_new(existing))
+        outcome, rows = run_jobs(jobs, pages)
         outcome = staged(outcome, "outcomes")
-        new = staged(new.select(*PRODUCT_ROWS.names), "new_products")
-        append(new, "products")
-        append(write_queue(claimed, j.queue_update(j.next_state(outcome), at)).withColumn("batch", F.lit(batches)), "rows")
+        if rows is not None:
+            table.insert(rows, order=KEYS)
+        after = write_queue(claimed, j.queue_update(j.next_state(outcome), at))
+        log.update(after.join(claimed.select("id", "part"), "id"), f"{worker}-{batches}")
         append(outcome, "results")
         append(j.run_stats(outcome), "stats")
-        last_id = taken["last"] if last_id is None else max(last_id, taken["last"])
-        done, batches = done + taken["n"], batches + 1
+        done, batches = done + taken, batches + 1
+        if batches % COMPACT_AFTER == 0:
+            log.compact()
+            table.compact()
     if not batches:
-        return Run(queue, existing, None, None, 0)
-    changed = latest().select(F.struct(*QUEUE.names).alias("__row"))
-    merged = queue.join(changed, queue["id"] == F.col("__row.id"), "left").select(F.coalesce("__row", F.struct(*[queue[c] for c in QUEUE.names])).alias("r")).select("r.*")
-    return Run(merged, with_new(existing), so_far("results"), j.rollup_batches(so_far("stats")), batches)
+        return Run(log.state(), table.rows(), None, None, 0)
+    return Run(log.state(), table.rows(), so_far("results"), j.rollup_batches(so_far("stats")), batches)
