@@ -14,6 +14,7 @@ from ..functions import fixed
 from ..functions.text import clean_text, extract_price_text, first_full, infer_in_stock, or_null, parse_float, parse_int, parse_price, truncate
 from ..functions.urls import is_potential_product_href, to_absolute
 from ..schemas import CANDIDATES, PRODUCT_NAMES
+from ..sources.staged import staged
 from .json_walk import walk_json
 from .nodes import text_of_element, with_text
 from .products import first_per_page, valid_products
@@ -74,7 +75,7 @@ def card_fields(cards: DataFrame, nodes: DataFrame, parsed: DataFrame) -> DataFr
     marked = marked.select("page_id", F.col("node_id").alias("at"), "ancestors", F.concat(*[marks(i, group) for i, (group, _) in enumerate(looked_up.values())]).alias("marks"))
     dealt = marked.where(F.size("marks") > 0).select("page_id", "at", "marks", F.explode("ancestors").alias("node_id"))
     inside = dealt.join(cards.select("page_id", "node_id"), ["page_id", "node_id"]).select("page_id", "node_id", "at", F.inline("marks"))
-    first = inside.groupBy("page_id", "node_id", "field", "rank").agg(F.min("at").alias("at"))
+    first = staged(inside.groupBy("page_id", "node_id", "field", "rank").agg(F.min("at").alias("at")), "first_matches")
 
     # texts and values are read of these alone, once an element
     wanted = first.groupBy("page_id", "at").agg(F.collect_list(F.struct("node_id", "field", "rank")).alias("wanted"))
@@ -120,17 +121,22 @@ def _pos(*columns) -> Column:
 
 
 def _of_cards(places: DataFrame, nodes: DataFrame, parsed: DataFrame, rung: int, max_items: int) -> DataFrame:
-    """Candidates of the cards at `places` (page_id, node_id, pos), which may repeat a card; its fields are read once."""
+    """Candidates of the cards at `places` (page_id, node_id, pos), which may repeat a card; its fields are read once.
+
+    Places and cards are narrow, and written before they are used again: plans that spell them out at each use take longer
+    to make than to run.
+    """
+    places = staged(places, "places")
     spans = nodes.select("page_id", "node_id", "piece_start", "piece_count")
-    cards = places.select("page_id", "node_id").distinct().join(spans, ["page_id", "node_id"])
+    cards = staged(places.select("page_id", "node_id").distinct().join(spans, ["page_id", "node_id"]), "cards")
     return _candidates(places.join(card_fields(cards, nodes, parsed), ["page_id", "node_id"]), rung, max_items)
 
 
 def extract_dom(nodes: DataFrame, parsed: DataFrame, max_items: int = fixed.MAX_ITEMS) -> DataFrame:
     """Cards within result containers; on pages without containers, cards anywhere; failing these, what looks like one."""
     group = fixed.SELECTORS["product_cards"]
-    ranked = nodes.where("displayed").select("page_id", "node_id", "ancestors", F.explode(matching_ranks(group)).alias("rank"))
-    containers = first_nonempty_selector(nodes, fixed.SELECTORS["result_containers"])
+    ranked = staged(nodes.where("displayed").select("page_id", "node_id", "ancestors", F.explode(matching_ranks(group)).alias("rank")), "ranked")
+    containers = staged(first_nonempty_selector(nodes, fixed.SELECTORS["result_containers"]), "containers")
     contained = ranked.select("page_id", F.col("node_id").alias("card"), "rank", F.explode("ancestors").alias("node_id"))
     contained = contained.join(containers.select("page_id", "node_id"), ["page_id", "node_id"])
     contained = contained.select("page_id", F.col("card").alias("node_id"), _pos("node_id", "rank", "card"))
@@ -140,7 +146,7 @@ def extract_dom(nodes: DataFrame, parsed: DataFrame, max_items: int = fixed.MAX_
     best = loose.groupBy("page_id").agg(F.min("rank").alias("rank"))
     loose = loose.join(best, ["page_id", "rank"]).select("page_id", "node_id", _pos(F.lit(0), "rank", "node_id"))
 
-    found = contained.unionByName(loose)
+    found = staged(contained.unionByName(loose), "found_places")
     pages_found = found.select("page_id").distinct()
     rest = nodes.where(F.col("tag").isin(CARD_TAGS)).join(pages_found, "page_id", "left_anti")
     guessed = looks_like_card(nodes, rest, parsed).select("page_id", "node_id", _pos(F.lit(0), F.lit(0), "node_id"))

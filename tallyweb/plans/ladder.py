@@ -19,11 +19,16 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
     return staged(parse_nodes(pages), "parsed_pages")
 
 
+def staged_nodes(parsed: DataFrame) -> DataFrame:
+    """node_rows() of parsed pages, written once."""
+    return staged(node_rows(parsed), "nodes")
+
+
 def run_ladder(pages: DataFrame, max_items: int = fixed.MAX_ITEMS, parsed: DataFrame | None = None, strict: bool = True) -> DataFrame:
     """Candidates (page_id, rung, pos, product fields) of pages (page_id, url, html)."""
     parsed = parsed_pages(pages) if parsed is None else parsed
     urls = pages.select("page_id", "url")
-    nodes = staged(node_rows(parsed), "nodes")
+    nodes = staged_nodes(parsed)
     found = (
         s.extract_dom(nodes, parsed, max_items)
         .unionByName(s.extract_jsonld(parsed, urls, max_items, strict))

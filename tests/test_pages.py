@@ -161,6 +161,14 @@ def test_deep_and_broken_json(spark):
         assert sorted((r["page_id"], r["title"]) for r in rows) == [(0, "Lamp"), (4, "Lamp")]
 
 
+def test_strategies_keep_their_plans_small(spark):
+    parsed = ladder.parsed_pages(pages_of(spark, card(1), card(2)))
+    nodes = ladder.staged_nodes(parsed)
+    for extract in (s.extract_dom, s.extract_heuristic):
+        plan = extract(nodes, parsed)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange ") <= 10
+
+
 def test_markup_that_the_tokeniser_gives_up_on(spark):
     htmls = ["<p>a</p><![if x]><p>b</p>", "<![foo[<p>", "<!doctype [<!x", "</", "<a " + "b" * 100_000, card(1)]
     assert parse_nodes(pages_of(spark, *htmls)).count() == len(htmls)
