@@ -1,5 +1,6 @@
 """URL filters by path-template trees: per host, variable path segments become wildcards, sibling branches whose labelled
-shares don't differ statistically are merged, and templates are rejected by their smoothed labelled purity.
+shares don't differ statistically are merged, and templates are rejected by their smoothed labelled purity. Branches that
+have no labels on their host are merged or told apart by what labels say of the same template on other hosts.
 DataFrame functions only.
 """
 
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from .line_dedup import lower_ascii
 from .staging import staged
 
-SALTS = 32  # ways that rows of one template, or branches of one node, are dealt over tasks
+SALTS = 32  # ways that branches of one node are dealt over tasks
+HOT = 256  # a key of more than one in so many rows is hot; so there are fewer than this
 NODE_PATHS = 10_000  # of a node for each of these ways
 
 
@@ -73,8 +75,11 @@ def judge_urls(
     Urls under a rule take its verdict, and are the labelled ones; `labels` (host, path, bad 0/1) adds others. The tree of
     a host is made of all segments of its paths, and of as many branches as there are. Segments that vary by form become
     wildcards. Branches of one node whose shares of blocked urls lie within `merge_z` standard errors of their siblings'
-    are merged to `*`, and so are those without labels; the others stay apart. The tree grows level by level, as long as
-    labelled paths part. A template's share is smoothed towards that of the node above,
+    are merged to `*`; the others stay apart. A branch without labels is judged by its fellows, the labelled branches of
+    the same template on other hosts, each of which counts once: it is merged to `*` unless their mean share lies
+    more than `merge_z` standard errors from that of the labelled siblings' fellows. If it does, or no sibling is labelled,
+    the branch stays apart, with the fellows for labels. Without fellows it goes to `*`. The tree grows level by level, as
+    long as paths with labels or fellows part. A template's share is smoothed towards that of the node above,
     (blocked + prior_weight * share above) / (labelled + prior_weight), or is the share above where both have the same
     labels. Above a host is the mean of all hosts' shares, smoothed towards `prior_block` for this; so each host weighs
     the same there, and those without labels speak for the prior. Templates with a share of at least `reject_share` are
@@ -87,28 +92,27 @@ def judge_urls(
     rows = rows.withColumn("__rule", rule_for(F.col("host"), F.col("path"), rules))
     blocked = F.when(F.col("__rule.verdict") == "block", 1).when(F.col("__rule").isNotNull(), 0)
     nodes = rows.select("*", blocked.alias("__bad"), _general_path(F.col("path")).alias("__path"))
-    seen = nodes.select("host", "__path", "__bad")
+    seen = nodes.select("host", "__path", "__bad", F.lit(1).alias("__row"))
     if labels is not None:
-        seen = seen.unionByName(labels.select("host", _general_path(F.col("path")).alias("__path"), F.col("bad").alias("__bad")))
+        seen = seen.unionByName(labels.select("host", _general_path(F.col("path")).alias("__path"), F.col("bad").alias("__bad"), F.lit(0).alias("__row")))
     n, k = F.count("__bad"), F.coalesce(F.sum("__bad"), F.lit(0))
-    paths = staged(seen.groupBy("host", "__path").agg(n.alias("__n"), k.alias("__k")), "url_paths")
+    paths = staged(seen.groupBy("host", "__path").agg(n.alias("__n"), k.alias("__k"), F.sum("__row").alias("__rows")), "url_paths")
     smoothed = lambda k, n, above: (k + prior_weight * above) / (n + prior_weight)
-    hosts = paths.groupBy("host").agg(F.sum("__n").alias("__hn"), F.sum("__k").alias("__hk"), F.count("*").alias("__size"))
-    everywhere = hosts.agg(F.coalesce(F.avg(smoothed(F.col("__hk"), F.col("__hn"), F.lit(prior_block))), F.lit(prior_block))).first()[0]
+    hosts = paths.groupBy("host").agg(F.sum("__n").alias("__hn"), F.sum("__k").alias("__hk"), F.count("*").alias("__size"), F.sum("__rows").alias("__rows"))
+    mean = F.avg(smoothed(F.col("__hk"), F.col("__hn"), F.lit(prior_block)))
+    everywhere, n_rows, n_paths = hosts.agg(F.coalesce(mean, F.lit(prior_block)), F.coalesce(F.sum("__rows"), F.lit(0)), F.coalesce(F.sum("__size"), F.lit(0))).first()
     hosts = hosts.select("host", "__size", smoothed(F.col("__hk"), F.col("__hn"), F.lit(everywhere)).alias("__share"))
     segments = F.filter(F.split("__path", "/", -1), lambda x: x != "").alias("__segments")
-    tree = paths.join(hosts, "host").select("host", "__path", segments, "__n", "__k", F.lit("").alias("__node"), "__share", "__size")
+    tree = paths.join(hosts, "host").select("host", "__path", segments, "__n", "__k", "__rows", F.lit("").alias("__node"), "__share", "__size")
     level, done = 0, []
     while True:
-        grown = staged(_grow(tree, level, merge_z, smoothed), f"url_tree_{level}")
-        done.append(grown.where("__done").select("host", "__path", F.substring("__node", 2, 1 << 30).alias("template"), F.col("__share").alias("template_share")))
+        grown = staged(_grow(tree, n_paths, level, merge_z, smoothed), f"url_tree_{level}")
+        done.append(grown.where("__done").select("host", "__path", "__rows", F.substring("__node", 2, 1 << 30).alias("template"), F.col("__share").alias("template_share")))
         tree, level = grown.where("NOT __done").drop("__done"), level + 1
-        if tree.isEmpty():
+        n_paths = tree.count()
+        if n_paths == 0:
             break
-    judged = reduce(DataFrame.unionByName, done)
-    salted = judged.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
-    nodes = nodes.withColumn("__salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int"))
-    out = nodes.join(salted, ["host", "__path", "__salt"], "left")
+    out = join_hot(nodes, reduce(DataFrame.unionByName, done), ["host", "__path"], "__rows", n_rows)
     verdict = F.coalesce(F.col("__rule.verdict"), F.when(F.col("template_share") >= reject_share, "block"), F.lit("allow"))
     return out.select("page_id", "host", "path", F.col("__rule.rule").alias("rule"), verdict.alias("verdict"), "template", "template_share")
 
@@ -118,39 +122,75 @@ def _general_path(path: Column) -> Column:
     return F.coalesce(F.array_join(F.transform(parts, _generalised), "/"), F.lit(""))
 
 
-def _grow(tree: DataFrame, level: int, z: float, smoothed: Callable[[Column, Column, Column], Column]) -> DataFrame:
-    """Each path goes on to a branch of its node, or to `*` where the branch is no different from its siblings together
-    or has no labels. `__done` are the paths that end there, that are alone, or
-    that stand where nothing is labelled: no further level changes their share. `__size` is the number of a node's paths;
-    by it a node's figures are dealt to its branches, so that one with very many of them doesn't fall to one task."""
+def join_hot(rows: DataFrame, figures: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """`rows` with the columns of `figures` (a row for each of `keys`, which aren't null), null where there is none.
+
+    `count` tells how many of the `total` rows have a key. Keys of more than one row in `HOT` are fewer than `HOT`: they
+    are broadcast, and their rows dealt over all tasks. So no key of the other join has more than one row in `HOT`.
+    """
+    values = [c for c in figures.columns if c not in keys]
+    packed = figures.select(*keys, F.struct(*values).alias("__figures"), (F.col(count) * HOT > total).alias("__often"))
+    hot = packed.where("__often").select(*keys, F.col("__figures").alias("__hot"))
+    rest = packed.where("NOT __often").select(*keys, F.lit(0).alias("__deal"), "__figures")
+    dealt = F.when(F.col("__hot").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20)).cast("int"))
+    met = rows.join(F.broadcast(hot), keys, "left").withColumn("__deal", dealt).join(rest, [*keys, "__deal"], "left")
+    found = F.coalesce("__figures", "__hot")
+    return met.select(*rows.columns, *[found[c].alias(c) for c in values if c not in rows.columns])
+
+
+def _apart(k: Column, n: Column, other_k: Column, other_n: Column, z: float) -> Column:
+    """Whether two shares lie more than `z` standard errors from each other; null where one has no units."""
+    p = (k + other_k + 0.5) / (n + other_n + 1)
+    error = F.sqrt(p * (1 - p) * (F.try_divide(F.lit(1), n) + F.try_divide(F.lit(1), other_n)))
+    return F.abs(F.try_divide(k, n) - F.try_divide(other_k, other_n)) > z * error
+
+
+def _grow(tree: DataFrame, n_paths: int, level: int, z: float, smoothed: Callable[[Column, Column, Column], Column]) -> DataFrame:
+    """Each of the `n_paths` paths goes on to a branch of its node, or to `*` where the branch is no different from its
+    siblings together. `__done` are the paths that end there, that are alone, or that stand where neither they nor their
+    fellows are labelled: no further level changes their share. `__size` is the number of a node's paths; by it a node's
+    figures are dealt to its branches, so that one with very many of them doesn't fall to one task."""
     segment = F.coalesce(F.try_element_at("__segments", F.lit(level + 1)), F.lit(""))
     tree = tree.withColumn("__branch", segment)
     above = ["host", "__node"]
-    branches = tree.groupBy(*above, "__branch").agg(F.sum("__n").alias("__bn"), F.sum("__k").alias("__bk"), F.count("*").alias("__paths"), F.max("__share").alias("__above"), F.max("__size").alias("__size"))
-    node = branches.groupBy(*above).agg(F.sum("__bn").alias("__nn"), F.sum("__bk").alias("__nk"), F.max("__size").alias("__size"))
+    branches = staged(
+        tree.groupBy(*above, "__branch").agg(F.sum("__n").alias("__bn"), F.sum("__k").alias("__bk"), F.count("*").alias("__paths"), F.max("__share").alias("__above"), F.max("__size").alias("__size")),
+        f"url_branches_{level}",
+    )
+    share = F.try_divide("__bk", "__bn")
+    fellows = branches.groupBy("__node", "__branch").agg(F.count(share).alias("__fn"), F.coalesce(F.sum(share), F.lit(0.0)).alias("__fk"), F.count("*").alias("__hosts"))
+    branches = join_hot(branches, fellows, ["__node", "__branch"], "__hosts", branches.count()).drop("__hosts")
+    of_labelled = lambda c: F.coalesce(F.sum(F.when(F.col("__bn") > 0, F.col(c))), F.lit(0))
+    node = branches.groupBy(*above).agg(
+        F.sum("__bn").alias("__nn"), F.sum("__bk").alias("__nk"), of_labelled("__fn").alias("__sn"), of_labelled("__fk").alias("__sk"), F.max("__size").alias("__size")
+    )
     ways = F.least(F.lit(SALTS), 1 + F.floor(F.col("__size") / NODE_PATHS)).cast("int")
     branches = branches.withColumn("__salt", F.pmod(F.xxhash64("__branch"), ways).cast("int"))
     dealt = F.explode(F.sequence(F.lit(0), ways - 1)).alias("__salt")
     rest_n, rest_k = F.col("__nn") - F.col("__bn"), F.col("__nk") - F.col("__bk")
-    p = (F.col("__nk") + 0.5) / (F.col("__nn") + 1)
-    gap = F.abs(F.try_divide(F.col("__bk"), F.col("__bn")) - F.try_divide(rest_k, rest_n))
-    apart = (rest_n == 0) | (gap > z * F.sqrt(p * (1 - p) * (F.try_divide(F.lit(1), F.col("__bn")) + F.try_divide(F.lit(1), rest_n))))
-    name = (
-        F.when(F.col("__branch") == "", "")
-        .when((F.col("__bn") > 0) & apart, F.col("__branch"))
-        .otherwise("*")
+    alone = (rest_n == 0) | _apart(F.col("__bk"), F.col("__bn"), rest_k, rest_n, z)
+    by_fellows = (F.col("__fn") > 0) & ((F.col("__sn") == 0) | _apart(F.col("__fk"), F.col("__fn"), F.col("__sk"), F.col("__sn"), z))
+    stays = F.coalesce(F.when(F.col("__bn") > 0, alone).otherwise(by_fellows), F.lit(False))
+    name = F.when(F.col("__branch") == "", "").when(stays, F.col("__branch")).otherwise("*")
+    fellow = lambda c: F.when((F.col("__bn") == 0) & by_fellows, F.col(c)).otherwise(0).alias(c)
+    named = branches.join(node.select(*above, "__nn", "__nk", "__sn", "__sk", dealt), [*above, "__salt"])
+    named = named.select(*above, "__branch", "__salt", "__bn", "__bk", "__paths", "__above", "__size", "__nn", name.alias("__name"), fellow("__fn"), fellow("__fk"))
+    named = staged(named, f"url_named_{level}")
+    kept = (
+        F.when(F.col("__fn") > 0, smoothed(F.col("__fk"), F.col("__fn"), F.col("__above")))
+        .when(F.col("__cn") == F.col("__nn"), F.col("__above"))
+        .otherwise(smoothed(F.col("__ck"), F.col("__cn"), F.col("__above")))
     )
-    named = branches.join(node.select(*above, "__nn", "__nk", dealt), [*above, "__salt"]).select(*branches.columns, "__nn", name.alias("__name"))
-    kept = F.when(F.col("__cn") == F.col("__nn"), F.col("__above")).otherwise(smoothed(F.col("__ck"), F.col("__cn"), F.col("__above")))
     pooled = named.groupBy(*above, "__name").agg(
-        F.sum("__bn").alias("__cn"), F.sum("__bk").alias("__ck"), F.sum("__paths").alias("__cp"), F.max("__above").alias("__above"), F.max("__nn").alias("__nn"), F.max("__size").alias("__size")
-    )
-    pooled = pooled.select(*above, "__name", "__cn", "__cp", kept.alias("__new"), dealt)
-    named = named.select(*above, "__branch", "__name", "__salt").join(pooled, [*above, "__name", "__salt"])
-    joined = tree.join(named, [*above, "__branch"])
-    done = (F.col("__branch") == "") | (F.col("__cp") == 1) | (F.col("__cn") == 0)
+        F.sum("__bn").alias("__cn"), F.sum("__bk").alias("__ck"), F.sum("__paths").alias("__cp"), F.max("__above").alias("__above"), F.max("__nn").alias("__nn"), F.max("__size").alias("__size"),
+        F.max("__fn").alias("__fn"), F.max("__fk").alias("__fk"),
+    )
+    pooled = pooled.select(*above, "__name", "__cn", "__cp", "__fn", kept.alias("__new"), dealt)
+    named = named.select(*above, "__branch", "__name", "__salt", "__paths").join(pooled, [*above, "__name", "__salt"]).drop("__salt")
+    joined = join_hot(tree, named, [*above, "__branch"], "__paths", n_paths)
+    done = (F.col("__branch") == "") | (F.col("__cp") == 1) | ((F.col("__cn") == 0) & (F.col("__fn") == 0))
     rest = F.slice("__segments", F.lit(level + 2), F.greatest(F.size("__segments") - (level + 1), F.lit(0)))
     rest = F.when(F.col("__cn") > 0, rest).otherwise(F.transform(rest, lambda x: F.lit("*")))
     names = F.when(F.col("__branch") == "", F.array().cast("array<string>")).otherwise(F.concat(F.array("__name"), F.when(done, rest).otherwise(F.array().cast("array<string>"))))
     node_name = F.concat("__node", F.array_join(F.transform(names, lambda x: F.concat(F.lit("/"), x)), ""))
-    return joined.select("host", "__path", "__segments", "__n", "__k", node_name.alias("__node"), F.col("__new").alias("__share"), F.col("__cp").alias("__size"), done.alias("__done"))
+    return joined.select("host", "__path", "__segments", "__n", "__k", "__rows", node_name.alias("__node"), F.col("__new").alias("__share"), F.col("__cp").alias("__size"), done.alias("__done"))
