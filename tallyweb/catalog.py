@@ -637,6 +637,12 @@ def _(spark, sf):
     return tables.load_queue(order_queue(spark, sf), limit=500, offset=100).drop("claimed_at")
 
 
+@query("s2_deep_offset", f"SELECT id, product_page_url, processing_status FROM {_QUEUE_SQL} WHERE {_OPEN} ORDER BY id LIMIT 300 OFFSET 400")
+def _(spark, sf):
+    """As s2, where no task may sort more than 50 rows."""
+    return tables.load_queue(order_queue(spark, sf), limit=300, offset=400, top_rows=50).select("id", "product_page_url", "processing_status")
+
+
 @query(
     "q1_parse_status_filters",
     f"SELECT id, processing_status, filters FROM {_QUEUE_SQL} JOIN (VALUES ('given', 'completed'), ('given', 'retrying'), ('none', 'pending'), ('none', 'retrying')) f(filters, status) ON processing_status = status",
@@ -652,6 +658,16 @@ def _(spark, sf):
     return jobs.start_id(order_queue(spark, sf), fixed.QUEUE_STATUSES, 250)
 
 
+@query("q2_deep_start", f"SELECT id FROM {_QUEUE_SQL} WHERE {_OPEN} ORDER BY id LIMIT 1 OFFSET 600")
+def _(spark, sf):
+    return jobs.start_id(order_queue(spark, sf), fixed.QUEUE_STATUSES, 600, top_rows=50)
+
+
+@query("q3_large_claim", f"SELECT id, 'w-0' AS claimed_by FROM {_QUEUE_SQL} WHERE {_OPEN} AND claimed_by IS NULL AND id >= 50 ORDER BY id LIMIT 500")
+def _(spark, sf):
+    return jobs.claim_batch(order_queue(spark, sf), 500, fixed.QUEUE_STATUSES, "w-0", AT, 50, top_rows=50).select("id", "claimed_by")
+
+
 @query("q3_claim_batch", f"SELECT id, processing_status, 'w-0' AS claimed_by, {AT_SQL} AS claimed_at FROM {_QUEUE_SQL} WHERE {_OPEN} AND claimed_by IS NULL AND id >= 50 ORDER BY id LIMIT 1000")
 def _(spark, sf):
     claimed = jobs.claim_batch(order_queue(spark, sf), 1000, fixed.QUEUE_STATUSES, "w-0", AT, 50)

@@ -12,6 +12,7 @@ from ..functions.text import truncate
 
 NO_PAGE = "no snapshot of the page"
 TOP_ROWS = 10_000  # rows that one task may sort
+RANGES = 1024  # of ids that are counted at once
 
 
 def parse_status_filters(text: str | None) -> list[str]:
@@ -19,23 +20,54 @@ def parse_status_filters(text: str | None) -> list[str]:
     return [s for s in given if s] or list(fixed.QUEUE_STATUSES)
 
 
-def start_id(queue: DataFrame, statuses: list[str], offset: int) -> DataFrame:
-    """The id at the offset, as a table of one row or none."""
-    return queue.where(F.col("processing_status").isin(statuses)).orderBy("id").offset(offset).limit(1).select("id")
+def id_at(rows: DataFrame, place: int, top_rows: int = TOP_ROWS, ranges: int = RANGES) -> int | None:
+    """The id at `place` (from 0) of all ids in order, or None if there are not as many. Null ids have no place.
 
-
-def claim_batch(queue: DataFrame, n: int, statuses: list[str], worker: str, at: datetime, min_id: int | None = None) -> DataFrame:
+    Ids are counted in `ranges` ranges of equal width, then in as many of the range that holds the place, and so on, until
+    one task may sort what a range holds: a pass over the ids each time, with its range as a filter, and `ranges` counts
+    to the driver. Seven passes do for any 64-bit ids, however they lie.
+    """
+    ids = rows.where(F.col("id").isNotNull()).select("id")
+    low, high, n = ids.agg(F.min("id"), F.max("id"), F.count("*")).first()
+    if place < 0 or place >= n:
+        return None
+    while n > top_rows and low < high:
+        width = -(-(high - low + 1) // ranges)
+        at = F.expr(f"(CAST(id AS DECIMAL(20, 0)) - CAST('{low}' AS DECIMAL(20, 0))) DIV CAST('{width}' AS DECIMAL(20, 0))")
+        inside = ids.where(F.col("id").between(low, high))
+        for r in sorted(inside.groupBy(at.alias("at")).agg(F.count("*").alias("n")).collect()):
+            if place < r["n"]:
+                low, high, n = low + r["at"] * width, min(high, low + (r["at"] + 1) * width - 1), r["n"]
+                break
+            place -= r["n"]
+    if low == high:
+        return low
+    return ids.where(F.col("id").between(low, high)).orderBy("id").offset(place).limit(1).first()["id"]
+
+
+def start_id(queue: DataFrame, statuses: list[str], offset: int, top_rows: int = TOP_ROWS) -> DataFrame:
+    """The id at the offset, as a table of one row or none; one beyond `top_rows` rows is found by counts."""
+    rows = queue.where(F.col("processing_status").isin(statuses))
+    if offset < top_rows:
+        return rows.orderBy("id").offset(offset).limit(1).select("id")
+    found = id_at(rows, offset, top_rows)
+    return queue.sparkSession.createDataFrame([] if found is None else [(found,)], "id long")
+
+
+def claim_batch(
+    queue: DataFrame, n: int, statuses: list[str], worker: str, at: datetime, min_id: int | None = None, top_rows: int = TOP_ROWS
+) -> DataFrame:
     """Up to `n` rows of these statuses that nobody has claimed, the least ids first, stamped with worker and time.
 
-    Where all are to be claimed nothing is sorted, and a large `n` is cut by the n-th id, so that only ids are gathered.
+    More than `top_rows` aren't sorted: the id after the last one is found by counts, and rows below it are claimed.
     """
     free = queue.where(F.col("processing_status").isin(statuses) & F.col("claimed_by").isNull())
     if min_id is not None:
         free = free.where(F.col("id") >= min_id)
-    if n <= TOP_ROWS:
+    if n <= top_rows:
         free = free.orderBy("id").limit(max(0, n))
-    elif free.count() > n:
-        free = free.where(F.col("id") <= F.lit(free.select("id").orderBy("id").limit(n).agg(F.max("id")).first()[0]))
+    elif (end := id_at(free, n, top_rows)) is not None:
+        free = free.where(F.col("id") < end)
     return free.withColumns({"claimed_by": F.lit(worker), "claimed_at": F.lit(at)})
 
 

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -29,6 +30,37 @@ def test_claims(spark):
     assert [r["id"] for r in load_queue(queue, offset=1).collect()] == [2, 3, 5]
 
 
+@pytest.mark.parametrize("ids", ["even", "clusters", "widest", "one"])
+def test_ids_at_places_by_counts(spark, ids):
+    rnd = random.Random(3)
+    known = {
+        "even": range(-300, 700),
+        "clusters": [rnd.choice([0, 10**6, 10**15, -(10**12)]) + rnd.randrange(300) for _ in range(900)],
+        "widest": [-(2**63), 2**63 - 1, *(rnd.randrange(-(2**63), 2**63) for _ in range(500))],
+        "one": [7] * 300,
+    }[ids]
+    df = spark.createDataFrame([(i,) for i in [*known, None]], "id long").repartition(3)
+    want = sorted(known)
+    for place in (0, 1, len(want) // 2, len(want) - 1):
+        assert j.id_at(df, place, top_rows=5, ranges=16) == want[place]
+    assert j.id_at(df, len(want), 5, 16) is None and j.id_at(df, -1, 5, 16) is None and j.id_at(df.limit(0), 0) is None
+
+
+def test_deep_offsets_and_large_claims_sort_no_more_than_allowed(spark):
+    queue = spark.createDataFrame([row(i * i, claimed="x" if i % 7 == 0 else None) for i in range(400)], QUEUE)
+    deep = load_queue(queue, limit=100, offset=200, top_rows=30)
+    assert [r["id"] for r in deep.collect()] == [i * i for i in range(200, 300)]
+    plan = deep._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "GlobalLimit" not in plan and "PushedFilters" not in plan
+    assert [r["id"] for r in load_queue(queue, limit=100, offset=350, top_rows=30).collect()] == [i * i for i in range(350, 400)]
+    assert load_queue(queue, limit=100, offset=400, top_rows=30).count() == 0
+    assert [r["id"] for r in load_queue(queue, limit=60, top_rows=30).collect()] == [i * i for i in range(60)]
+    assert [r["id"] for r in j.start_id(queue, ["pending"], 399, 30).collect()] == [399 * 399] and j.start_id(queue, ["pending"], 400, 30).count() == 0
+    free = [i * i for i in range(400) if i % 7]
+    assert sorted(r["id"] for r in j.claim_batch(queue, 100, ["pending"], "w", AT, 16, 30).collect()) == [i for i in free if i >= 16][:100]
+    assert j.claim_batch(queue, 1000, ["pending"], "w", AT, top_rows=30).count() == len(free)
+
+
 @pytest.mark.parametrize(
     ("kind", "success", "retry", "status", "after"),
     [
