@@ -152,37 +152,66 @@ def find_contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, k: i
 
 
 def _joined(docs: DataFrame, items: DataFrame, span: int, k: int) -> DataFrame:
-    """As find_contamination(), for items of any size: fingerprints meet by a join, then the windows of those that met.
+    """As find_contamination(), for items of any size: distinct fingerprints of texts meet those of items by a join, then
+    windows are made of the texts that met, where their fingerprint did, and meet those of items.
 
-    Joins are on hashes, whose rows on the documents' side Spark may split where one is frequent; what is gathered for one
-    text are the places and items of its own hits.
+    Windows of n words, `span` or those of shorter items, have the least of their (n + 1) // 2-gram hashes for a fingerprint
+    (k-gram where n is `span`), so about 2 in n - k + 2 words give one. Joins are on hashes, whose rows on the documents'
+    side Spark may split where one is frequent; what is gathered for one text are its own fingerprints that met, and the
+    places and items of its hits.
     """
 
-    def emit(batches: Iterator[pa.RecordBatch], of_items: bool, lengths: list[int]) -> Iterator[pa.RecordBatch]:
+    def made(w: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, fingerprints, hashes) of all windows of n words, to be told from those of other lengths."""
+        starts, least, hashes = windows(w.hashes, w.bounds, n, k if n == span else (n + 1) // 2)
+        return starts, least ^ np.uint64(n), hashes ^ np.uint64(n)
+
+    def item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for w in hashed_words(batch.column(1)):
+                text_of, sizes = np.repeat(np.arange(len(w)), np.diff(w.bounds)), np.diff(w.bounds)
+                for n in np.unique(np.minimum(sizes[sizes > 0], span)).tolist():
+                    starts, least, hashes = made(w, n)
+                    own = np.minimum(sizes[text_of[starts]], span) == n
+                    texts = batch.column(0).take(pa.array(text_of[starts][own] + w.first))
+                    columns = [texts, *[pa.array(x[own].view(np.int64)) for x in (least, hashes)], pa.array(np.full(int(own.sum()), n))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["item_id", "print", "hash", "n"])
+
+    of_items = staged(items.mapInArrow(item_windows, "item_id string, print long, hash long, n long").distinct(), "item_windows")
+    lengths = sorted(r["n"] for r in of_items.select("n").distinct().collect())  # at most `span` numbers
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for w in hashed_words(batch.column(1)):
-                text_of, sizes = np.repeat(np.arange(len(w)), np.diff(w.bounds)) + w.first, np.diff(w.bounds)
-                starts, least, hashes = windows(w.hashes, w.bounds, span, k)
-                parts = [(starts, least, hashes, span)]
-                for n in lengths or sorted(set(sizes[(sizes > 0) & (sizes < span)].tolist())) * of_items:
-                    starts, hashes = _short(w.hashes, w.bounds, n)
-                    own = sizes[text_of[starts] - w.first] == n if of_items else np.ones(len(starts), dtype=bool)
-                    parts.append((starts[own], hashes[own], hashes[own], n))
-                starts, least, hashes = (np.concatenate([p[i] for p in parts]) for i in range(3))
-                n = np.repeat([p[3] for p in parts], [len(p[0]) for p in parts])
-                columns = [batch.column(0).take(pa.array(text_of[starts])), pa.array(least.view(np.int64)), pa.array(hashes.view(np.int64)), pa.array(starts - w.bounds[text_of[starts] - w.first]), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "print", "hash", "start", "n"])
-
-    made = "print long, hash long, start long, n long"
-    of_items = items.mapInArrow(lambda batches: emit(batches, True, []), f"key string, {made}").select(F.col("key").alias("item_id"), "print", "hash", "n").distinct()
-    of_items = staged(of_items, "item_windows")
-    lengths = sorted(r["n"] for r in of_items.where(F.col("n") < span).select("n").distinct().collect())
+                text_of = np.repeat(np.arange(len(w)), np.diff(w.bounds))
+                for n in lengths:
+                    starts, least, _ = made(w, n)
+                    pairs = np.unique(np.stack([text_of[starts].astype(np.uint64), least], axis=1), axis=0)
+                    texts = batch.column(0).take(pa.array(pairs[:, 0].astype(np.int64) + w.first))
+                    yield pa.RecordBatch.from_arrays([texts, pa.array(pairs[:, 1].copy().view(np.int64))], names=["key", "print"])
+
+    def met_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            met = batch.column(2)
+            values, ends = met.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.cumsum(np.append(0, met.value_lengths().to_numpy(zero_copy_only=False)))
+            for w in hashed_words(batch.column(1)):
+                text_of = np.repeat(np.arange(len(w)), np.diff(w.bounds))
+                for n in lengths:
+                    starts, least, hashes = made(w, n)
+                    edges = np.searchsorted(text_of[starts], np.arange(len(w) + 1))
+                    near = [np.flatnonzero(np.isin(least[edges[i] : edges[i + 1]], values[ends[w.first + i] : ends[w.first + i + 1]])) + edges[i] for i in range(len(w))]
+                    near = np.concatenate([np.zeros(0, dtype=np.int64), *near])
+                    own = text_of[starts[near]]
+                    columns = [batch.column(0).take(pa.array(own + w.first)), pa.array(hashes[near].view(np.int64)), pa.array(starts[near] - w.bounds[own]), pa.array(np.full(len(near), n))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "hash", "start", "n"])
+
     p = free_prefix(docs)
     keyed = docs.withColumns({p + "a": F.xxhash64("text"), p + "b": F.hash("text")})
     of_docs = keyed.select(F.struct(F.col(p + "a").alias("a"), F.col(p + "b").alias("b")).alias("key"), "text")
-    of_docs = of_docs.mapInArrow(lambda batches: emit(batches, False, lengths), f"key struct<a:long,b:int>, {made}")
-    near = of_docs.join(of_items.select("print").distinct(), "print", "left_semi")
-    hits = staged(near.join(of_items.select("hash", "item_id"), "hash").select("key", "start", "n", "item_id"), "window_hits")
+    of_prints = of_docs.mapInArrow(prints, "key struct<a:long,b:int>, print long")
+    met = of_prints.join(of_items.select("print").distinct(), "print", "left_semi").groupBy("key").agg(F.collect_set("print").alias("met"))
+    near = of_docs.join(staged(met, "met_prints"), "key").mapInArrow(met_windows, "key struct<a:long,b:int>, hash long, start long, n long")
+    hits = staged(near.join(of_items.select("hash", "item_id").distinct(), "hash").select("key", "start", "n", "item_id"), "window_hits")
     found = hits.groupBy("key").agg(F.collect_set("item_id").alias(p + "items"), F.collect_set(F.struct("start", "n")).alias(p + "marks"))
     found = found.select(F.col("key.a").alias(p + "fa"), F.col("key.b").alias(p + "fb"), F.sort_array(p + "items").alias(p + "items"), p + "marks")
     joined = keyed.join(found, (F.col(p + "a") == F.col(p + "fa")) & (F.col(p + "b") == F.col(p + "fb")), "left").select(*docs.columns, p + "items", p + "marks")

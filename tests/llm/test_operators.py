@@ -9,6 +9,7 @@ import random
 import re
 import struct
 import time
+import unicodedata
 import zlib
 
 import duckdb
@@ -16,7 +17,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyweb.llm import ngram_join, queries
+from tallyweb.llm import decontaminate, ngram_join, queries, staging
 from tallyweb.llm.chat_format import Template, chat_digest, format_chats
 from tallyweb.llm.components import components
 from tallyweb.llm.decontaminate import drop_contaminated, find_contamination
@@ -24,7 +25,7 @@ from tallyweb.llm.line_dedup import drop_repeated_lines
 from tallyweb.llm.ngram_join import keep_one_of_each, near_duplicates
 from tallyweb.llm.packing import ChunkTokenizer, pack, piece_lengths
 from tallyweb.llm.pii_surrogates import NAMES, name_entities, replace_pii
-from tallyweb.llm.quality_rules import fit_rules, held_out, keep_good, score_quality, train_quality
+from tallyweb.llm.quality_rules import fit_rules, held_out, keep_good, score_quality, train_quality, with_statistics
 from tallyweb.llm.secret_scan import Model, find_secrets, identifier_samples, random_samples, secrets_digest, train
 from tallyweb.llm.topk_search import top_k
 from tallyweb.llm.url_filter import judge_urls
@@ -317,6 +318,65 @@ def test_contamination_of_repeated_words_is_linear(spark, most):
     assert time.time() - at < 60
 
 
+def test_large_indexes_shuffle_few_fingerprints(spark):
+    """Beyond the broadcast, texts give at most 2 in w + 1 of their words, and windows only where a fingerprint met."""
+    rnd = random.Random(4)
+    shared = [f"s{rnd.randrange(10**6)}" for _ in range(60)]
+    texts = [[f"w{rnd.randrange(10**6)}" for _ in range(2000)] for _ in range(30)]
+    texts[3][500:530], texts[7][0:10] = shared[10:40], shared[50:60]
+    docs = docs_of(spark, *[(i, " ".join(t)) for i, t in enumerate(texts)])
+    items = spark.createDataFrame([("long", " ".join(shared))], "item_id string, text string")
+    written = {}
+
+    def keep(df, name):
+        written[name] = staging.staged(df, name)
+        return written[name]
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(decontaminate, "staged", keep)
+        m.setattr(type(docs), "mapInArrow", counted := Counted(type(docs).mapInArrow))
+        got = {r["doc_id"]: [tuple(x) for x in r["spans"]] for r in find_contamination(docs, items, broadcast_bytes=0).collect()}
+    assert {i: s for i, s in got.items() if s} == {3: [(500, 530)], 7: [(0, 10)]}
+    rows = {f: df.count() for f, df in counted.made.items()}
+    w = decontaminate.SPAN - decontaminate.GRAM + 1
+    assert rows["prints"] <= 1.05 * 2 / (w + 1) * sum(map(len, texts)) and rows["met_windows"] < 60
+    assert sorted(r["met"] and len(r["met"]) > 0 for r in written["met_prints"].collect()) == [True, True]
+
+
+class Counted:
+    """mapInArrow, and what it made by its function's name."""
+
+    def __init__(self, inner):
+        self.inner, self.made = inner, {}
+
+    def __get__(self, df, _):
+        def call(f, schema):
+            out = self.inner(df, f, schema)
+            self.made[f.__name__] = out
+            return out
+
+        return call
+
+
+@pytest.mark.parametrize("lengths", [(1, 2, 3), (4, 5, 9), (6, 7, 8, 10, 11)])
+def test_short_items_by_brute_force_in_both_ways(spark, lengths):
+    rnd = random.Random(sum(lengths))
+    word = lambda: rnd.choice("abcdefg")
+    text = lambda n: " ".join(word() for _ in range(n))
+    items = [(str(n), text(n)) for n in lengths]
+    docs = docs_of(spark, *[(i, f"{text(rnd.randrange(0, 90))} {rnd.choice(items)[1] if i % 3 else ''} {text(i % 5)}") for i in range(60)], (60, None))
+    items = spark.createDataFrame(items, "item_id string, text string")
+    read = lambda most: sorted((r["doc_id"], r["n_words"], r["n_hit"], r["items"], [tuple(x) for x in r["spans"]]) for r in find_contamination(docs, items, broadcast_bytes=most).collect())
+    got = read(0)
+    assert got == read(1 << 25) and any(r[2] for r in got)
+    parts = [i["text"].split() for i in items.collect()]
+    for r in docs.collect():
+        w, hit = (r["text"] or "").split(), set()
+        for of in [p[i : i + 10] for p in parts for i in range(max(1, len(p) - 9))]:
+            hit |= {j for i in range(len(w) - len(of) + 1) if w[i : i + len(of)] == of for j in range(i, i + len(of))}
+        assert next(x for x in got if x[0] == r["doc_id"])[1:3] == (len(w), len(hit))
+
+
 # --- N-gram join
 
 def test_near_duplicates_by_brute_force(spark):
@@ -597,6 +657,34 @@ def test_rules_find_a_conjunction():
     assert np.mean((score > 0) == (y == 1)) > 0.97
 
 
+def test_statistics_and_scores_by_plain_python(spark, odd):
+    """The eleven statistics and the compiled column score, of whole texts, against plain versions."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = train_quality(docs, labels)
+    assert len(model.rules) > 3
+    stats, names = with_statistics(docs)
+    scored = score_quality(stats, model).collect()
+    assert len(scored) == docs.count()
+    ratio = lambda a, b: a / b if b else 0.0
+    of = lambda t, test: sum(map(test, t))
+    kinds = {c: unicodedata.category(c) for r in scored for c in set(r["text"] or "")}
+    for r in scored:
+        t = r["text"] or ""
+        w = [x for x in re.split(r"[ \t\n\x0b\f\r]+", t) if x]
+        symbols = of(t, lambda c: kinds[c][0] not in "LN" and c not in " \t\n\x0b\f\r.,;:'\"!?()-")
+        upper, digits = of(t, lambda c: kinds[c] == "Lu"), of(t, lambda c: kinds[c] == "Nd")
+        n, different, breaks = len(w), len(set(w)), t.count("\n")
+        want = [
+            math.log1p(len(t)), math.log1p(n), (len(t) - breaks) / (n + 1), ratio(different, n), ratio(different, n**0.5), ratio(symbols, n),
+            ratio(upper, len(t)), ratio(digits, len(t)), ratio(of(t, ".,;:".__contains__), n), ratio(of(t, "!?".__contains__), n), ratio(breaks, n),
+        ]
+        got = [r[x] for x in names]
+        assert got == pytest.approx(want, rel=1e-12), r["doc_id"]
+        total = model.intercept + sum(rule.weight for rule in model.rules if all((got[j] > at) == above for j, above, at in rule.tests))
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-total)), rel=1e-9) and r["predicted"] == (r["score"] >= 0.5)
+
+
 # --- Clashing names
 
 def test_names_that_clash(spark):
