@@ -18,7 +18,7 @@ from ..sources.staged import staged
 from .json_walk import walk_json
 from .nodes import text_of_element, with_text
 from .products import first_per_page, valid_products
-from .selectors import attr, first_nonempty_selector, looks_like_card, matches, matching_ranks
+from .selectors import attr, first_nonempty_selector, looks_like_card, matches, matching_marks, matching_ranks
 
 DOM, JSON_LD, MICRODATA, INLINE_JSON, HEURISTIC, LINKED_IMAGES = range(1, 7)
 CARD_TAGS, SCOPE_TAGS = ["li", "div", "article"], ["main", "section", "div"]
@@ -67,12 +67,9 @@ def card_fields(cards: DataFrame, nodes: DataFrame, parsed: DataFrame) -> DataFr
     """(page_id, node_id, product fields) of distinct cards (page_id, node_id, piece_start, piece_count)."""
     looked_up = card_values()
 
-    def marks(field: int, group: list[str]) -> Column:
-        return F.transform(matching_ranks(group), lambda rank: F.struct(F.lit(field).alias("field"), rank.alias("rank")))
-
     # the first match of each selector in each card: places and ranks only are dealt to the elements around
     marked = nodes.join(cards.select("page_id").distinct(), "page_id", "left_semi")
-    marked = marked.select("page_id", F.col("node_id").alias("at"), "ancestors", F.concat(*[marks(i, group) for i, (group, _) in enumerate(looked_up.values())]).alias("marks"))
+    marked = marked.select("page_id", F.col("node_id").alias("at"), "ancestors", matching_marks([group for group, _ in looked_up.values()]).alias("marks"))
     dealt = marked.where(F.size("marks") > 0).select("page_id", "at", "marks", F.explode("ancestors").alias("node_id"))
     inside = dealt.join(cards.select("page_id", "node_id"), ["page_id", "node_id"]).select("page_id", "node_id", "at", F.inline("marks"))
     first = staged(inside.groupBy("page_id", "node_id", "field", "rank").agg(F.min("at").alias("at")), "first_matches")

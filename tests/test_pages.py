@@ -1,4 +1,5 @@
 import json
+import random
 import re
 import time
 
@@ -7,11 +8,12 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tallyweb.functions import fixed
 from tallyweb.operators import strategies as s
 from tallyweb.operators.json_walk import blobs, deep_loads, pieces
 from tallyweb.operators.nodes import node_rows, parse_nodes, with_text
 from tallyweb.operators.products import cap_per_page, merge_by_url
-from tallyweb.operators.selectors import matches
+from tallyweb.operators.selectors import _parts, matches, matching_marks, matching_ranks
 from tallyweb.plans import ladder
 
 SCHEMA = "page_id long, url string, html string"
@@ -181,3 +183,24 @@ def test_merge(spark):
     assert [tuple(r) for r in merged.select("title", "price", "in_stock").orderBy("page_id").collect()] == [("A", 5.0, True), ("A", 0.0, False)]
     assert sorted(map(tuple, merge_by_url(merged).select("page_id", "title").collect())) == sorted(map(tuple, merged.select("page_id", "title").collect()))
     assert cap_per_page(merged, 1).count() == 2
+
+
+def test_the_index_of_selectors_by_their_own_tests(spark):
+    """Elements that hold parts of all groups' selectors, whole or nearly, against matches() of each selector alone."""
+    rnd = random.Random(11)
+    groups = [*fixed.SELECTORS.values(), ['a[href^="http"]', 'img[src$=".PNG" i]', "li.item.big[title]", 'p[title=""]', 'b[x*=""], i', "li.item, li[title]"]]
+    attrs = sorted({m["attr"].lower() for g in groups for sel in g for c in sel.split(",") for m in _parts(c.strip()) if m["attr"]} | {"class", "id"})
+    values = sorted({m["value"] for g in groups for sel in g for c in sel.split(",") for m in _parts(c.strip()) if m["value"]})
+    tags = sorted({m["tag"].lower() for g in groups for sel in g for c in sel.split(",") for m in _parts(c.strip()) if m["tag"]} | {"b", "em"})
+    value = lambda: rnd.choice(["", "products", "item big", "big\titem", "x.png", "https://a", *[rnd.choice(["", "pre ", "X"]) + rnd.choice([v, v.upper(), v[:-1]]) for v in rnd.choices(values, k=6)]])
+    rows = [(i, rnd.choice(tags), {a: value() for a in rnd.sample(attrs, rnd.randrange(5))}) for i in range(1500)]
+    rows += [(1500, None, {"class": "item"}), (1501, "li", None), (1502, "a", {"href": None}), (1503, "a", {"href": "https://x"}), (1504, "img", {"src": "x.png"})]
+    rows += [(1505, "li", {"class": "big  item", "title": ""}), (1506, "p", {"title": ""}), (1507, "i", {}), (1508, "li", {"title": "x"})]
+    df = spark.createDataFrame(rows, "id int, tag string, attrs map<string,string>")
+    alone = [F.when(matches(sel), F.struct(F.lit(f).alias("field"), F.lit(r).alias("rank"))) for f, g in enumerate(groups) for r, sel in enumerate(g)]
+    got = {r["id"]: [tuple(m) for m in r["marks"]] for r in df.select("id", matching_marks(groups).alias("marks")).collect()}
+    want = {r["id"]: [tuple(m) for m in r["w"]] for r in df.select("id", F.array_compact(F.array(*alone)).alias("w")).collect()}
+    assert got == want and {m for ms in got.values() for m in ms} >= {(len(groups) - 1, r) for r in (0, 1, 2, 3, 5)}
+    assert len({m for ms in got.values() for m in ms}) > 60
+    ranks = {r["id"]: r["r"] for r in df.select("id", matching_ranks(groups[1]).alias("r")).collect()}
+    assert ranks == {i: [r for f, r in ms if f == 1] for i, ms in want.items()}
