@@ -427,7 +427,7 @@ def _full(spark: SparkSession, sf_dir: str, kind: str) -> tuple[DataFrame, DataF
 def _(spark, sf):
     parsed, _ = _full(spark, sf, "cards")
     nodes = node_rows(parsed)
-    return s.card_fields(nodes.where("tag = 'li'").select("page_id", "node_id", "piece_start", "piece_count"), nodes, parsed).select(*_FULL_FIELDS)
+    return s.card_fields(nodes.where("tag = 'li'").select("page_id", "node_id", "subtree_end", "piece_start", "piece_count"), nodes, parsed).select(*_FULL_FIELDS)
 
 
 @query("e8_ld_fields", _full_sql("EUR"))
@@ -500,7 +500,7 @@ def _part_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     CASE kind WHEN 0 THEN 5 WHEN 1 THEN 3 WHEN 2 THEN 4 WHEN 3 THEN 4 WHEN 4 THEN 7 ELSE 6 END AS depth, (kind IN (1, 3))::BIGINT AS scripts FROM {_PAGES_SQL}""",
 )
 def _(spark, sf):
-    deepest = F.array_max(F.transform("nodes", lambda n: F.size(n["ancestors"]) + 1))
+    deepest = F.array_max(F.transform("nodes", lambda n: n["depth"]))
     parsed = parse_nodes(part_pages(table(spark, sf, "part")))
     return parsed.select("page_id", F.size("nodes").cast("bigint").alias("elements"), deepest.alias("depth"), F.size("scripts").cast("bigint").alias("scripts"))
 

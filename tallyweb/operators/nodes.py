@@ -3,11 +3,13 @@
 One small vectorised helper reads HTML with the standard library's tokeniser and keeps a tree; all that is decided about
 elements afterwards is columns. Text is kept once a page, as an array of pieces, and elements point into it: theirs are put
 together by with_text() where they are looked at, so element rows don't hold a text once for each element around it.
+Elements are numbered in document order, and each knows where the numbers of those inside it end: they are
+node_id + 1 to subtree_end - 1 (see containment.py). A page's rows grow with its elements, whatever their depth.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -34,7 +36,7 @@ BLOCKS = frozenset(
 #: An open element isn't closed from beyond one of these
 WALLS = frozenset(("ul", "ol", "dl", "table", "select", "html", "body", "td", "th"))
 
-NODE = "struct<node_id:int,parent_id:int,ancestors:array<int>,tag:string,attrs:map<string,string>,piece_start:int,piece_count:int,displayed:boolean,blacklisted:boolean>"
+NODE = "struct<node_id:int,parent_id:int,depth:int,subtree_end:int,tag:string,attrs:map<string,string>,piece_start:int,piece_count:int,displayed:boolean,blacklisted:boolean>"
 PARSED = f"page_id long, url string, pieces array<string>, nodes array<{NODE}>, scripts array<struct<node_id:int,type:string,text:string>>"
 
 
@@ -43,25 +45,28 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes: list[dict] = []
         self.open: list[int] = []
+        self.places: dict[str, list[int]] = {}  # by tag, where in `open` such elements are
         self.pieces: list[str] = []
         self.scripts: list[dict] = []
 
     def _close(self, depth: int) -> None:
         while len(self.open) > depth:
             node = self.nodes[self.open.pop()]
+            self.places[node["tag"]].pop()
+            node["subtree_end"] = len(self.nodes)
             node["piece_count"] = len(self.pieces) - node["piece_start"]
             if node["tag"] in BLOCKS and node["displayed"]:
                 self.pieces.append("\n")
 
+    def _nearest(self, tags: Iterable[str]) -> int:
+        """The depth of the nearest open element of the tags, or -1."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         ends = CLOSES.get(tag, ()) + (("p",) if tag in BLOCKS else ())
-        for depth in range(len(self.open) - 1, -1, -1):
-            above = self.nodes[self.open[depth]]["tag"]
-            if above in ends:
-                self._close(depth)
-                break
-            if above in WALLS and not (tag == "tr" and above in ("td", "th")):
-                break
+        nearest = self._nearest(ends)
+        if nearest >= max(0, self._nearest(WALLS - {"td", "th"} if tag == "tr" else WALLS)):
+            self._close(nearest)
         parent = self.nodes[self.open[-1]] if self.open else None
         given = {k: v if v is not None else "" for k, v in reversed(attrs)}  # the first of repeated attributes counts
         style = "".join(given.get("style", "").lower().split())
@@ -70,13 +75,14 @@ class _Tree(HTMLParser):
             self.pieces.append("\n")
         if tag == "br" and seen:
             self.pieces.append("\n")
-        near = [self.nodes[i]["tag"] for i in self.open[::-1][: fixed.SECTION_STEPS]]
+        near = [self.nodes[i]["tag"] for i in self.open[: -fixed.SECTION_STEPS - 1 : -1]]
         lineage = [tag, *near]
         stop = next((i for i, t in enumerate(lineage) if t in ("body", "html")), len(lineage))
         node = {
             "node_id": len(self.nodes),
             "parent_id": self.open[-1] if self.open else None,
-            "ancestors": list(self.open),
+            "depth": len(self.open) + 1,
+            "subtree_end": len(self.nodes) + 1,
             "tag": tag,
             "attrs": given,
             "piece_start": len(self.pieces),
@@ -88,13 +94,13 @@ class _Tree(HTMLParser):
         if tag == "script":
             self.scripts.append({"node_id": node["node_id"], "type": given.get("type", ""), "text": ""})
         if tag not in VOID:
+            self.places.setdefault(tag, []).append(len(self.open))
             self.open.append(node["node_id"])
 
     def handle_endtag(self, tag: str) -> None:
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.nodes[self.open[depth]]["tag"] == tag:
-                self._close(depth)
-                return
+        nearest = self._nearest([tag])
+        if nearest >= 0:
+            self._close(nearest)
 
     def parse_html_declaration(self, i: int) -> int:
         try:
@@ -127,7 +133,7 @@ def parse_nodes(pages: DataFrame) -> DataFrame:
     """(page_id, url, pieces, nodes, scripts) of pages (page_id, url, html).
 
     Void elements have no content; p, li, dt, dd, option and table cells may be left open, and what is open at the end is
-    closed there. `pieces` make up the text of displayed elements in order, and an element has `piece_count` of them from
+    closed there. `depth` counts from 1. `pieces` make up the text of displayed elements in order, and an element has `piece_count` of them from
     `piece_start` on; scripts are apart.
     An element isn't displayed if it or one above is hidden by attribute or inline style, or is of the head or a script.
     """

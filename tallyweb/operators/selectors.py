@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import clean_text, contains_any, or_null
+from .containment import following
 from .nodes import with_text
 
 _TOKEN = re.compile(
@@ -110,10 +111,10 @@ def matching_ranks(group: list[str]) -> Column:
 
 
 def first_nonempty_selector(nodes: DataFrame, group: list[str]) -> DataFrame:
-    """(page_id, node_id, rank): of each page, the displayed elements that match the first selector which any matches."""
-    hits = nodes.where("displayed").select("page_id", "node_id", F.explode(matching_ranks(group)).alias("rank"))
+    """(page_id, node_id, subtree_end, rank): of each page, the displayed elements that match the first selector which any matches."""
+    hits = nodes.where("displayed").select("page_id", "node_id", "subtree_end", F.explode(matching_ranks(group)).alias("rank"))
     best = hits.groupBy("page_id").agg(F.min("rank").alias("rank"))
-    return hits.join(best, ["page_id", "rank"]).select("page_id", "node_id", "rank")
+    return hits.join(best, ["page_id", "rank"]).select("page_id", "node_id", "subtree_end", "rank")
 
 
 def element_text(text: Column) -> Column:
@@ -131,10 +132,11 @@ IMAGES = "img[src], img[data-src], img[data-original]"
 def looks_like_card(nodes: DataFrame, cards: DataFrame, parsed: DataFrame) -> DataFrame:
     """(page_id, node_id) of `cards` with a link inside, and an image inside or a price-like text. Texts are read of those
     without an image only."""
-    inside = nodes.select("page_id", F.explode("ancestors").alias("node_id"), matches("a[href]").alias("link"), matches(IMAGES).alias("image")).where("link OR image")
-    found = inside.groupBy("page_id", "node_id").agg(F.bool_or("link").alias("link"), F.bool_or("image").alias("image"))
+    found = nodes.select("page_id", "node_id", "subtree_end", matches("a[href]").alias("link"), matches(IMAGES).alias("image"))
+    within = lambda test: F.coalesce(following(F.when(F.col(test), F.col("node_id"))) < F.col("subtree_end"), F.lit(False)).alias(test)
+    found = found.select("page_id", "node_id", within("link"), within("image")).where("link")
     priced = F.coalesce(contains_any(F.lower("text"), fixed.PRICE_TOKENS), F.lit(False))
-    linked = cards.select("page_id", "node_id", "piece_start", "piece_count").join(found, ["page_id", "node_id"]).where("link")
+    linked = cards.select("page_id", "node_id", "piece_start", "piece_count").join(found, ["page_id", "node_id"])
     told = with_text(linked.where("NOT image"), parsed).where(priced)
     return linked.where("image").select("page_id", "node_id").unionByName(told.select("page_id", "node_id"))
 

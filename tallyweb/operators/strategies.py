@@ -1,8 +1,8 @@
 """Six ways to find product candidates on a page. Each gives (page_id, rung, pos, product fields) of valid candidates, the
 first `max_items` of a page by `pos`, before any merging.
 
-`nodes` are node_rows() of the `parsed` pages. What JSON says takes `urls` (page_id, url), too. Elements meet the cards they are in by
-their list of ancestors, an equi-join, so that the work grows with elements times depth and not with cards times elements.
+`nodes` are node_rows() of the `parsed` pages. What JSON says takes `urls` (page_id, url), too. Elements meet what they are inside of
+by aligned blocks of their numbers (containment.py), an equi-join, so the work grows neither with depth nor with cards times elements.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from ..functions.text import clean_text, extract_price_text, first_full, infer_i
 from ..functions.urls import is_potential_product_href, to_absolute
 from ..schemas import CANDIDATES, PRODUCT_NAMES
 from ..sources.staged import staged
+from .containment import folded_inside, following, inside
 from .json_walk import walk_json
 from .nodes import text_of_element, with_text
 from .products import first_per_page, valid_products
@@ -64,15 +65,14 @@ def card_values() -> dict[str, tuple[list[str], Column]]:
 
 
 def card_fields(cards: DataFrame, nodes: DataFrame, parsed: DataFrame) -> DataFrame:
-    """(page_id, node_id, product fields) of distinct cards (page_id, node_id, piece_start, piece_count)."""
+    """(page_id, node_id, product fields) of distinct cards (page_id, node_id, subtree_end, piece_start, piece_count)."""
     looked_up = card_values()
 
-    # the first match of each selector in each card: places and ranks only are dealt to the elements around
+    # the first match of each selector in each card, from places and ranks only
     marked = nodes.join(cards.select("page_id").distinct(), "page_id", "left_semi")
-    marked = marked.select("page_id", F.col("node_id").alias("at"), "ancestors", matching_marks([group for group, _ in looked_up.values()]).alias("marks"))
-    dealt = marked.where(F.size("marks") > 0).select("page_id", "at", "marks", F.explode("ancestors").alias("node_id"))
-    inside = dealt.join(cards.select("page_id", "node_id"), ["page_id", "node_id"]).select("page_id", "node_id", "at", F.inline("marks"))
-    first = staged(inside.groupBy("page_id", "node_id", "field", "rank").agg(F.min("at").alias("at")), "first_matches")
+    marks = F.inline(matching_marks([group for group, _ in looked_up.values()]))
+    marked = marked.select("page_id", F.col("node_id").alias("at"), marks)
+    first = staged(folded_inside(marked, cards, ["field", "rank"], {"at": (F.min, F.col("at"))}), "first_matches")
 
     # texts and values are read of these alone, once an element
     wanted = first.groupBy("page_id", "at").agg(F.collect_list(F.struct("node_id", "field", "rank")).alias("wanted"))
@@ -86,7 +86,7 @@ def card_fields(cards: DataFrame, nodes: DataFrame, parsed: DataFrame) -> DataFr
     wide = by_rank.groupBy("page_id", "node_id").agg(
         *[F.min_by("value", F.when(F.col("field") == i, F.col("rank"))).alias(f"v_{name}") for i, name in enumerate(looked_up)]
     )
-    rows = cards.join(wide, ["page_id", "node_id"], "left").join(parsed.select("page_id", "url", "pieces"), "page_id")
+    rows = cards.drop("subtree_end").join(wide, ["page_id", "node_id"], "left").join(parsed.select("page_id", "url", "pieces"), "page_id")
     v = lambda name: F.col(f"v_{name}")
     rows = rows.withColumn("raw_price", F.coalesce(v("price"), extract_price_text(text_of_element())))
     price = parse_price(F.col("raw_price"))
@@ -124,7 +124,7 @@ def _of_cards(places: DataFrame, nodes: DataFrame, parsed: DataFrame, rung: int,
     to make than to run.
     """
     places = staged(places, "places")
-    spans = nodes.select("page_id", "node_id", "piece_start", "piece_count")
+    spans = nodes.select("page_id", "node_id", "subtree_end", "piece_start", "piece_count")
     cards = staged(places.select("page_id", "node_id").distinct().join(spans, ["page_id", "node_id"]), "cards")
     return _candidates(places.join(card_fields(cards, nodes, parsed), ["page_id", "node_id"]), rung, max_items)
 
@@ -132,10 +132,9 @@ def _of_cards(places: DataFrame, nodes: DataFrame, parsed: DataFrame, rung: int,
 def extract_dom(nodes: DataFrame, parsed: DataFrame, max_items: int = fixed.MAX_ITEMS) -> DataFrame:
     """Cards within result containers; on pages without containers, cards anywhere; failing these, what looks like one."""
     group = fixed.SELECTORS["product_cards"]
-    ranked = staged(nodes.where("displayed").select("page_id", "node_id", "ancestors", F.explode(matching_ranks(group)).alias("rank")), "ranked")
+    ranked = staged(nodes.where("displayed").select("page_id", "node_id", F.explode(matching_ranks(group)).alias("rank")), "ranked")
     containers = staged(first_nonempty_selector(nodes, fixed.SELECTORS["result_containers"]), "containers")
-    contained = ranked.select("page_id", F.col("node_id").alias("card"), "rank", F.explode("ancestors").alias("node_id"))
-    contained = contained.join(containers.select("page_id", "node_id"), ["page_id", "node_id"])
+    contained = inside(ranked.withColumnRenamed("node_id", "card"), containers.drop("rank"), "card")
     contained = contained.select("page_id", F.col("card").alias("node_id"), _pos("node_id", "rank", "card"))
     with_containers = containers.select("page_id").distinct()
 
@@ -156,11 +155,11 @@ def extract_dom(nodes: DataFrame, parsed: DataFrame, max_items: int = fixed.MAX_
 def extract_heuristic(nodes: DataFrame, parsed: DataFrame, max_items: int = fixed.MAX_ITEMS) -> DataFrame:
     """What looks like a card, once for each section that holds it."""
     usable = nodes.where(F.col("displayed") & ~F.col("blacklisted"))
-    scopes = usable.where(F.col("tag").isin(SCOPE_TAGS)).select("page_id", F.col("node_id").alias("scope"))
+    scopes = usable.where(F.col("tag").isin(SCOPE_TAGS)).select("page_id", "node_id", "subtree_end")
     cards = usable.where(F.col("tag").isin(CARD_TAGS))
-    cards = cards.join(looks_like_card(nodes, cards, parsed), ["page_id", "node_id"])
-    places = cards.select("page_id", "node_id", F.explode("ancestors").alias("scope")).join(scopes, ["page_id", "scope"])
-    return _of_cards(places.select("page_id", "node_id", _pos("scope", "node_id")), nodes, parsed, HEURISTIC, max_items)
+    cards = looks_like_card(nodes, cards, parsed).withColumnRenamed("node_id", "card")
+    places = inside(cards, scopes, "card").select("page_id", F.col("card").alias("node_id"), _pos("node_id", "card"))
+    return _of_cards(places, nodes, parsed, HEURISTIC, max_items)
 
 
 def extract_linked_images(nodes: DataFrame, parsed: DataFrame, max_items: int = fixed.MAX_ITEMS) -> DataFrame:
@@ -169,11 +168,11 @@ def extract_linked_images(nodes: DataFrame, parsed: DataFrame, max_items: int =
     anchors = anchors.withColumn("href", to_absolute(F.col("url"), attr("href"))).where(is_potential_product_href(F.col("href")))
     anchors = anchors.select("page_id", "node_id", "parent_id", "url", "href", clean_text(first_full(attr("title"), text_of_element())).alias("title"))
     source = first_full(*[attr(a) for a in ("src", "data-src", "data-original", "data-srcset")])
-    images = nodes.where(matches(ANY_IMAGE)).select("page_id", F.col("node_id").alias("image"), source.alias("source"), F.explode("ancestors").alias("holder"))
-    first = images.groupBy("page_id", "holder").agg(F.min_by(F.struct("source"), "image").alias("i"))
-    inside = first.select("page_id", F.col("holder").alias("node_id"), F.col("i").alias("own"))
-    beside = first.select("page_id", F.col("holder").alias("parent_id"), F.col("i").alias("near"))
-    rows = anchors.join(inside, ["page_id", "node_id"], "left").join(beside, ["page_id", "parent_id"], "left")
+    image = F.when(matches(ANY_IMAGE), F.struct("node_id", source.alias("source")))
+    first = nodes.select("page_id", "node_id", "subtree_end", following(image).alias("i")).where(F.col("i.node_id") < F.col("subtree_end"))
+    own = first.select("page_id", "node_id", F.struct("i.source").alias("own"))
+    near = first.select("page_id", F.col("node_id").alias("parent_id"), F.struct("i.source").alias("near"))
+    rows = anchors.join(own, ["page_id", "node_id"], "left").join(near, ["page_id", "parent_id"], "left")
     rows = rows.withColumn("img", F.coalesce("own", "near")).where("img IS NOT NULL")
     blank = {f.name: f.dataType for f in CANDIDATES.fields if f.name in PRODUCT_NAMES}
     return _candidates(
@@ -245,31 +244,31 @@ MICRODATA_LAST = {
 def extract_microdata(nodes: DataFrame, parsed: DataFrame, max_items: int = fixed.MAX_ITEMS) -> DataFrame:
     """Elements that are products by itemtype, with the properties beneath them, those of nested scopes too."""
     scopes = nodes.where(~F.col("blacklisted") & matches('[itemscope][itemtype*="Product" i]'))
-    scopes = scopes.select("page_id", F.col("node_id").alias("scope"), attr("itemid").alias("itemid"))
+    scopes = scopes.select("page_id", "node_id", "subtree_end", attr("itemid").alias("itemid"))
     key = F.lower(attr("itemprop"))
     value = clean_text(first_full(attr("content"), attr("href"), attr("src"), F.col("text")))
     told = with_text(nodes.where(attr("itemprop").isNotNull()), parsed)
-    props = told.select("page_id", F.col("node_id").alias("at"), "ancestors", key.alias("key"), value.alias("value"), _shown().alias("shown"))
     # a brand that says almost nothing is read from the first name beneath it
-    names = told.where(matches('[itemprop="name"]')).select("page_id", F.col("node_id").alias("name_at"), _shown().alias("name"), F.explode("ancestors").alias("at"))
-    names = names.groupBy("page_id", "at").agg(F.min_by(F.struct("name"), "name_at").alias("nested"))
-    props = props.join(names, ["page_id", "at"], "left")
-    thin = (F.col("key") == "brand") & (F.coalesce(F.length("value"), F.lit(0)) <= 2) & F.col("nested").isNotNull()
-    props = props.withColumn("value", F.when(thin, F.col("nested.name")).otherwise(F.col("value")))
-    owned = props.select("page_id", "at", "key", "value", F.explode("ancestors").alias("scope")).join(scopes.select("page_id", "scope"), ["page_id", "scope"])
-    at = lambda keys: F.when(F.col("key").isin(keys) & F.col("value").isNotNull(), F.col("at"))
-    folded = owned.groupBy("page_id", "scope").agg(
-        *[F.min_by("value", at(keys)).alias(name) for name, keys in MICRODATA_FIRST.items()],
-        *[F.max_by("value", at(keys)).alias(name) for name, keys in MICRODATA_LAST.items()],
-        # the last price counts even if it is empty
-        F.max_by(F.struct("value"), F.when(F.col("key") == "price", F.col("at"))).alias("last_price"),
+    name = F.when(matches('[itemprop="name"]'), F.struct("node_id", _shown().alias("name")))
+    props = told.select("page_id", F.col("node_id").alias("at"), key.alias("key"), value.alias("value"), "subtree_end", following(name).alias("nested"))
+    beneath = F.col("nested.node_id") < F.col("subtree_end")
+    thin = (F.col("key") == "brand") & (F.coalesce(F.length("value"), F.lit(0)) <= 2) & F.coalesce(beneath, F.lit(False))
+    props = props.select("page_id", "at", "key", F.when(thin, F.col("nested.name")).otherwise(F.col("value")).alias("value"))
+    # the first and the last value of each property; a price counts even if it is empty
+    props = props.where(F.col("value").isNotNull() | (F.col("key") == "price"))
+    found = folded_inside(props, scopes, ["key"], {"first": (F.min, F.struct("at", "value")), "last": (F.max, F.struct("at", "value"))})
+    of = lambda keys, end: F.when(F.col("key").isin(keys), F.col(end))
+    folded = found.groupBy("page_id", "node_id").agg(
+        *[F.min(of(keys, "first"))["value"].alias(name) for name, keys in MICRODATA_FIRST.items()],
+        *[F.max(of(keys, "last"))["value"].alias(name) for name, keys in MICRODATA_LAST.items()],
+        F.max(of(["price"], "last"))["value"].alias("raw_price"),
     )
-    rows = scopes.join(folded, ["page_id", "scope"], "left").join(parsed.select("page_id", "url"), "page_id").withColumn("raw_price", F.col("last_price.value"))
+    rows = scopes.join(folded, ["page_id", "node_id"], "left").join(parsed.select("page_id", "url"), "page_id")
     price = parse_price(F.col("raw_price"))
     return _candidates(
         rows.select(
             "page_id",
-            _pos("scope"),
+            _pos("node_id"),
             "title",
             to_absolute(F.col("url"), F.coalesce("itemid", "link")).alias("product_url"),
             to_absolute(F.col("url"), F.col("image")).alias("image_url"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyweb.functions import fixed
 from tallyweb.operators import strategies as s
+from tallyweb.operators.containment import folded_inside, following, inside
 from tallyweb.operators.json_walk import blobs, deep_loads, pieces
 from tallyweb.operators.nodes import node_rows, parse_nodes, with_text
 from tallyweb.operators.products import cap_per_page, merge_by_url
@@ -176,6 +177,59 @@ def test_markup_that_the_tokeniser_gives_up_on(spark):
     assert parse_nodes(pages_of(spark, *htmls)).count() == len(htmls)
 
 
+def test_containment_by_parents(spark):
+    """Random trees, deep and wide ones: what is inside, what is folded there and what comes first, by parent pointers."""
+    rnd, rows = random.Random(5), []
+    for page, (n, reach) in enumerate([(1, 1), (2, 1), (70, 1), (600, 2), (900, 30), (1500, 1500)]):
+        path, parents = [], []
+        for i in range(n):
+            del path[max(0, len(path) - rnd.randrange(reach)) :]
+            parents.append(path[-1] if path else None)
+            path.append(i)
+        ends = [i + 1 for i in range(n)]
+        for i in reversed(range(n)):
+            if parents[i] is not None:
+                ends[parents[i]] = max(ends[parents[i]], ends[i])
+        rows += [(page, i, parents[i], ends[i], rnd.randrange(3), rnd.random() < 0.3) for i in range(n)]
+    df = spark.createDataFrame(rows, "page_id long, node_id int, parent_id int, subtree_end int, kind int, holder boolean")
+    parent = {(p, i): up for p, i, up, *_ in rows}
+    kind, holder = {(p, i): k for p, i, _, _, k, _ in rows}, {(p, i) for p, i, *_, h in rows if h}
+    pairs, low = [], {}
+    for p, i in parent:
+        up = parent[p, i]
+        while up is not None:
+            if (p, up) in holder:
+                pairs.append((p, up, i))
+                low[p, up, kind[p, i]] = min(low.get((p, up, kind[p, i]), i), i)
+            up = parent[p, up]
+    elements, holders = df.select("page_id", F.col("node_id").alias("at"), "kind"), df.where("holder").select("page_id", "node_id", "subtree_end")
+    assert sorted(map(tuple, inside(elements, holders).select("page_id", "node_id", "at").collect())) == sorted(pairs) and len(pairs) > 3000
+    folded = folded_inside(elements, holders, ["kind"], {"low": (F.min, F.col("at"))})
+    assert {tuple(r)[:3]: r["low"] for r in folded.select("page_id", "node_id", "kind", "low").collect()} == low
+    first = df.select("page_id", "node_id", "subtree_end", "holder", following(F.when(F.col("kind") == 1, F.col("node_id"))).alias("next")).where("holder AND next < subtree_end")
+    assert {(r["page_id"], r["node_id"], 1): r["next"] for r in first.collect()} == {k: v for k, v in low.items() if k[2] == 1}
+
+
+def test_deep_pages_are_linear(spark):
+    """100,000 nested elements, with marked cards, links and hidden ends: rows and time grow with the elements alone."""
+    began = time.time()
+    deep = "<div>" * 100_000 + '<a href="/product/1" title="Thing"><img src="i.png"></a>' + "<p></i>" * 10_000
+    unclosed = '<div class="product">' * 3_000 + '<a href="/product/1" title="Thing">T</a><img src="i.png">' + "</div>" * 3_000
+    parsed = ladder.parsed_pages(pages_of(spark, deep, unclosed, card(1)))
+    got = {r["page_id"]: r for r in parsed.select("page_id", F.size("nodes").alias("n"), F.array_max(F.transform("nodes", lambda n: n["depth"])).alias("deep"), F.get("nodes", 0)["subtree_end"].alias("end")).collect()}
+    assert [(r["n"], r["deep"], r["end"]) for r in (got[0], got[1])] == [(110_002, 100_002, 110_002), (3_002, 3_001, 3_002)]
+    nodes = ladder.staged_nodes(parsed)
+    assert nodes.where("size(attrs) = 0 OR tag <> 'div'").count() == 110_002 + 2 + 3
+    cards = nodes.where("tag = 'div'")
+    looks = {r["page_id"]: r["count"] for r in s.looks_like_card(nodes, cards, parsed).groupBy("page_id").count().collect()}
+    assert looks == {0: 100_000, 1: 3_000}
+    (linked,) = s.extract_linked_images(nodes.where("page_id = 0"), parsed).select("image_url").collect()
+    assert linked["image_url"].endswith("/i.png")
+    fields = s.card_fields(cards.where("page_id = 1").select("page_id", "node_id", "subtree_end", "piece_start", "piece_count"), nodes, parsed)
+    assert fields.where("title = 'Thing' AND image_url IS NOT NULL").count() == 3_000
+    assert time.time() - began < 90
+
+
 def test_merge(spark):
     schema = "page_id long, rung int, pos array<bigint>, title string, product_url string, price double, in_stock boolean"
     rows = [(0, 1, [1], None, "u", 0.0, False), (0, 1, [2], "A", "u", 5.0, True), (0, 1, [3], "B", "u", 7.0, None), (1, 1, [1], "A", "u", 0.0, False), (1, 1, [2], None, "u", 0.0, None), (1, 1, [0], "x", None, 1.0, None)]
