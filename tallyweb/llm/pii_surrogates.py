@@ -27,7 +27,7 @@ NAMES = {
         ["Антон", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Иван", "Кирилл", "Лев", "Максим", "Олег", "Павел", "Роман", "Сергей", "Тимур", "Юрий"],
         ["Алина", "Белла", "Вера", "Галина", "Дарья", "Елена", "Инна", "Ксения", "Лидия", "Мария", "Ольга", "Полина", "Раиса", "София", "Тамара", "Юлия"],
         ["бар", "вол", "гор", "дан", "жар", "зор", "кал", "лам", "мар", "нев", "пол", "рос", "сав", "тар", "фом", "чер"],
-        ["ин", "ов", "ев", "ский", "ук", "енко", "ых", "як"],
+        ["ук", "енко", "ых", "як"],
     ),
     "greek": (
         ["Ανδρέας", "Βασίλης", "Γιώργος", "Δημήτρης", "Κώστας", "Λεωνίδας", "Μάριος", "Νίκος", "Πέτρος", "Σπύρος", "Στέφανος", "Φίλιππος"],
@@ -36,6 +36,11 @@ NAMES = {
         ["άκης", "ίδης", "όπουλος", "άτος", "έας", "ούσης"],
     ),
 }
+#: Family names that say a gender, by their form, and the endings that say the same
+GENDERED = {
+    "cyrillic": {r"(?:[оеё]в|ин|[сц]кий)\z": ["ин", "ов", "ев", "ский"], r"(?:[оеё]ва|ина|[сц]кая)\z": ["ина", "ова", "ева", "ская"]},
+    "greek": {r"[^ς]\z": ["άκη", "ίδου", "οπούλου", "άτου", "έα", "ούση"]},
+}
 #: Titles and given names that tell a person, by what they say of the gender
 TITLES = {
     "f": ["Mrs", "Ms", "Miss", "Lady", "Dame", "Frau", "Madame", "Mademoiselle", "Mme", "Mlle", "Señora", "Señorita", "Sra", "Srta", "Doña", "Signora", "Госпожа", "Г-жа", "Κυρία", "السيدة"],
@@ -49,10 +54,17 @@ GIVEN = {
 GIVEN = {g: sorted({*GIVEN[g], *(n for parts in NAMES.values() for n in parts[g == "f"])}, key=lambda n: (-len(n), n)) for g in GIVEN}
 NEUTRAL = ["Alex", "Robin", "Kim", "Sascha", "Dominique", "Jamie", "Charlie", "Noor"]
 
+#: Words that are names, too: at the start of a sentence, without a name behind them, they are words
+COMMON = "Art Baker Banks Bill Black Brown Bush Case Chase Cook Dawn Dean Drew Faith Field Fisher Frank Grace Grant Green Gray Guy Hill Hope Hunter Iris Jack Joy June King Lake Lily Long Mark Mason May Miles Page Park Penny Price Ray Rich Rob Rose Sandy Singer Stone Sue Summer Victor Violet White Will Wood Young Klein Lang Roth Schwarz Braun Weiß Groß Jung Koch Bauer Blanc Petit Grand Roux Rey Rojo Cruz Blanco".split()
+#: Common Chinese family names: with one of these a name's beginning shows in running text
+HAN_FAMILY = "欧阳 司马 诸葛 上官 王 李 张 刘 陈 杨 黄 赵 吴 周 徐 孙 马 朱 胡 郭 何 高 林 罗 郑 梁 谢 宋 唐 许 韩 冯 邓 曹 彭 曾 肖 田 董 袁 潘 于 蒋 蔡 余 杜 叶 程 苏 魏 吕 丁 任 沈 姚 卢 姜 崔 钟 谭 陆 汪 范 金 石 廖 贾 夏 韦 付 方 白 邹 孟 熊 秦 邱 江 尹 薛 闫 段 雷 侯 龙 史 陶 黎 贺 顾 毛 郝 龚 邵 万 钱 严 覃 武 戴 莫 孔 向 汤".split()
+
 _NAME = r"(?:\p{Lu}\p{L}*(?:['’-]\p{Lu}\p{L}+)*|\p{Lo}\p{L}+)"
-_TITLE = "(?:" + "|".join(sorted((t for ts in TITLES.values() for t in ts), key=lambda t: (-len(t), t))) + r")\.?\x20"
+_TITLE = "(?:" + "|".join(sorted({w for ts in TITLES.values() for t in ts for w in (t, t.upper())}, key=lambda t: (-len(t), t))) + r")\.?\x20"
 _GIVEN = "(?:" + "|".join(n for ns in GIVEN.values() for n in ns) + ")"
 _HAN_TITLE = "(?:先生|女士|小姐)"
+_HAN_FAMILY = "(?:" + "|".join(HAN_FAMILY) + ")"
+_HAN_PERSON = rf"(?:{_HAN_FAMILY}\p{{IsHan}}{{0,2}}|(?<!\p{{L}})(?:(?!{_HAN_FAMILY})\p{{IsHan}}){{1,4}}){_HAN_TITLE}"
 _INITIAL = "[" + "".join(sorted({n[0] for group in (TITLES, GIVEN) for ns in group.values() for n in ns})) + "]"
 
 #: Patterns by kind, in order of precedence
@@ -62,8 +74,8 @@ PATTERNS = {
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "card": r"(?<![\p{N}+])(?:\d{13,19}|\d{4}(?:\x20\d{4}){2}\x20\d{1,7}|\d{4}(?:-\d{4}){2}-\d{1,7}|\d{4}\x20\d{6}\x20\d{5})(?!\d)",
     "ssn": r"(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])",
-    "phone": r"(?<![\p{N}+])(?:\+\d{8,15}|(?:\+\d{1,3}[\x20.-]?)?\(\d{3}\)\x20?\d{7}|(?:\+\d{1,3}[\x20.-]?\d|0\d)(?:[\x20.-]\d{2}){4}|(?:\+\d{1,3}[\x20.-]?)?(?:\(\d{2,4}\)|\d{2,4})[\x20.-]?\d{3,4}[\x20.-]\d{3,4})(?!\d)",
-    "person": rf"(?<!\p{{L}})(?:(?={_INITIAL})(?:{_TITLE}{_NAME}(?:\x20{_NAME})?|{_GIVEN}\x20{_NAME})|\p{{IsHan}}{{1,4}}{_HAN_TITLE})",
+    "phone": r"(?<![\p{N}+])(?<!\p{N}[.-])(?:\+\d{8,15}|(?:\+\d{1,3}[\x20.-]?)?\(\d{3}\)\x20?\d{7}|(?:\+\d{1,3}[\x20.-]\d{2,4}|0\d{2,4})[\x20./-]\d{6,8}|(?:\+\d{1,3}[\x20.-]?\d|0\d)(?:[\x20.-]\d{2}){4}|(?:\+\d{1,3}[\x20.-]?)?(?:\(\d{2,4}\)|\d{2,4})[\x20.-]?\d{3,4}[\x20.-]\d{3,4})(?![.-]?\d)",
+    "person": rf"(?:(?={_INITIAL})(?<!\p{{L}})(?:{_TITLE}{_NAME}(?:\x20{_NAME})?|{_GIVEN}\x20{_NAME})|{_HAN_PERSON})",
 }
 #: Quick tests, each true of every text that holds one of the kinds: most texts need no pattern at all
 HINTS = {
@@ -72,7 +84,9 @@ HINTS = {
     ("person",): lambda text: text.rlike(rf"(?={_INITIAL})(?:{_TITLE}|{_GIVEN}\x20)|{_HAN_TITLE}"),
 }
 #: Further words that are looked up among the names of a text's persons
-BARE = rf"(?<![\p{{L}}\p{{N}}]){_NAME}"
+_HAN_BARE = rf"{_HAN_FAMILY}\p{{IsHan}}{{2}}|(?<!\p{{L}}){_HAN_FAMILY}\p{{IsHan}}(?!\p{{L}})"
+_WORD = rf"(?<=\A|[.!?:…]\x20|\n)(?:{'|'.join(COMMON)})(?!\p{{L}}|['’-]\p{{L}}|\x20\p{{Lu}}\p{{Ll}})"
+BARE = rf"{_HAN_BARE}|(?<![\p{{L}}\p{{N}}])(?!\p{{IsHan}})(?!{_WORD}){_NAME}"
 ENTITIES = "array<struct<kind:string,start:int,end:int,surrogate:string>>"
 
 #: Scripts, by where their letters are; a letter's stand-in is one of its script's
@@ -116,7 +130,7 @@ def _luhn_sum(digits: Column) -> Column:
 
 def _surrogate(kind: Column, name: Column, key: str, attempt: int) -> Column:
     """What stands for the entity `name` of `kind`, at the given attempt. From the fourth attempt on names and mails grow,
-    from the ninth numbers too, so that there are always enough."""
+    from the ninth numbers too, so that there are always enough; an address of four numbers stays one, of which there are 254 ** 4."""
 
     local, domain = F.regexp_extract(name, r"\A([^@]*)@", 1), F.regexp_extract(name, r"@(.*)\z", 1)
     digits = "0" * max(0, attempt - 7)
@@ -130,7 +144,7 @@ def _surrogate(kind: Column, name: Column, key: str, attempt: int) -> Column:
         seed, like = x["seed"], x["like"]
         h = [F.xxhash64(seed, F.lit(i)) for i in range(attempt + 3)]
         email = F.concat(like, F.lit("@"), _alike(F.regexp_extract(domain, r"\A(.*)\.[^.]*\z", 1), domain_seed), F.lit("."), F.regexp_extract(domain, r"([^.]*)\z", 1))
-        ip = F.concat_ws(".", *[(F.pmod(F.xxhash64(seed, F.lit(i)), F.lit(254)) + 1).cast("string") for i in range(4)]) if attempt < 8 else F.concat(F.lit("fd00::"), F.substring(seed, 1, 4), F.lit(":"), F.substring(seed, 5, 4))
+        ip = F.concat_ws(".", *[(F.pmod(F.xxhash64(seed, F.lit(i)), F.lit(254)) + 1).cast("string") for i in range(4)])
         phone = F.concat((F.pmod(F.xxhash64(seed, F.lit("first")), F.lit(8)) + 2).cast("string"), like)
         checked = lambda card: F.concat(card, F.pmod(-_luhn_sum(F.concat(card, F.lit("0"))), F.lit(10)).cast("string"))
         card = let(F.concat(F.substring(name, 1, 1), like), lambda c: F.when(_luhn_sum(name) % 10 == 0, checked(F.substring(c, F.lit(1), F.length(c) - 1))).otherwise(c))
@@ -138,7 +152,8 @@ def _surrogate(kind: Column, name: Column, key: str, attempt: int) -> Column:
         def named(make) -> Column:
             return F.coalesce(*[F.when(script == s, make(*parts)) for s, parts in NAMES.items()], like)
 
-        family = named(lambda men, women, begin, end: F.initcap(F.concat(*[_pick(begin, x) for x in h[1:]], _pick(end, h[0]))))
+        ending = lambda end, forms: F.coalesce(*[F.when(name.rlike(form), _pick(ends, h[0])) for form, ends in forms.items()], _pick(end, h[0]))
+        family = F.coalesce(*[F.when(script == s, F.initcap(F.concat(*[_pick(begin, x) for x in h[1:]], ending(end, GENDERED.get(s, {}))))) for s, (_, _, begin, end) in NAMES.items()], like)
         # further given names keep apart those that share the first
         given = lambda k: named(lambda *parts: F.array_join(F.array(*[_pick(NEUTRAL if k == 2 else parts[k], x) for x in h[: 1 + max(0, attempt - 1)]]), "-"))
         ways = {"email": email, "ip": ip, "phone": phone, "card": card, "iban": F.concat(F.substring(name, 1, 2), like), "family": family, "given_m": given(0), "given_f": given(1), "given_n": given(2)}
@@ -154,8 +169,9 @@ def _kind(mention: Column) -> Column:
 
 def _gender(title: Column, given: Column) -> Column:
     """By the title, else by the given name, else n."""
-    bare = F.rtrim(F.replace(title, F.lit(".")))
-    return F.when(bare.isin(TITLES["f"]), "f").when(bare.isin(TITLES["m"]), "m").when(given.isin(GIVEN["f"]), "f").when(given.isin(GIVEN["m"]), "m").otherwise("n")
+    bare = F.lower(F.rtrim(F.replace(title, F.lit("."))))
+    told = {g: [t.lower() for t in ts] for g, ts in TITLES.items()}
+    return F.when(bare.isin(told["f"]), "f").when(bare.isin(told["m"]), "m").when(given.isin(GIVEN["f"]), "f").when(given.isin(GIVEN["m"]), "m").otherwise("n")
 
 
 def _parts(kind: Column, mention: Column) -> Column:
@@ -192,7 +208,9 @@ def _written(kind: Column, mention: Column, surrogates: Column) -> Column:
     """The surrogates in the mention's format."""
     first = F.get(surrogates, 0)
     as_cased = lambda m: F.when(m == F.lower(m), first).when((m == F.upper(m)) & (F.length(m) > 1), F.upper(first)).otherwise(F.concat(F.upper(F.substring(first, 1, 1)), F.substring(first, F.lit(2), F.length(first))))
-    person = F.concat(F.regexp_extract(mention, rf"\A({_TITLE})", 1), F.array_join(surrogates, " "), F.regexp_extract(mention, rf"({_HAN_TITLE})\z", 1))
+    names = F.array_join(surrogates, " ")
+    names = F.when((mention == F.upper(mention)) & (mention != F.lower(mention)), F.upper(names)).otherwise(names)
+    person = F.concat(F.regexp_extract(mention, rf"\A({_TITLE})", 1), names, F.regexp_extract(mention, rf"({_HAN_TITLE})\z", 1))
     bare = F.when((mention == F.upper(mention)) & (mention != F.lower(mention)) & (F.length(mention) > 1), F.upper(first)).otherwise(first)
     return F.when(kind == "email", as_cased(mention)).when(kind == "ip", first).when(kind == "person", person).when(kind == "bare", bare).otherwise(_in_format(mention, first))
 
@@ -229,7 +247,10 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     Kinds: email, ip, iban, card, ssn, phone, and person: a title and one or two names, or a common given name and
     another, and in the same text each bare word that is one of these names. Entities are known by their normal form: case
     of emails and names, spaces and separators of numbers, and country codes of phones don't matter, and a person's given
-    and family names are entities of their own. Names that neither a title nor a common given name introduces anywhere in
+    and family names are entities of their own. A word behind a person's bare given name is a family name. A bare name that is
+    a common word (COMMON) stays where it begins a sentence and no capitalised word follows. Chinese names are found by their
+    titles; those that begin with a common family name also in running text, and there bare ones of three characters or more.
+    Parts of longer numbers with separators, and dates, are no phones. Names that neither a title nor a common given name introduces anywhere in
     the text aren't found. A given name whose mention tells no gender takes that of its other mentions in the text.
 
     Null texts stay null, empty ones empty. Repeated rows come back as often; no rows give none. A column `entities` of the
@@ -246,21 +267,31 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     persons = F.exists(found, lambda m: _kind(m) == "person")
     rows = rows.where(F.size(found) > 0).withColumn(p + "pattern", F.concat_ws("|", p + "pattern", F.when(persons, F.lit(BARE))))
     rows = rows.withColumn(again, F.regexp_extract_all(text, F.col(p + "pattern"), F.lit(0)))
-    named = _named(rows.select(F.col(row).alias("row"), F.posexplode(again).alias("pos", "mention")), key)
+    gaps = F.split("text", F.col(p + "pattern"), -1)
+    mentions = F.arrays_zip(F.col(again).alias("mention"), F.transform(gaps, lambda g: g == " ").alias("behind_one"))
+    mentions = rows.select(F.col(row).alias("row"), F.posexplode(mentions).alias("pos", "m")).where("m.mention IS NOT NULL")
+    named = _named(mentions.select("row", "pos", "m.mention", "m.behind_one"), key)
     of_row = named.select(F.col("row").alias(p + "of"), F.col("s").alias(p + "s"))
     joined = rows.join(of_row, F.col(row) == F.col(p + "of"), "left")
     return without.unionByName(joined.select(*docs.columns, again, p + "s", p + "pattern").select(*_rebuilt(docs.columns, p, again)))
 
 
 def _named(mentions: DataFrame, key: str) -> DataFrame:
-    """(row, s): of mentions (row, pos, mention), the (pos, kind, surrogate) of those that are entities, by pos."""
-    kinds = mentions.select("row", "pos", "mention", _kind(F.col("mention")).alias("m_kind"))
-    parts = kinds.select("*", F.posexplode(_parts(F.col("m_kind"), F.col("mention"))).alias("part", "entity")).select("row", "pos", "mention", "m_kind", "part", "entity.kind", "entity.name")
+    """(row, s): of mentions (row, pos, mention, behind_one), the (pos, kind, surrogate) of those that are entities, by pos.
+    A mention is `behind_one` if nothing but a blank is between it and the one before."""
+    kinds = mentions.select("row", "pos", "mention", "behind_one", _kind(F.col("mention")).alias("m_kind"))
+    parts = kinds.select("*", F.posexplode(_parts(F.col("m_kind"), F.col("mention"))).alias("part", "entity")).select("row", "pos", "mention", "behind_one", "m_kind", "part", "entity.kind", "entity.name")
     parts = staged(parts, "pii_parts")
     known = F.min(F.when(F.col("kind").startswith("given_"), F.col("kind"))).over(Window.partitionBy("row", "name"))
     persons = parts.where("m_kind = 'person'").withColumn("kind", F.when(F.col("kind") == "given_n", known).otherwise(F.col("kind")))
     names = persons.groupBy("row", "name").agg(F.min("kind").alias("kind")).where(F.length("name") > 1)
-    bare = parts.where("m_kind = 'bare'").drop("kind").join(names, ["row", "name"])
+    words = parts.where("m_kind = 'bare'").drop("kind")
+    bare = words.join(names, ["row", "name"])
+    # a word right behind a person's bare given name is a family name, here and wherever it stands in the text
+    given = bare.where("kind LIKE 'given%'").select("row", (F.col("pos") + 1).alias("pos")).distinct()
+    further = words.where("behind_one").join(given, ["row", "pos"]).select("row", "name").distinct()
+    further = further.join(names, ["row", "name"], "left_anti").where(F.length("name") > 1).withColumn("kind", F.lit("family"))
+    bare = words.join(names.unionByName(further), ["row", "name"])
     parts = staged(parts.where("m_kind NOT IN ('person', 'bare')").unionByName(persons).unionByName(bare), "pii_mentions")
     surrogates = name_entities(staged(parts.select("kind", "name").distinct(), "pii_entities"), key)
     one = parts.join(surrogates, ["kind", "name"]).groupBy("row", "pos", "mention", "m_kind").agg(F.sort_array(F.collect_list(F.struct("part", "surrogate"))).alias("s"))

@@ -504,6 +504,29 @@ def test_persons_in_a_text(spark):
     assert "محمد" not in out[2]["text"] and out[2]["text"].count(out[2]["text"].split("Mr ")[1].split(";")[0]) == 2 and out[3]["text"] == "Smith and Jane"
 
 
+def test_persons_and_numbers_in_odd_forms(spark):
+    texts = {
+        1: "MR JOHN SMITH and Mrs. Jane SMITH", 2: "Call +49 151 12345678 or 0151 12345678, or 0151/1234567.", 3: "今天王小明先生来了。王小明说",
+        4: "Mr Will Brown said: Will you come? Brown bears. Will Smith too. I saw Brown, and Smith.", 5: "Order 12-34-5678 2024-01-15, 2024-01-15 10.11.2024 1.2345.6789",
+        6: "Госпожа София Иванова, Господин Иван Иванов, Г-жа Достоевская, Господин Шевченко", 7: "Κυρία Μαρία Παπαδοπούλου, Κύριος Νίκος Παπαδόπουλος", 8: "昨天尉迟恭先生 and 尉迟恭女士; 李先生", 9: "May Day. Mr May is here. May I?",
+    }
+    out = {r["doc_id"]: r for r in replace_pii(docs_of(spark, *texts.items()), "k").collect()}
+    new, kinds = {i: r["text"] for i, r in out.items()}, {i: [e["kind"] for e in r["entities"]] for i, r in out.items()}
+    assert re.fullmatch(r"MR ([A-Z-]+) ([A-Z]+) and Mrs\. [A-Z][a-z-]+ \w+", new[1]) and not re.search("john|smith|jane", new[1], re.IGNORECASE)
+    numbers = re.fullmatch(r"Call \+49 (\d{3} \d{8}) or (\d{4} \d{8}), or (\d{4}/\d{7})\.", new[2])
+    assert numbers and kinds[2] == ["phone"] * 3 and numbers[1][1:] == numbers[2][2:] and "1234567" not in new[2]
+    han = re.fullmatch(r"今天(\w{3})先生来了。(\w{3})说", new[3])
+    assert han and han[1] == han[2] != "王小明" and [(e["start"], e["end"]) for e in out[3]["entities"]] == [(2, 7), (10, 13)]
+    will = re.fullmatch(r"Mr (\S+) (\S+) said: Will you come\? Brown bears\. (\S+) (\S+) too\. I saw (\S+), and (\S+)\.", new[4])
+    assert will and will[1] == will[3] != "Will" and will[2] == will[5] != "Brown" and will[4] == will[6] != "Smith" and will[4] != will[2]
+    assert new[5] == texts[5] and kinds[5] == []
+    assert re.fullmatch(r"Госпожа \w+ \w+(ина|ова|ева|ская), Господин \w+ \w+(ин|ов|ев|ский), Г-жа \w+(ина|ова|ева|ская), Господин \w+(ук|енко|ых|як)", new[6]), new[6]
+    assert re.fullmatch(r"Κυρία \w+ \w+[^ς], Κύριος \w+ \w+ς", new[7]), new[7]
+    assert kinds[8] == ["person"] * 2 and "李" not in new[8] and new[8].startswith("昨天尉迟恭先生 and ")
+    may = re.fullmatch(r"(\w+) Day\. Mr (\w+) is here\. May I\?", new[9])
+    assert may and may[1] == may[2] != "May"
+
+
 def test_pii_by_a_plain_version(spark):
     """Places and texts against Python: what isn't an entity stays, and entities map one to one, whatever document they are in."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
