@@ -547,6 +547,40 @@ def test_pii_by_a_plain_version(spark):
     assert mails > 5 and len(forth) > 40
 
 
+def test_places_of_numbers_by_a_plain_version(spark):
+    """Addresses, cards and phones of whole texts, found by walking over runs of digits in Python."""
+
+    def plain(t):
+        runs, out = [(m.start(), m.end()) for m in re.finditer(r"[0-9]+", t)], set()
+        i = 0
+        while i < len(runs):
+            a, b = runs[i]
+            before, four = t[max(0, a - 1) : a], runs[i : i + 4]
+            joins = [t[x[1] : y[0]] for x, y in zip(four, four[1:], strict=False)]
+            tail = four[-1][1]
+            if joins == ["."] * 3 and before != "." and all(y - x <= 3 and int(t[x:y]) < 256 for x, y in four) and not re.match(r"\.[0-9]", t[tail : tail + 2]):
+                out.add(("ip", a, tail))
+                i += 4
+            elif 13 <= b - a <= 19 and before != "+":
+                out.add(("card", a, b))
+                i += 1
+            elif before == "+" and b - a <= 3 and joins == [" (", ") ", "-"] and [y - x for x, y in four[1:]] == [3, 3, 4]:
+                out.add(("phone", a - 1, tail))
+                i += 4
+            else:
+                i += 1
+        return out
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts, n = {r["doc_id"]: r["text"] or "" for r in docs.collect()}, {}
+    for r in replace_pii(docs, "k").select("doc_id", "entities").collect():
+        got = {(e["kind"], e["start"], e["end"]) for e in r["entities"] if e["kind"] in ("ip", "card", "phone")}
+        assert got == plain(texts[r["doc_id"]]), r["doc_id"]
+        for kind, *_ in got:
+            n[kind] = n.get(kind, 0) + 1
+    assert len(n) == 3 and min(n.values()) > 5
+
+
 def test_pii_of_long_texts_is_linear(spark):
     docs = docs_of(spark, (1, "".join(f"a{i}@x.org, " for i in range(50_000))), (2, "Mr Smith and Smith. " * 25_000), (3, "x" * 1_000_000 + "@" + "7" * 100_000))
     at = time.time()
