@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from .columns import free_prefix
 from .components import components
+from .sieve import sieved
 from .staging import staged
 from .words import gram_hashes, hashed_words, mix
 
@@ -239,12 +240,16 @@ def _candidates(nodes: DataFrame, plan: Plan) -> DataFrame:
         counts = staged(counts, f"buckets_{depth}")
         shared = staged(paths.join(counts, "path"), f"shared_{depth}")
         large = f"n > {BUCKET}" if depth < DEPTH else "false"
-        edges.append(staged(_brute_force(shared.where(f"NOT ({large})").select("path", "rid"), nodes, plan.candidate), f"edges_{depth}"))
+        small = shared.where(f"NOT ({large})").select("path", "rid")
+        # below the first level few sets are left, and only these are shuffled
+        those = nodes.select("rid", "small") if depth == 1 else sieved(nodes.select("rid", "small"), "rid", small, "rid")
+        edges.append(staged(_brute_force(small, those, plan.candidate), f"edges_{depth}"))
         if depth == DEPTH or counts.where(large).isEmpty():
             break
         # one row for all paths of a set with one pivot: there are many paths, and in a group of like sets few pivots
-        rows = shared.where(large).groupBy("rid", "pivot").agg(F.collect_list("path").alias("paths")).join(nodes.select("rid", "tokens"), "rid")
-        pivots = nodes.select(F.col("rid").alias("pivot"), F.col("tokens").alias("pivot_tokens"))
+        split = shared.where(large)
+        rows = split.groupBy("rid", "pivot").agg(F.collect_list("path").alias("paths")).join(sieved(nodes.select("rid", "tokens"), "rid", split, "rid"), "rid")
+        pivots = sieved(nodes.select(F.col("rid").alias("pivot"), F.col("tokens").alias("pivot_tokens")), "pivot", counts.where(large), "pivot")
         pivots = counts.where(large).select("pivot").distinct().join(pivots, "pivot")
         # a pivot of very many sets is met in as many tasks
         rows = rows.withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)).cast("int"))
@@ -304,11 +309,13 @@ def _linked(n: np.ndarray, grams: np.ndarray, threshold: float, cells: int = 4_0
 
 def _exact(docs: DataFrame, nodes: DataFrame, of: DataFrame, n_words: int, threshold: float) -> DataFrame:
     """(rid, links, root) of the sets in components (rid, comp), verified in blocks."""
-    members = of.join(nodes.select("rid", "rep", "n", "copies"), "rid")
+    members = staged(of.join(nodes.select("rid", "rep", "n", "copies"), "rid"), "members")
     sizes = members.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("g"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("g") / BLOCK_GRAMS)).cast("int").alias("blocks")
     members = members.join(sizes.select("comp", blocks), "comp").withColumnRenamed("rep", "__rep")
-    texts = docs.select("doc_id", "text").join(members, docs["doc_id"].eqNullSafe(members["__rep"]))
+    # most texts are in no component, and stay where they are
+    texts = sieved(docs.select("doc_id", "text"), "doc_id", members, "__rep")
+    texts = texts.join(members, texts["doc_id"].eqNullSafe(members["__rep"]))
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
