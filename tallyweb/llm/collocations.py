@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from .staging import staged
 from .words import mix, span_hashes
 
-SLOTS = 1 << 24  # of the table of word and pair counts: 2 MB as bits
+SLOTS = 1 << 24  # of the tables of counts of words, pairs and triples: 2 MB as bits
+HASHES = 2  # tables that the slots are dealt to; a phrase is counted once in each
 BLOCKS = 256  # that the table is summed up in
 HELD_ROWS = 1 << 19  # windows that a task holds to sum up equal ones
 GATHER_BYTES = 2 << 20  # texts are worked on together up to about this size; a longer text is worked on alone
@@ -107,8 +108,10 @@ def words_of(texts: list[bytes], langs: list[str], hashed: int = 1) -> Words:
     return Words(joined, at, lang, names, linked, grams)
 
 
-def _slot(hashes: np.ndarray, slots: int) -> np.ndarray:
-    return (hashes >> np.uint64(64 - slots.bit_length() + 1)).astype(np.int64)
+def _slots(hashes: np.ndarray, slots: int) -> list[np.ndarray]:
+    """The slot of each hash in each of the tables, which lie one after the other; each takes other bits of the hashes."""
+    wide = (slots // HASHES).bit_length() - 1
+    return [((hashes << np.uint64(i * wide)) >> np.uint64(64 - wide)).astype(np.int64) + (i << wide) for i in range(HASHES)]
 
 
 def slot_counts(docs: DataFrame, min_count: int, pruned: int = 1, table_size: int = SLOTS) -> DataFrame:
@@ -120,9 +123,9 @@ def slot_counts(docs: DataFrame, min_count: int, pruned: int = 1, table_size: in
         table, any_text = np.zeros(table_size, dtype=kind), False
         for texts, langs in _gathered(batches):
             w = words_of(texts, langs, pruned)
-            slots, n = np.unique(np.concatenate([_slot(h, table_size) for h in w.hashes]), return_counts=True)
-            table[slots] += np.minimum(n, min_count).astype(kind)
-            table[slots] = np.minimum(table[slots], min_count)
+            for own in (x for h in w.hashes for x in _slots(h, table_size)):
+                slots, n = np.unique(own, return_counts=True)
+                table[slots] = np.minimum(table[slots] + np.minimum(n, min_count).astype(kind), min_count)
             any_text = True
         if not any_text:
             return
@@ -165,8 +168,10 @@ def _windows_of(w: Words, bits: np.ndarray, max_words: int) -> tuple[np.ndarray,
     n = len(w)
 
     def passes(hashes: np.ndarray) -> np.ndarray:
-        slot = _slot(hashes, 8 * len(bits))
-        return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 != 0
+        there = np.ones(len(hashes), dtype=bool)
+        for slot in _slots(hashes, 8 * len(bits)):
+            there &= (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 != 0
+        return there
 
     frequent = []  # whether the phrase of 1, 2, 3 words from each word on may be
     for k, at in enumerate(w.linked):
