@@ -69,11 +69,11 @@ def inside(elements: DataFrame, holders: DataFrame, at: str = "at") -> DataFrame
 def folded_inside(elements: DataFrame, holders: DataFrame, keys: list[str], folds: dict[str, tuple[Callable, Column]]) -> DataFrame:
     """(page_id, node_id, keys, folds): for each of `holders` and value of `keys`, F.min or F.max of columns of the `elements`
     (page_id, at, keys, others) inside. Blocks are folded before they meet the holders, so holders that are nested don't
-    multiply what they hold."""
+    multiply what they hold. Spans are never broadcast: Spark takes what is exploded for as large as the compressed file."""
     dealt = elements.withColumn("__block", F.explode(blocks_of(F.col("at"))))
     blocks = dealt.groupBy("page_id", "__block", *keys).agg(*[fold(c).alias(name) for name, (fold, c) in folds.items()])
     spans = holders.select("page_id", "node_id", F.explode(blocks_inside(F.col("node_id"), F.col("subtree_end"))).alias("__block"))
-    met = blocks.join(spans, ["page_id", "__block"])
+    met = blocks.join(spans.hint("merge"), ["page_id", "__block"])
     return met.groupBy("page_id", "node_id", *keys).agg(*[fold(name).alias(name) for name, (fold, _) in folds.items()])
 
 

@@ -65,7 +65,11 @@ def card_values() -> dict[str, tuple[list[str], Column]]:
 
 
 def card_fields(cards: DataFrame, nodes: DataFrame, parsed: DataFrame) -> DataFrame:
-    """(page_id, node_id, product fields) of distinct cards (page_id, node_id, subtree_end, piece_start, piece_count)."""
+    """(page_id, node_id, product fields) of distinct cards (page_id, node_id, subtree_end, piece_start, piece_count).
+
+    Joins of elements, cards and texts are by sort and merge. Spark takes what is read from arrays for as large as its share
+    of the compressed file, a small part of what it is, and would send it through the driver as a broadcast.
+    """
     looked_up = card_values()
 
     # the first match of each selector in each card, from places and ranks only
@@ -76,7 +80,7 @@ def card_fields(cards: DataFrame, nodes: DataFrame, parsed: DataFrame) -> DataFr
 
     # texts and values are read of these alone, once an element
     wanted = first.groupBy("page_id", "at").agg(F.collect_list(F.struct("node_id", "field", "rank")).alias("wanted"))
-    hits = nodes.select("page_id", F.col("node_id").alias("at"), "attrs", "piece_start", "piece_count").join(wanted, ["page_id", "at"])
+    hits = nodes.select("page_id", F.col("node_id").alias("at"), "attrs", "piece_start", "piece_count").join(wanted.hint("merge"), ["page_id", "at"])
 
     def value(of: Column) -> Column:
         return F.coalesce(*[F.when(of["field"] == i, v) for i, (_, v) in enumerate(looked_up.values())])
@@ -86,7 +90,7 @@ def card_fields(cards: DataFrame, nodes: DataFrame, parsed: DataFrame) -> DataFr
     wide = by_rank.groupBy("page_id", "node_id").agg(
         *[F.min_by("value", F.when(F.col("field") == i, F.col("rank"))).alias(f"v_{name}") for i, name in enumerate(looked_up)]
     )
-    rows = cards.drop("subtree_end").join(wide, ["page_id", "node_id"], "left").join(parsed.select("page_id", "url", "pieces"), "page_id")
+    rows = cards.drop("subtree_end").join(wide.hint("merge"), ["page_id", "node_id"], "left").join(parsed.select("page_id", "url", "pieces").hint("merge"), "page_id")
     v = lambda name: F.col(f"v_{name}")
     rows = rows.withColumn("raw_price", F.coalesce(v("price"), extract_price_text(text_of_element())))
     price = parse_price(F.col("raw_price"))

@@ -172,6 +172,20 @@ def test_strategies_keep_their_plans_small(spark):
         assert plan.count("Exchange ") <= 10
 
 
+def test_no_elements_of_cards_are_broadcast(spark, monkeypatch):
+    """However small Spark takes them for; of the ids of pages it may decide by their size."""
+    plans, made = [], s.staged
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(s, "staged", lambda df, name: plans.append(plan(df)) or made(df, name))
+    parsed = ladder.parsed_pages(pages_of(spark, card(1) + card(2), card(3), "<p>none"))
+    nodes = node_rows(parsed)
+    fields = s.card_fields(nodes.where("tag = 'li'").select("page_id", "node_id", "subtree_end", "piece_start", "piece_count"), nodes, parsed)
+    joins = re.findall(r"\w+Join .*", "\n".join([*plans, plan(fields)]))
+    assert len(plans) == 1 and sum("SortMergeJoin" in j for j in joins) == 5
+    assert all("SortMergeJoin" in j or "LeftSemi" in j for j in joins)
+    assert sorted(map(tuple, fields.select("page_id", "title", "price").collect())) == [(0, "Thing 1", 5.01), (0, "Thing 2", 5.02), (1, "Thing 3", 5.03)]
+
+
 def test_markup_that_the_tokeniser_gives_up_on(spark):
     htmls = ["<p>a</p><![if x]><p>b</p>", "<![foo[<p>", "<!doctype [<!x", "</", "<a " + "b" * 100_000, card(1)]
     assert parse_nodes(pages_of(spark, *htmls)).count() == len(htmls)
